@@ -57,7 +57,7 @@ def with_expiry(
     A value lives twice as long as its feature may age; features that are not
     registered get a default.
     """
-    ttl = F.coalesce(F.col("sla"), F.lit(DEFAULT_FRESHNESS_SECONDS)) * multiplier
+    ttl = F.coalesce(F.col("sla"), F.lit(DEFAULT_FRESHNESS_SECONDS)).cast("bigint") * multiplier
     like = type_of(events, written_at)
     return (
         events.join(dimension(_slas(definitions)), "feature_name", "left")

@@ -11,8 +11,8 @@ that holds a third of all events is no single task's burden.
 
 from __future__ import annotations
 
-from math import gcd
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ TUMBLING_SECONDS = {"1min": 60, "5min": 300, "1hr": 3600}
 STATISTICS = ["count", "total_amount", "avg_amount", "min_amount", "max_amount", "unique_users"]
 
 
-def _partials(scale: int | None) -> list[Column]:
+def partials(scale: int | None) -> list[Column]:
     return [
         F.count("*").alias("n"),
         F.count("amount").alias("n_amount"),
@@ -35,7 +35,7 @@ def _partials(scale: int | None) -> list[Column]:
     ]
 
 
-def _merge() -> list[Column]:
+def merged() -> list[Column]:
     return [
         F.sum("n").alias("n"),
         F.sum("n_amount").alias("n_amount"),
@@ -45,7 +45,7 @@ def _merge() -> list[Column]:
     ]
 
 
-def _statistics(scale: int | None) -> list[Column]:
+def statistics(scale: int | None) -> list[Column]:
     """Output columns; a window without events shows zeros."""
     zero = F.lit(0.0)
     return [
@@ -58,21 +58,21 @@ def _statistics(scale: int | None) -> list[Column]:
     ]
 
 
-def fold_users(per_user: DataFrame, keys: list[str]) -> DataFrame:
+def count_users(per_user: DataFrame, keys: list[str]) -> DataFrame:
     """From one row per (window, user) to one row per window."""
-    return (
-        per_user.groupBy(*keys, "user_id")
-        .agg(*_merge())
-        .groupBy(*keys)
-        .agg(*_merge(), F.count("user_id").alias("users"))
-    )
+    return per_user.groupBy(*keys).agg(*merged(), F.count("user_id").alias("users"))
+
+
+def fold_users(spread: DataFrame, keys: list[str]) -> DataFrame:
+    """As ``count_users`` for input with several rows per (window, user)."""
+    return count_users(spread.groupBy(*keys, "user_id").agg(*merged()), keys)
 
 
 def tumbling_partials(events: DataFrame, size_seconds: int, scale: int | None = 2) -> DataFrame:
     """One row per (window, user); the streaming form keeps exactly these."""
     return (
         events.groupBy(F.window("ts", f"{size_seconds} seconds").alias("w"), "user_id")
-        .agg(*_partials(scale))
+        .agg(*partials(scale))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id",
                 "n", "n_amount", "total", "lo", "hi")
     )
@@ -80,7 +80,7 @@ def tumbling_partials(events: DataFrame, size_seconds: int, scale: int | None =
 
 def finish(per_user: DataFrame, scale: int | None = 2, keys: list[str] | None = None) -> DataFrame:
     keys = keys or ["window_start", "window_end"]
-    return fold_users(per_user, keys).select(*keys, *_statistics(scale))
+    return count_users(per_user, keys).select(*keys, *statistics(scale))
 
 
 def tumbling(events: DataFrame, size_seconds: int, scale: int | None = 2) -> DataFrame:
@@ -99,9 +99,9 @@ def sliding_at(events: DataFrame, at: str, window_seconds: int, scale: int | Non
     return (
         events.filter(F.col("ts").between(start, end))
         .groupBy("user_id")
-        .agg(*_partials(scale))
-        .agg(*_merge(), F.count("user_id").alias("users"))
-        .select(start.alias("window_start"), end.alias("window_end"), *_statistics(scale))
+        .agg(*partials(scale))
+        .agg(*merged(), F.count("user_id").alias("users"))
+        .select(start.alias("window_start"), end.alias("window_end"), *statistics(scale))
     )
 
 
@@ -116,9 +116,9 @@ def sliding_at_latest(events: DataFrame, window_seconds: int, scale: int | None
     inside = (
         events.filter(F.col("ts") >= start)
         .groupBy("user_id")
-        .agg(*_partials(scale))
-        .agg(*_merge(), F.count("user_id").alias("users"))
-        .select(F.lit(1).alias("one"), *_statistics(scale))
+        .agg(*partials(scale))
+        .agg(*merged(), F.count("user_id").alias("users"))
+        .select(F.lit(1).alias("one"), *statistics(scale))
     )
     return bounds.withColumn("one", F.lit(1)).join(inside, "one").drop("one")
 
@@ -130,16 +130,20 @@ def sliding_classes(window_seconds: int, step_seconds: int) -> list[Column]:
     return [ceil_to(t - window, step).alias("first_start"), floor_to(t, step).alias("last_start")]
 
 
-def sliding_partials(
+def sliding_class_partials(
     events: DataFrame, window_seconds: int, step_seconds: int, scale: int | None = 2
 ) -> DataFrame:
+    """One row per (class of windows, user); the streaming form keeps exactly these."""
+    return events.groupBy(*sliding_classes(window_seconds, step_seconds), "user_id").agg(*partials(scale))
+
+
+def sliding_from_classes(classes: DataFrame, step_seconds: int) -> DataFrame:
     """One row per (window start, user).
 
     Events that fall into the same windows form a class; the class is reduced
     before it is spread over its windows, so the spread does not multiply
     events but (class, user) rows.
     """
-    classes = events.groupBy(*sliding_classes(window_seconds, step_seconds), "user_id").agg(*_partials(scale))
     return (
         classes.filter(F.col("first_start") <= F.col("last_start"))
         .withColumn("start", F.explode(F.sequence("first_start", "last_start", F.lit(step_seconds * SECOND))))
@@ -151,9 +155,13 @@ def _first_and_last_start(lo: Column, hi: Column, window: int, step: int) -> tup
     return ceil_to(lo, step), floor_to(hi + step - window, step)
 
 
-def _series_bounds(events: DataFrame, window: int, step: int) -> tuple[Column, Column]:
+def series_bounds(
+    rows: DataFrame, window: int, step: int, first_t: Column | None = None, last_t: Column | None = None
+) -> tuple[Column, Column]:
     """First and last window start of the series as scalar subqueries."""
-    span = events.agg(F.min(micros("ts")).alias("lo"), F.max(micros("ts")).alias("hi"))
+    first_t = micros("ts") if first_t is None else first_t
+    last_t = micros("ts") if last_t is None else last_t
+    span = rows.agg(F.min(first_t).alias("lo"), F.max(last_t).alias("hi"))
     first, last = _first_and_last_start(F.col("lo"), F.col("hi"), window, step)
     return span.select(first).scalar(), span.select(last).scalar()
 
@@ -179,15 +187,27 @@ def sliding_series(
         newest = events.agg(F.max("ts").alias("x")).scalar()
         events = events.filter(micros("ts") >= micros(newest) - tail_seconds * SECOND)
     window, step = window_seconds * SECOND, step_seconds * SECOND
-    folded = fold_users(sliding_partials(events, window_seconds, step_seconds, scale), ["start"])
+    classes = sliding_class_partials(events, window_seconds, step_seconds, scale)
+    folded = fold_users(sliding_from_classes(classes, step_seconds), ["start"])
     if include_empty:
         folded = _spine(events, window, step).join(folded, "start", "left")
     else:
-        folded = folded.filter(F.col("start").between(*_series_bounds(events, window, step)))
+        folded = folded.filter(F.col("start").between(*series_bounds(events, window, step)))
     return folded.select(
         from_micros(F.col("start"), like).alias("window_start"),
         from_micros(F.col("start") + window, like).alias("window_end"),
-        *_statistics(scale),
+        *statistics(scale),
+    )
+
+
+def finish_sliding(
+    classes: DataFrame, window_seconds: int, step_seconds: int, like: str, scale: int | None = 2
+) -> DataFrame:
+    """All non-empty sliding windows of the classes."""
+    return fold_users(sliding_from_classes(classes, step_seconds), ["start"]).select(
+        from_micros(F.col("start"), like).alias("window_start"),
+        from_micros(F.col("start") + window_seconds * SECOND, like).alias("window_end"),
+        *statistics(scale),
     )
 
 
@@ -204,36 +224,40 @@ def _spine(events: DataFrame, window: int, step: int, chunk: int = 1000) -> Data
     return chunks.repartition("from").select(F.explode(F.sequence("from", until, F.lit(step))).alias("start"))
 
 
-def multi_resolution(
-    events: DataFrame,
-    sizes: dict[str, int] | None = None,
-    window_seconds: int = 300,
-    step_seconds: int = 60,
-    scale: int | None = 2,
+def pane_partials(
+    events: DataFrame, sizes: dict[str, int], window_seconds: int, step_seconds: int, scale: int | None = 2
 ) -> DataFrame:
-    """All tumbling sizes and the sliding series of one pass over the events.
+    """One row per (pane, user): what all window kinds have in common.
 
-    The shared pane is the common divisor of the sizes within one class of
-    sliding windows. The pane rows are spread over the windows they belong to,
-    tagged with ``window_type``. Sliding windows without events are left out.
+    A pane is the common divisor of the tumbling sizes within one class of
+    sliding windows.
     """
-    sizes = sizes or TUMBLING_SECONDS
-    like = type_of(events, "ts")
     pane = reduce(gcd, sizes.values()) * SECOND
-    window, step = window_seconds * SECOND, step_seconds * SECOND
-    panes = events.groupBy(
+    return events.groupBy(
         floor_to(micros("ts"), pane).alias("pane"), *sliding_classes(window_seconds, step_seconds), "user_id"
-    ).agg(*_partials(scale))
+    ).agg(*partials(scale), F.min(micros("ts")).alias("t_first"), F.max(micros("ts")).alias("t_last"))
+
+
+def windows_from_panes(
+    panes: DataFrame,
+    bounds: tuple[Column, Column],
+    like: str,
+    sizes: dict[str, int],
+    window_seconds: int,
+    step_seconds: int,
+    scale: int | None = 2,
+) -> DataFrame:
+    """Spread the panes over the windows they belong to and reduce, tagged with ``window_type``."""
+    window, step = window_seconds * SECOND, step_seconds * SECOND
 
     def slot(name: Column, start: Column, end: Column) -> Column:
         return F.struct(name.alias("window_type"), start.alias("start"), end.alias("end"))
 
-    tumblers = F.array(
-        *[
-            slot(F.lit(name), floor_to(F.col("pane"), size * SECOND), floor_to(F.col("pane"), size * SECOND) + size * SECOND)
-            for name, size in sizes.items()
-        ]
-    )
+    def tumbler(name: str, size: int) -> Column:
+        start = floor_to(F.col("pane"), size * SECOND)
+        return slot(F.lit(name), start, start + size * SECOND)
+
+    tumblers = F.array(*[tumbler(name, size) for name, size in sizes.items()])
     starts = F.when(
         F.col("first_start") <= F.col("last_start"), F.sequence("first_start", "last_start", F.lit(step))
     ).otherwise(F.array().cast("array<bigint>"))
@@ -241,14 +265,36 @@ def multi_resolution(
     spread = panes.select(
         F.explode(F.concat(tumblers, sliders)).alias("s"), "user_id", "n", "n_amount", "total", "lo", "hi"
     ).select("s.*", "user_id", "n", "n_amount", "total", "lo", "hi")
-    first, last = _series_bounds(events, window, step)
     return (
         fold_users(spread, ["window_type", "start", "end"])
-        .filter((F.col("window_type") != "sliding") | F.col("start").between(first, last))
+        .filter((F.col("window_type") != "sliding") | F.col("start").between(*bounds))
         .select(
             "window_type",
             from_micros(F.col("start"), like).alias("window_start"),
             from_micros(F.col("end"), like).alias("window_end"),
-            *_statistics(scale),
+            *statistics(scale),
         )
     )
+
+
+def multi_resolution(
+    events: DataFrame,
+    sizes: dict[str, int] | None = None,
+    window_seconds: int = 300,
+    step_seconds: int = 60,
+    scale: int | None = 2,
+) -> DataFrame:
+    """All tumbling sizes and the sliding series of one pass over the events.
+
+    Sliding windows without events are left out.
+    """
+    sizes = sizes or TUMBLING_SECONDS
+    return windows_from_panes(
+        pane_partials(events, sizes, window_seconds, step_seconds, scale),
+        series_bounds(events, window_seconds * SECOND, step_seconds * SECOND),
+        type_of(events, "ts"),
+        sizes,
+        window_seconds,
+        step_seconds,
+        scale,
+    )
