@@ -24,27 +24,45 @@ EVENT_COLUMNS = [
 ]
 
 
-def _kind(node: Column) -> Column:
-    """Type of a JSON node: str, int, float, bool, null, object, array; NULL if absent."""
-    kind = F.schema_of_variant(node)
+FIELDS = ["entity_id", "feature_name", "value", "timestamp", "source", "schema_version", "metadata"]
+
+
+def _once(value: Column) -> Column:
+    """The value, worked out once per row.
+
+    Exploding a one-element array keeps later filters and projections from
+    being merged into the expression, where each use would repeat the work.
+    """
+    return F.explode(F.array(value))
+
+
+def _fields(json: Column) -> Column:
+    """Type and text of every field of a message, and whether it is an object."""
+    columns = [F.schema_of_variant(json).startswith("OBJECT").alias("is_object")]
+    for name in FIELDS:
+        node = F.try_variant_get(json, f"$.{name}", "variant")
+        text = F.try_variant_get(json, f"$.{name}", "string")
+        columns += [F.schema_of_variant(node).alias(f"{name}_type"), text.alias(name)]
+    return F.struct(*columns, F.try_variant_get(json, "$.metadata", "map<string,string>").alias("metadata_map"))
+
+
+def _value_type(schema: Column) -> Column:
+    """Tag of a JSON value that is a number, text or truth value; NULL for anything else."""
+    other = schema.startswith("OBJECT") | schema.startswith("ARRAY") | (schema == "VOID")
     return (
-        F.when(node.isNull(), F.lit(None).cast("string"))
-        .when(kind == "STRING", F.lit("str"))
-        .when(kind == "BIGINT", F.lit("int"))
-        .when(kind == "BOOLEAN", F.lit("bool"))
-        .when(kind == "VOID", F.lit("null"))
-        .when(kind.startswith("OBJECT"), F.lit("object"))
-        .when(kind.startswith("ARRAY"), F.lit("array"))
-        .otherwise(F.lit("float"))
+        F.when(schema == "STRING", "str")
+        .when(schema == "BIGINT", "int")
+        .when(schema == "BOOLEAN", "bool")
+        .when(~other, "float")
     )
 
 
-def _timestamp(text: Column, kind: Column) -> Column:
-    number = F.when(kind.isin("int", "float"), text.try_cast("double"))
+def _timestamp(text: Column, schema: Column) -> Column:
+    number = text.try_cast("double")
     seconds = F.when(F.abs(number) > MILLISECONDS_FROM, number / 1000.0).otherwise(number)
-    return F.when(kind == "str", text.try_cast("timestamp")).when(
-        number.isNotNull(), F.timestamp_micros(F.round(seconds * 1_000_000.0).try_cast("bigint"))
-    )
+    numeric = F.timestamp_micros(F.round(seconds * 1_000_000.0).try_cast("bigint"))
+    tag = _value_type(schema)
+    return F.when(schema == "STRING", text.try_cast("timestamp")).when(tag.isin("int", "float"), numeric)
 
 
 def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None = None) -> DataFrame:
@@ -56,56 +74,65 @@ def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None
     """
     binary = raw.schema[value].dataType.typeName() == "binary"
     text = F.try_validate_utf8(F.col(value).cast("string")) if binary else F.col(value)
-    fields = ["entity_id", "feature_name", "value", "timestamp", "source", "schema_version", "metadata"]
-    parsed = raw.withColumn("_text", text).withColumn("_json", F.try_parse_json("_text"))
-    # one variant per field, then its text and its type
-    parsed = parsed.select(
-        "*", *[F.try_variant_get("_json", f"$.{f}", "variant").alias(f"_{f}") for f in fields]
-    )
-    parsed = parsed.select(
-        "*",
-        F.schema_of_variant("_json").startswith("OBJECT").alias("_is_object"),
-        *[F.try_variant_get(f"_{f}", "$", "string").alias(f"_{f}_text") for f in fields],
-        *[_kind(F.col(f"_{f}")).alias(f"_{f}_kind") for f in fields],
+    kept = [c for c in raw.columns if c not in EVENT_COLUMNS]
+    opened = raw.select(*kept, _once(F.try_parse_json(text)).alias("_json"))
+    opened = opened.select(*kept, F.col("_json").isNotNull().alias("_is_json"), _once(_fields(F.col("_json"))).alias("_m"))
+
+    def schema(name: str) -> Column:
+        return F.col(f"_m.{name}_type")
+
+    def content(name: str) -> Column:
+        return F.col(f"_m.{name}")
+
+    event_ts = _timestamp(content("timestamp"), schema("timestamp"))
+    if received_at is not None:
+        arrival = F.col(received_at).cast("timestamp")
+        event_ts = F.when(schema("timestamp").isNull(), arrival).otherwise(event_ts)
+    # the parts that cost something, again once per row
+    opened = opened.select(
+        *kept,
+        "_is_json",
+        "_m",
+        _once(
+            F.struct(
+                event_ts.alias("event_ts"),
+                _value_type(schema("value")).alias("value_type"),
+                content("entity_id").rlike(r"(?U)\A[\s\x1c-\x1f]*\z").alias("entity_blank"),
+                F.replace(content("feature_name"), F.lit("_"), F.lit(""))
+                .rlike(r"\A[\p{L}\p{N}]+\z")
+                .alias("name_fits"),
+            )
+        ).alias("_d"),
     )
-    kind = {f: F.col(f"_{f}_kind") for f in fields}
-    content = {f: F.col(f"_{f}_text") for f in fields}
-    given_ts = _timestamp(content["timestamp"], kind["timestamp"])
-    event_ts = given_ts if received_at is None else F.when(
-        kind["timestamp"].isNull(), F.col(received_at).cast("timestamp")
-    ).otherwise(given_ts)
-
-    name = content["feature_name"]
     error = (
         F.when(F.col(value).isNull(), "empty_message")
-        .when(F.col("_text").isNull(), "not_utf8")
-        .when(F.col("_json").isNull(), "malformed_json")
-        .when(~F.col("_is_object"), "not_an_object")
-        .when(kind["entity_id"].isNull(), "entity_id_missing")
-        .when(kind["entity_id"] != "str", "entity_id_type")
-        .when(content["entity_id"].rlike(r"(?U)\A[\s\x1c-\x1f]*\z"), "entity_id_blank")
-        .when(kind["feature_name"].isNull(), "feature_name_missing")
-        .when(kind["feature_name"] != "str", "feature_name_type")
-        .when(~F.replace(name, F.lit("_"), F.lit("")).rlike(r"\A[\p{L}\p{N}]+\z"), "feature_name_characters")
-        .when(name != F.lower(name), "feature_name_case")
-        .when(kind["value"].isNull(), "value_missing")
-        .when(~kind["value"].isin("float", "int", "str", "bool"), "value_type")
-        .when(event_ts.isNull(), "timestamp_invalid")
-        .when(~F.coalesce(kind["source"], F.lit("null")).isin("str", "null"), "source_type")
-        .when(F.coalesce(kind["schema_version"], F.lit("str")) != "str", "schema_version_type")
-        .when(~F.coalesce(kind["metadata"], F.lit("null")).isin("object", "null"), "metadata_type")
+        .when(text.isNull(), "not_utf8")
+        .when(~F.col("_is_json"), "malformed_json")
+        .when(~F.col("_m.is_object"), "not_an_object")
+        .when(schema("entity_id").isNull(), "entity_id_missing")
+        .when(schema("entity_id") != "STRING", "entity_id_type")
+        .when(F.col("_d.entity_blank"), "entity_id_blank")
+        .when(schema("feature_name").isNull(), "feature_name_missing")
+        .when(schema("feature_name") != "STRING", "feature_name_type")
+        .when(~F.col("_d.name_fits"), "feature_name_characters")
+        .when(content("feature_name") != F.lower(content("feature_name")), "feature_name_case")
+        .when(schema("value").isNull(), "value_missing")
+        .when(F.col("_d.value_type").isNull(), "value_type")
+        .when(F.col("_d.event_ts").isNull(), "timestamp_invalid")
+        .when(~F.coalesce(schema("source"), F.lit("VOID")).isin("STRING", "VOID"), "source_type")
+        .when(F.coalesce(schema("schema_version"), F.lit("STRING")) != "STRING", "schema_version_type")
+        .when(~F.coalesce(schema("metadata"), F.lit("VOID")).rlike(r"\A(VOID|OBJECT)"), "metadata_type")
     )
-    kept = [c for c in raw.columns if c not in EVENT_COLUMNS]
-    return parsed.select(
+    return opened.select(
         *kept,
-        content["entity_id"].alias("entity_id"),
-        name.alias("feature_name"),
-        content["value"].alias("value_raw"),
-        kind["value"].alias("value_type"),
-        event_ts.alias("event_ts"),
-        content["source"].alias("source"),
-        F.coalesce(content["schema_version"], F.lit(DEFAULT_SCHEMA_VERSION)).alias("schema_version"),
-        F.try_variant_get("_metadata", "$", "map<string,string>").alias("metadata"),
+        content("entity_id").alias("entity_id"),
+        content("feature_name").alias("feature_name"),
+        content("value").alias("value_raw"),
+        F.col("_d.value_type").alias("value_type"),
+        F.col("_d.event_ts").alias("event_ts"),
+        content("source").alias("source"),
+        F.coalesce(content("schema_version"), F.lit(DEFAULT_SCHEMA_VERSION)).alias("schema_version"),
+        F.col("_m.metadata_map").alias("metadata"),
         error.alias("error"),
     )
 

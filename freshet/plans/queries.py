@@ -344,7 +344,8 @@ def _message_stream(events: DataFrame) -> DataFrame:
 
     The value is a number, a text or a truth value, depending on the type.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     value = (
         F.when(F.col("event_type") == "view", F.floor("value").cast("string"))
         .when(F.col("event_type") == "signup", F.concat(F.lit('"v'), F.col("value").cast("string"), F.lit('"')))
@@ -358,8 +359,8 @@ def _message_stream(events: DataFrame) -> DataFrame:
         F.lit('{"entity_id":"'), entity, F.lit('","feature_name":"'), name, F.lit('","value":'),
         F.when(k == 4, "null").otherwise(value), F.lit(',"timestamp":"'), stamp, F.lit('","source":"web"}'),
     )
-    return events.select(
-        F.when(k == 5, F.substring(whole, 1, 40)).when(k == 6, "[]").otherwise(whole).alias("value"),
+    return events.withColumn("whole", whole).select(
+        F.when(k == 5, F.substring("whole", 1, 40)).when(k == 6, "[]").otherwise(F.col("whole")).alias("value"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("received_at"),
     )

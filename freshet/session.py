@@ -34,18 +34,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     A local session that names none (tests, a laptop) gets a temporary folder
-    for its lifetime; on a cluster the setting is required, since a folder of
-    one machine would be lost to the others.
+    of its own; on a cluster the setting is required, since a folder of one
+    machine would be lost to the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    own = tempfile.mkdtemp(prefix="freshet-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="freshet-")
+    return _own_dirs[context.applicationId]
