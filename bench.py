@@ -3,6 +3,7 @@
 BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default: all)
 BENCH_RUNS    timed runs per query after one warm-up; the best counts (default 2)
+BENCH_QUERIES names separated by commas instead of the headline queries
 """
 
 from __future__ import annotations
@@ -62,7 +63,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
-    for name in HEADLINE:
+    chosen = os.environ.get("BENCH_QUERIES")
+    for name in chosen.split(",") if chosen else HEADLINE:
         best = float("inf")
         for run in range(runs + 1):
             started = time.perf_counter()

@@ -36,13 +36,29 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def _ends_there(text: Column) -> Column:
+    """Whether nothing follows the first JSON value of the text.
+
+    The parser stops after that value and does not look further. An object
+    whose only closing brace is its last character needs no second look. Any
+    other text is parsed once more as an array with its length behind it, which
+    whatever follows the value would break.
+    """
+    plain = F.instr(text, "}") == F.char_length(F.rtrim(text))
+    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.octet_length(text), F.lit("]")))
+    second = F.try_variant_get(array, "$[1]", "bigint") == F.octet_length(text)
+    third = F.try_variant_get(array, "$[2]", "variant")
+    return F.when(plain, True).otherwise(F.coalesce(second, F.lit(False)) & third.isNull())
+
+
 def _fields(json: Column) -> Column:
     """Type and text of every field of a message, and whether it is an object."""
     columns = [F.schema_of_variant(json).startswith("OBJECT").alias("is_object")]
     for name in FIELDS:
         node = F.try_variant_get(json, f"$.{name}", "variant")
-        text = F.try_variant_get(json, f"$.{name}", "string")
-        columns += [F.schema_of_variant(node).alias(f"{name}_type"), text.alias(name)]
+        columns.append(F.schema_of_variant(node).alias(f"{name}_type"))
+        if name != "metadata":
+            columns.append(F.try_variant_get(json, f"$.{name}", "string").alias(name))
     return F.struct(*columns, F.try_variant_get(json, "$.metadata", "map<string,string>").alias("metadata_map"))
 
 
@@ -76,7 +92,8 @@ def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None
     text = F.try_validate_utf8(F.col(value).cast("string")) if binary else F.col(value)
     kept = [c for c in raw.columns if c not in EVENT_COLUMNS]
     opened = raw.select(*kept, _once(F.try_parse_json(text)).alias("_json"))
-    opened = opened.select(*kept, F.col("_json").isNotNull().alias("_is_json"), _once(_fields(F.col("_json"))).alias("_m"))
+    is_json = F.col("_json").isNotNull() & _ends_there(text)
+    opened = opened.select(*kept, is_json.alias("_is_json"), _once(_fields(F.col("_json"))).alias("_m"))
 
     def schema(name: str) -> Column:
         return F.col(f"_m.{name}_type")

@@ -1,4 +1,4 @@
-"""Sessions: runs of rows of a user with no pause of ``gap`` or more."""
+"""Sessions: runs of rows of a user with no pause longer than ``gap``."""
 
 from __future__ import annotations
 
@@ -11,8 +11,9 @@ from freshet.functions.clock import DAY, SECOND, floor_to, from_micros, micros,
 def sessions(rows: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int = DAY) -> DataFrame:
     """``user, session_start, session_end, event_count`` per session.
 
-    A row exactly ``gap`` after the one before it opens a new session, as in
-    Spark's own session windows; ``session_end`` is the last row plus the gap.
+    A row exactly ``gap`` after the one before it still belongs to its session,
+    as in Spark's own session windows; ``session_end`` is the last row plus the
+    gap.
 
     Runs are first found inside (user, time bucket). What is left per user is
     at most one run per gap and bucket of the covered time, however many rows
@@ -25,14 +26,14 @@ def sessions(rows: DataFrame, user: str, ts: str, gap_seconds: int, bucket_secon
     inside = Window.partitionBy("user", "bucket").orderBy("t")
     runs = (
         timed.withColumn("bucket", floor_to(F.col("t"), bucket))
-        .withColumn("opens", (F.col("t") - F.lag("t").over(inside) >= gap).cast("int"))
+        .withColumn("opens", (F.col("t") - F.lag("t").over(inside) > gap).cast("int"))
         .withColumn("run", F.sum(F.coalesce("opens", F.lit(1))).over(inside))
         .groupBy("user", "bucket", "run")
         .agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n"))
     )
     over = Window.partitionBy("user").orderBy("first")
     merged = (
-        runs.withColumn("opens", (F.col("first") - F.lag("last").over(over) >= gap).cast("int"))
+        runs.withColumn("opens", (F.col("first") - F.lag("last").over(over) > gap).cast("int"))
         .withColumn("session", F.sum(F.coalesce("opens", F.lit(1))).over(over))
         .groupBy("user", "session")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("event_count"))

@@ -276,20 +276,23 @@ def snapshot_diff(log: DataFrame, snap_a: str, snap_b: str) -> tuple[DataFrame,
     The header tells whether the schema changed and how the row count moved.
     """
 
-    def one(snapshot_id: str, tag: str) -> DataFrame:
-        return log.filter((F.col("event_type") == "commit") & (F.col("snapshot_id") == snapshot_id)).select(
-            F.lit(1).alias("one"),
-            F.col("snapshot_id").alias(f"snap_{tag}"),
-            F.col("schema_hash").alias(f"schema_hash_{tag}"),
-            F.col("row_count").alias(f"row_count_{tag}"),
-        )
+    commits = log.filter(F.col("event_type") == "commit")
+
+    def of(snapshot_id: str, name: str):
+        return F.max(F.when(F.col("snapshot_id") == snapshot_id, F.col(name)))
 
     header = (
-        one(snap_a, "a")
-        .join(one(snap_b, "b"), "one")
+        commits.filter(F.col("snapshot_id").isin(snap_a, snap_b))
+        .agg(
+            *[
+                of(snapshot_id, name).alias(f"{name}_{tag}")
+                for name in ("schema_hash", "row_count")
+                for tag, snapshot_id in (("a", snap_a), ("b", snap_b))
+            ]
+        )
         .select(
-            "snap_a",
-            "snap_b",
+            F.lit(snap_a).alias("snap_a"),
+            F.lit(snap_b).alias("snap_b"),
             (F.col("schema_hash_a") != F.col("schema_hash_b")).alias("schema_changed"),
             "schema_hash_a",
             "schema_hash_b",
@@ -301,7 +304,7 @@ def snapshot_diff(log: DataFrame, snap_a: str, snap_b: str) -> tuple[DataFrame,
 
     def stats(snapshot_id: str) -> DataFrame:
         return (
-            log.filter((F.col("event_type") == "commit") & (F.col("snapshot_id") == snapshot_id))
+            commits.filter(F.col("snapshot_id") == snapshot_id)
             .select(F.explode("stats").alias("column_name", "s"))
             .select("column_name", "s.*")
         )

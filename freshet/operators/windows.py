@@ -107,20 +107,15 @@ def sliding_at(events: DataFrame, at: str, window_seconds: int, scale: int | Non
 
 def sliding_at_latest(events: DataFrame, window_seconds: int, scale: int | None = 2) -> DataFrame:
     """As ``sliding_at`` at the time of the newest event."""
-    like = type_of(events, "ts")
     newest = events.agg(F.max("ts").alias("end")).scalar()
-    start = from_micros(micros(newest) - window_seconds * SECOND, like)
-    bounds = events.agg(F.max("ts").alias("window_end")).select(
-        from_micros(micros("window_end") - window_seconds * SECOND, like).alias("window_start"), "window_end"
-    )
-    inside = (
+    start = from_micros(micros(newest) - window_seconds * SECOND, type_of(events, "ts"))
+    return (
         events.filter(F.col("ts") >= start)
         .groupBy("user_id")
         .agg(*partials(scale))
         .agg(*merged(), F.count("user_id").alias("users"))
-        .select(F.lit(1).alias("one"), *statistics(scale))
+        .select(start.alias("window_start"), newest.alias("window_end"), *statistics(scale))
     )
-    return bounds.withColumn("one", F.lit(1)).join(inside, "one").drop("one")
 
 
 def sliding_classes(window_seconds: int, step_seconds: int) -> list[Column]:

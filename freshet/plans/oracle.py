@@ -106,7 +106,7 @@ qualify row_number() over (partition by customer_id order by n desc, p_brand) =
 SESSIONS = """
 marked as (
   select user_id, ts,
-         case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minutes then 0 else 1 end as opens
+         case when ts - lag(ts) over (partition by user_id order by ts) <= interval 30 minutes then 0 else 1 end as opens
   from {source}),
 placed as (select *, sum(opens) over (partition by user_id order by ts) as nr from marked),
 found as (select user_id, nr, min(ts) as first_ts, max(ts) as last_ts, count(*) as n from placed group by user_id, nr)

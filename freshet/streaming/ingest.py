@@ -41,7 +41,7 @@ def start_ingest(
         batch.persist()
         try:
             write_batch(dead_letters(batch), dead_letter_path, batch_id)
-            events = valid_events(batch).drop("value").withColumnRenamed(received_at, "written_at")
+            events = valid_events(batch).drop("value", "metadata").withColumnRenamed(received_at, "written_at")
             last = latest_values(events, ["written_at" if c == received_at else c for c in order])
             write_batch(with_expiry(last, definitions, multiplier=multiplier), latest_path, batch_id)
         finally:
