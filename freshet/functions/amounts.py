@@ -2,9 +2,10 @@
 
 Doubles added in another order differ in their last bits, so a task that is
 run again, or another cluster size, would change a feature value. Amounts are
-money, so they are summed as decimals with ``scale`` digits. A value that does
-not fit the scale stops the query instead of being rounded. ``scale=None``
-turns all of this off and works on plain doubles.
+money, so they are added as whole units of ``10 ** -scale``, which is exact and
+as cheap as adding doubles. A value that is no whole number of units stops the
+query instead of being rounded, and so does a sum beyond 64 bits.
+``scale=None`` turns all of this off and works on plain doubles.
 """
 
 from __future__ import annotations
@@ -13,32 +14,50 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact(column: Column | str, scale: int | None) -> Column:
-    """The amount as ``decimal(18, scale)``; fails on a value with more digits."""
-    value = F.col(column) if isinstance(column, str) else column
+def units(column: Column | str, scale: int | None) -> Column:
+    """The amount in whole units; fails on a value with more digits."""
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
     if scale is None:
-        return value.cast("double")
-    fixed = value.try_cast(f"decimal(18,{scale})")
-    return F.when(value.isNull() | (fixed.cast("double") == value.cast("double")), fixed).otherwise(
+        return value
+    factor = float(10**scale)
+    whole = F.rint(value * factor).cast("bigint")
+    return F.when(value.isNull() | (whole.cast("double") / factor == value), whole).otherwise(
         F.raise_error(F.concat(F.lit(f"amount does not fit {scale} decimals: "), value.cast("string")))
     )
 
 
-def mean(total: Column, n: Column) -> Column:
+def amount(total: Column, scale: int | None) -> Column:
+    """A sum of units as a double."""
+    return total.cast("double") if scale is None else total.cast("double") / float(10**scale)
+
+
+def rounded_amount(total: Column, digits: int, scale: int | None) -> Column:
+    if scale is None:
+        return F.round(total, digits)
+    if scale <= digits:
+        return amount(total, scale)
+    return F.round(total.cast("decimal(20,0)"), digits - scale).cast("double") / float(10**scale)
+
+
+def mean(total: Column, n: Column, scale: int | None) -> Column:
     """Double mean, NULL for an empty group."""
-    return F.try_divide(total.cast("double"), n.cast("double"))
+    return F.try_divide(amount(total, scale), n.cast("double"))
 
 
 def rounded_mean(total: Column, n: Column, digits: int, scale: int | None) -> Column:
     """Mean rounded half up; in decimals, so a tie is a tie."""
     if scale is None:
-        return F.round(mean(total, n), digits)
-    quotient = F.try_divide(total.cast(f"decimal(24,{scale})"), n.cast("decimal(13,0)"))
-    return F.round(quotient, digits).cast("double")
+        return F.round(mean(total, n, scale), digits)
+    quotient = F.try_divide(total.cast("decimal(20,0)"), n.cast("decimal(13,0)"))
+    return F.round(quotient, digits - scale).cast("double") / float(10**scale)
 
 
-def square_sum(value: Column) -> Column:
-    return F.sum(value * value)
+def square_sum(value: Column, scale: int | None) -> Column:
+    """Aggregate: sum of squared units."""
+    if scale is None:
+        return F.sum(value * value)
+    wide = value.cast("decimal(19,0)")
+    return F.sum(wide * wide)
 
 
 def sample_std(n: Column, total: Column, squares: Column, scale: int | None) -> Column:
@@ -48,10 +67,10 @@ def sample_std(n: Column, total: Column, squares: Column, scale: int | None) ->
     amounts give exactly zero.
     """
     if scale is None:
-        numerator = n.cast("double") * squares - total * total
-        numerator = F.greatest(numerator, F.lit(0.0))
+        numerator = F.greatest(n.cast("double") * squares - total * total, F.lit(0.0))
     else:
-        t = total.cast(f"decimal(18,{scale})")
-        numerator = (n.cast("decimal(12,0)") * squares.cast(f"decimal(25,{2 * scale})") - t * t).cast("double")
+        t = total.cast("decimal(18,0)")
+        exact = n.cast("decimal(12,0)") * squares.cast("decimal(25,0)") - t * t
+        numerator = exact.cast("double") / float(10 ** (2 * scale))
     pairs = n.cast("double") * (n.cast("double") - 1.0)
     return F.when(n > 1, F.sqrt(numerator / pairs))

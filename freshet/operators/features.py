@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.amounts import exact, mean, sample_std, square_sum
+from freshet.functions.amounts import mean, rounded_amount, sample_std, square_sum, units
 from freshet.operators.joins import attach
 
 WIDE_COLUMNS = [
@@ -34,7 +34,7 @@ WIDE_COLUMNS = [
 
 def _daily_rolling(txns: DataFrame, days: int, scale: int | None) -> DataFrame:
     """Per (user, date): sum and count of the dates ``[date - days, date]``."""
-    amount = exact("amount", scale)
+    amount = units("amount", scale)
     daily = txns.groupBy("user_id", "event_date").agg(
         F.sum(amount).alias("day_sum"), F.count("amount").alias("day_n")
     )
@@ -57,7 +57,7 @@ def rolling_spend_avg(txns: DataFrame, days: int = 7, scale: int | None = 2) ->
         "user_id",
         "txn_id",
         "event_date",
-        mean(F.col("frame_sum"), F.col("frame_n")).alias("rolling_7d_spend_avg"),
+        mean(F.col("frame_sum"), F.col("frame_n"), scale).alias("rolling_7d_spend_avg"),
     )
 
 
@@ -86,13 +86,13 @@ def top_merchant_category(txns: DataFrame) -> DataFrame:
 
 def anomaly_scores(txns: DataFrame, scale: int | None = 2) -> DataFrame:
     """z-score of each amount against its user; 0 where there is no deviation."""
-    amount = exact("amount", scale)
+    amount = units("amount", scale)
     stats = txns.groupBy("user_id").agg(
-        F.count("amount").alias("n"), F.sum(amount).alias("s1"), square_sum(amount).alias("s2")
+        F.count("amount").alias("n"), F.sum(amount).alias("s1"), square_sum(amount, scale).alias("s2")
     )
     stats = stats.select(
         "user_id",
-        mean(F.col("s1"), F.col("n")).alias("user_mean"),
+        mean(F.col("s1"), F.col("n"), scale).alias("user_mean"),
         sample_std(F.col("n"), F.col("s1"), F.col("s2"), scale).alias("user_std"),
     )
     return attach(txns, stats, ["user_id"]).select(
@@ -110,7 +110,7 @@ def rfm(txns: DataFrame, reference_date: date | str, scale: int | None = 2) -> D
     return txns.groupBy("user_id").agg(
         F.datediff(F.lit(str(reference_date)).cast("date"), F.max("event_date")).alias("recency_days"),
         F.count("*").alias("frequency"),
-        F.round(F.sum(exact("amount", scale)), 2).cast("double").alias("monetary"),
+        rounded_amount(F.sum(units("amount", scale)), 2, scale).alias("monetary"),
     )
 
 
@@ -127,12 +127,12 @@ def wide_features(
     keyed = txns.filter(
         F.col("user_id").isNotNull() & F.col("txn_id").isNotNull() & F.col("event_date").isNotNull()
     )
-    amount = exact("amount", scale)
+    amount = units("amount", scale)
     per_category = keyed.groupBy("user_id", "merchant_category").agg(
         F.count("*").alias("rows"),
         F.count("amount").alias("n"),
         F.sum(amount).alias("s1"),
-        square_sum(amount).alias("s2"),
+        square_sum(amount, scale).alias("s2"),
         F.max("event_date").alias("last_date"),
     )
     per_user = per_category.groupBy("user_id").agg(
@@ -149,8 +149,8 @@ def wide_features(
         (-F.col("best.neg_count")).alias("merchant_category_count"),
         F.datediff(F.lit(str(reference_date)).cast("date"), F.col("last_date")).alias("recency_days"),
         "frequency",
-        F.round("s1", 2).cast("double").alias("monetary"),
-        mean(F.col("s1"), F.col("n")).alias("user_mean"),
+        rounded_amount(F.col("s1"), 2, scale).alias("monetary"),
+        mean(F.col("s1"), F.col("n"), scale).alias("user_mean"),
         sample_std(F.col("n"), F.col("s1"), F.col("s2"), scale).alias("user_std"),
     )
     per_user_date = (
@@ -158,7 +158,7 @@ def wide_features(
         .select(
             "user_id",
             "event_date",
-            mean(F.col("frame_sum"), F.col("frame_n")).alias("rolling_7d_spend_avg"),
+            mean(F.col("frame_sum"), F.col("frame_n"), scale).alias("rolling_7d_spend_avg"),
         )
         .join(per_user, "user_id")
     )

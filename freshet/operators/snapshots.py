@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from freshet.functions.amounts import exact, mean, sample_std, square_sum
+from freshet.functions.amounts import mean, sample_std, square_sum, units
 
 STAT = "mean: double, std: double, min: double, max: double"
 LOG_SCHEMA = (
@@ -60,15 +60,15 @@ def profile(df: DataFrame, scale: int | None = None, columns: list[str] | None =
         if scale is None:
             parts += [F.avg(name).alias(f"mean_{i}"), F.stddev_samp(name).alias(f"std_{i}")]
         else:
-            value = exact(name, scale)
-            parts += [F.count(name).alias(f"n_{i}"), F.sum(value).alias(f"s1_{i}"), square_sum(value).alias(f"s2_{i}")]
+            value = units(name, scale)
+            parts += [F.count(name).alias(f"n_{i}"), F.sum(value).alias(f"s1_{i}"), square_sum(value, scale).alias(f"s2_{i}")]
 
     def stat(i: int, name: str):
         if scale is None:
             center, spread = F.col(f"mean_{i}"), F.col(f"std_{i}")
         else:
             n, s1, s2 = F.col(f"n_{i}"), F.col(f"s1_{i}"), F.col(f"s2_{i}")
-            center, spread = mean(s1, n), sample_std(n, s1, s2, scale)
+            center, spread = mean(s1, n, scale), sample_std(n, s1, s2, scale)
         values = {"mean": center, "std": spread, "min": F.col(f"lo_{i}"), "max": F.col(f"hi_{i}")}
         return F.struct(
             F.lit(name).alias("column_name"),
@@ -100,7 +100,7 @@ def profile_diff(profile_a: DataFrame, profile_b: DataFrame) -> DataFrame:
 
 def drift_series(rows: DataFrame, snapshot: str, column: str, scale: int | None = None) -> DataFrame:
     """Mean and deviation of a column per snapshot, with the change of the mean since the one before."""
-    value = exact(column, scale)
+    value = units(column, scale)
     if scale is None:
         stats = rows.groupBy(snapshot).agg(
             F.count("*").alias("row_count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")
@@ -110,12 +110,12 @@ def drift_series(rows: DataFrame, snapshot: str, column: str, scale: int | None
             F.count("*").alias("row_count"),
             F.count(column).alias("n"),
             F.sum(value).alias("s1"),
-            square_sum(value).alias("s2"),
+            square_sum(value, scale).alias("s2"),
         )
         stats = stats.select(
             snapshot,
             "row_count",
-            mean(F.col("s1"), F.col("n")).alias("mean"),
+            mean(F.col("s1"), F.col("n"), scale).alias("mean"),
             sample_std(F.col("n"), F.col("s1"), F.col("s2"), scale).alias("std"),
         )
     # one row per snapshot

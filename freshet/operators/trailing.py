@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.amounts import exact, mean
+from freshet.functions.amounts import amount as as_amount
+from freshet.functions.amounts import mean, units
 from freshet.functions.clock import DAY, SECOND, floor_to, instant, micros, type_of
 
 # kinds of rows inside a bucket, in the order in which they are applied
@@ -33,17 +34,17 @@ def trailing_totals(
     Both ends of the window count, and so do rows with an equal time. Every
     row adds itself when it happens and takes itself back just after it has
     left the window, so the window is a running total: linear in the rows for
-    any width. Sums are decimals, hence taking back leaves no residue. Rows
+    any width. Sums are exact, hence taking back leaves no residue. Rows
     without a time get NULL.
     """
     width, bucket = width_seconds * SECOND, bucket_seconds * SECOND
-    value = F.coalesce(exact(amount, scale), F.lit(0).cast(f"decimal(18,{scale})")) if amount else None
+    value = F.coalesce(units(amount, scale), F.lit(0)) if amount else None
 
     def moves(source: DataFrame, payload: bool) -> DataFrame:
         def move(kind: int, t: Column, sign: int) -> Column:
             fields = [F.lit(kind).alias("kind"), t.alias("t"), F.lit(sign).cast("long").alias("dn")]
             if value is not None:
-                fields.append((value * F.lit(sign).cast("decimal(1,0)")).alias("ds"))
+                fields.append((value * F.lit(sign)).alias("ds"))
             if payload:
                 row = F.struct(*[F.col(c) for c in source.columns])
                 fields.append((row if kind == _ROW else F.lit(None).cast(source.schema)).alias("row"))
@@ -80,7 +81,7 @@ def trailing_totals(
     known = F.col("t").isNotNull()
     columns = [F.col("row.*"), F.when(known, F.col("dn")).alias("trailing_count")]
     if amount:
-        columns.append(F.when(known, F.col("ds").cast("double")).alias("trailing_sum"))
+        columns.append(F.when(known, as_amount(F.col("ds"), scale)).alias("trailing_sum"))
     return out.select(*columns)
 
 
@@ -147,7 +148,7 @@ def last_rows_mean(
     spread = spread.withColumn("run", F.col("own_run") + F.col("ahead"))
     frame = Window.partitionBy(entity, "run").orderBy("position").rowsBetween(-(n - 1), 0)
     return (
-        spread.withColumn("trailing_mean", mean(F.sum(exact(amount, scale)).over(frame), F.count(amount).over(frame)))
+        spread.withColumn("trailing_mean", mean(F.sum(units(amount, scale)).over(frame), F.count(amount).over(frame), scale))
         .filter(F.col("ahead") == 0)
         .drop("own_run", "ahead", "run", "position")
     )
@@ -168,7 +169,7 @@ def latest_rows_mean(
         .filter(F.col("rank") <= n)
         .groupBy(entity)
         .agg(
-            mean(F.sum(exact(amount, scale)), F.count(amount)).alias("latest_mean"),
+            mean(F.sum(units(amount, scale)), F.count(amount), scale).alias("latest_mean"),
             F.count("*").alias("rows_used"),
         )
     )

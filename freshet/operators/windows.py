@@ -17,7 +17,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.amounts import exact, rounded_mean
+from freshet.functions.amounts import rounded_amount, rounded_mean, units
 from freshet.functions.clock import SECOND, ceil_to, floor_to, from_micros, instant, micros, type_of
 
 TUMBLING_SECONDS = {"1min": 60, "5min": 300, "1hr": 3600}
@@ -29,7 +29,7 @@ def partials(scale: int | None) -> list[Column]:
     return [
         F.count("*").alias("n"),
         F.count("amount").alias("n_amount"),
-        F.sum(exact("amount", scale)).alias("total"),
+        F.sum(units("amount", scale)).alias("total"),
         F.min("amount").alias("lo"),
         F.max("amount").alias("hi"),
     ]
@@ -50,7 +50,7 @@ def statistics(scale: int | None) -> list[Column]:
     zero = F.lit(0.0)
     return [
         F.coalesce("n", F.lit(0)).alias("count"),
-        F.coalesce(F.round("total", 2).cast("double"), zero).alias("total_amount"),
+        F.coalesce(rounded_amount(F.col("total"), 2, scale), zero).alias("total_amount"),
         F.coalesce(rounded_mean(F.col("total"), F.col("n_amount"), 2, scale), zero).alias("avg_amount"),
         F.coalesce(F.round("lo", 2), zero).alias("min_amount"),
         F.coalesce(F.round("hi", 2), zero).alias("max_amount"),
@@ -245,28 +245,30 @@ def windows_from_panes(
     """Spread the panes over the windows they belong to and reduce, tagged with ``window_type``."""
     window, step = window_seconds * SECOND, step_seconds * SECOND
 
-    def slot(name: Column, start: Column, end: Column) -> Column:
-        return F.struct(name.alias("window_type"), start.alias("start"), end.alias("end"))
+    lengths = [*[size * SECOND for size in sizes.values()], window]
+    names = [*sizes, "sliding"]
 
-    def tumbler(name: str, size: int) -> Column:
-        start = floor_to(F.col("pane"), size * SECOND)
-        return slot(F.lit(name), start, start + size * SECOND)
+    # a slot is the number of the window kind and the start; the rest follows from these
+    def slot(kind: int, start: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"))
 
-    tumblers = F.array(*[tumbler(name, size) for name, size in sizes.items()])
+    tumblers = F.array(*[slot(i, floor_to(F.col("pane"), length)) for i, length in enumerate(lengths[:-1])])
     starts = F.when(
         F.col("first_start") <= F.col("last_start"), F.sequence("first_start", "last_start", F.lit(step))
     ).otherwise(F.array().cast("array<bigint>"))
-    sliders = F.transform(starts, lambda s: slot(F.lit("sliding"), s, s + window))
+    sliders = F.transform(starts, lambda s: slot(len(sizes), s))
     spread = panes.select(
         F.explode(F.concat(tumblers, sliders)).alias("s"), "user_id", "n", "n_amount", "total", "lo", "hi"
     ).select("s.*", "user_id", "n", "n_amount", "total", "lo", "hi")
+    kind = F.col("kind") + 1
+    end = F.col("start") + F.element_at(F.array(*[F.lit(length) for length in lengths]), kind)
     return (
-        fold_users(spread, ["window_type", "start", "end"])
-        .filter((F.col("window_type") != "sliding") | F.col("start").between(*bounds))
+        fold_users(spread, ["kind", "start"])
+        .filter((F.col("kind") != len(sizes)) | F.col("start").between(*bounds))
         .select(
-            "window_type",
+            F.element_at(F.array(*[F.lit(name) for name in names]), kind).alias("window_type"),
             from_micros(F.col("start"), like).alias("window_start"),
-            from_micros(F.col("end"), like).alias("window_end"),
+            from_micros(end, like).alias("window_end"),
             *statistics(scale),
         )
     )
