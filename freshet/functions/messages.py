@@ -25,6 +25,7 @@ EVENT_COLUMNS = [
 
 
 FIELDS = ["entity_id", "feature_name", "value", "timestamp", "source", "schema_version", "metadata"]
+_DOCUMENT = f"struct<{', '.join(f'{f}: variant' for f in FIELDS)}, broken: string>"
 
 
 def _once(value: Column) -> Column:
@@ -45,21 +46,21 @@ def _ends_there(text: Column) -> Column:
     whatever follows the value would break.
     """
     plain = F.instr(text, "}") == F.char_length(F.rtrim(text))
-    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.octet_length(text), F.lit("]")))
-    second = F.try_variant_get(array, "$[1]", "bigint") == F.octet_length(text)
-    third = F.try_variant_get(array, "$[2]", "variant")
-    return F.when(plain, True).otherwise(F.coalesce(second, F.lit(False)) & third.isNull())
+    array = F.from_json(F.concat(F.lit("["), text, F.lit(","), F.octet_length(text), F.lit("]")), "array<string>")
+    both = (F.size(array) == 2) & (F.get(array, F.lit(1)) == F.octet_length(text).cast("string"))
+    return F.when(plain, True).otherwise(F.coalesce(both, F.lit(False)))
 
 
-def _fields(json: Column) -> Column:
-    """Type and text of every field of a message, and whether it is an object."""
-    columns = [F.schema_of_variant(json).startswith("OBJECT").alias("is_object")]
+def _fields(document: str) -> Column:
+    """Type and text of every field of a message."""
+    columns = []
     for name in FIELDS:
-        node = F.try_variant_get(json, f"$.{name}", "variant")
+        node = F.col(f"{document}.{name}")
         columns.append(F.schema_of_variant(node).alias(f"{name}_type"))
         if name != "metadata":
-            columns.append(F.try_variant_get(json, f"$.{name}", "string").alias(name))
-    return F.struct(*columns, F.try_variant_get(json, "$.metadata", "map<string,string>").alias("metadata_map"))
+            columns.append(F.try_variant_get(node, "$", "string").alias(name))
+    metadata = F.try_variant_get(f"{document}.metadata", "$", "map<string,string>")
+    return F.struct(*columns, metadata.alias("metadata_map"))
 
 
 def _value_type(schema: Column) -> Column:
@@ -91,9 +92,15 @@ def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None
     binary = raw.schema[value].dataType.typeName() == "binary"
     text = F.try_validate_utf8(F.col(value).cast("string")) if binary else F.col(value)
     kept = [c for c in raw.columns if c not in EVENT_COLUMNS]
-    opened = raw.select(*kept, _once(F.try_parse_json(text)).alias("_json"))
-    is_json = F.col("_json").isNotNull() & _ends_there(text)
-    opened = opened.select(*kept, is_json.alias("_is_json"), _once(_fields(F.col("_json"))).alias("_m"))
+    # one parse per message; each field comes as a node that knows its type
+    document = F.from_json(text, _DOCUMENT, {"columnNameOfCorruptRecord": "broken"})
+    opened = raw.select(*kept, _once(document).alias("_doc"))
+    is_object = F.col("_doc").isNotNull() & F.col("_doc.broken").isNull()
+    # only what is no object is looked at again
+    is_json = F.when(is_object, True).otherwise(F.try_parse_json(text).isNotNull()) & _ends_there(text)
+    opened = opened.select(
+        *kept, is_object.alias("_is_object"), is_json.alias("_is_json"), _once(_fields("_doc")).alias("_m")
+    )
 
     def schema(name: str) -> Column:
         return F.col(f"_m.{name}_type")
@@ -108,6 +115,7 @@ def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None
     # the parts that cost something, again once per row
     opened = opened.select(
         *kept,
+        "_is_object",
         "_is_json",
         "_m",
         _once(
@@ -125,7 +133,7 @@ def parse_messages(raw: DataFrame, value: str = "value", received_at: str | None
         F.when(F.col(value).isNull(), "empty_message")
         .when(text.isNull(), "not_utf8")
         .when(~F.col("_is_json"), "malformed_json")
-        .when(~F.col("_m.is_object"), "not_an_object")
+        .when(~F.col("_is_object"), "not_an_object")
         .when(schema("entity_id").isNull(), "entity_id_missing")
         .when(schema("entity_id") != "STRING", "entity_id_type")
         .when(F.col("_d.entity_blank"), "entity_id_blank")

@@ -76,6 +76,19 @@ def test_rejected(spark, text, error):
     assert row.error == error
 
 
+@pytest.mark.parametrize("tail", [" x", "}", "]", ',{"a":1}', ',5', '], [', '},"z":1', " {}"])
+@pytest.mark.parametrize("whole", [event(), event(metadata={"a": {"b": "}"}}), event(value="}]")])
+def test_anything_behind_the_object_is_malformed(spark, whole, tail):
+    good, bad = parse(spark, whole, whole + tail).orderBy("offset").collect()
+    assert (good.error, bad.error) == (None, "malformed_json")
+
+
+def test_repeated_key_takes_its_last_value(spark):
+    twice = event(metadata={"a": "b"})[:-1] + ',"value":2}'
+    (row,) = parse(spark, twice).collect()
+    assert (row.error, row.value_raw) == (None, "2")
+
+
 def test_letters_of_any_script_are_fine(spark):
     (row,) = parse(spark, event(feature_name="größe_2")).collect()
     assert row.error is None
