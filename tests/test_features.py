@@ -174,6 +174,9 @@ def test_hot_user_is_split_and_right(spark):
         )
         cents = F.round(F.col("amount") * 100).cast("bigint")
         brute = t.select("txn_id", (F.sum(cents).over(w) / F.count("*").over(w) / 100).alias("expected"))
+        for single in (features.rolling_spend_avg(t), features.anomaly_scores(t)):
+            assert len(single.collect()) == 120_000
+            assert "skew=true" in single._jdf.queryExecution().executedPlan().toString()
         off = wide.join(brute, "txn_id").filter(F.abs(F.col("expected") - F.col("rolling_7d_spend_avg")) > 1e-9)
         assert off.isEmpty()
     finally:
