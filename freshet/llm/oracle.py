@@ -1,0 +1,3 @@
+"""DuckDB SQL with the results of those queries that SQL can express."""
+
+ORACLE_SQL: dict[str, str] = {}
