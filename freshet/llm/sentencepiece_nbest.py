@@ -6,15 +6,15 @@ arc of ``UNKNOWN_PENALTY`` below the least score, written as byte pieces. A
 segmentation's score is the sum of its pieces' scores, as the model file
 states them.
 
-A forward pass (Viterbi) gives the best score from the start to each node.
+A forward pass (Viterbi) gives the best scores from the start to each node.
 Those are exact heuristics for a backward A* search from the end: the sum of
 a partial path's score and the heuristic of its first node is the score of
 its best completion, so complete paths come out in order of score. Of equal
 ones, the deeper goes first, which keeps the agenda small.
 
 No piece has a word mark after another character, so the lattice falls apart
-at the words. A word's forward and backward passes give its best segmentation
-and how far its second best is behind; both are cached, and the A* search runs
+at the words. A word's forward pass gives its best segmentation and how far
+its second best is behind; both are cached, and the A* search runs
 only in those words of a text that can take part in its N best, which are the
 N - 1 words whose second best is least behind. The N best of the text are the
 N best choices among these.
@@ -30,6 +30,7 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -52,8 +53,10 @@ from freshet.llm.common import map_rows
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 250_000
+CACHED_PARTS = 250_000
 CACHED_CHOICES = 20_000
 SLICE_CHARS = 1_000_000
+_NEVER = float("-inf")
 
 EDIT = StructType([StructField("at", IntegerType()), StructField("n", IntegerType()), StructField("ids", ArrayType(IntegerType()))])
 ALTERNATIVE = StructType([StructField("score", DoubleType()), StructField("edits", ArrayType(EDIT))])
@@ -93,6 +96,8 @@ class Encoder:
         self.text_of = [p.replace(MARK, " ").encode() for p in model["pieces"]]
         for value, i in self.bytes.items():
             self.text_of[i] = bytes([value])
+        self.parts: dict[str, tuple[list[int], float, float]] = {}
+        self.choices: dict[str, list[tuple[float, list[int]]]] = {}
         self._forget()
 
     # -- lattices
@@ -107,16 +112,12 @@ class Encoder:
                 ends[i + 1].append((i, -1, self.unknown_score))
         return ends
 
-    def forward(self, ends: list) -> tuple[list[float], list[tuple[int, int, float]]]:
-        best, back = [0.0], [(0, 0, 0.0)]
+    def forward(self, ends: list) -> list[float]:
+        """Best score from the start to each node."""
+        best = [0.0]
         for arcs in ends[1:]:
-            top, by = -np.inf, None
-            for arc in arcs:
-                if (total := best[arc[0]] + arc[2]) > top:
-                    top, by = total, arc
-            best.append(top)
-            back.append(by)
-        return best, back
+            best.append(max((best[start] + score for start, _, score in arcs), default=_NEVER))
+        return best
 
     def ids(self, seg: str, start: int, end: int, piece: int) -> list[int]:
         if piece >= 0:
@@ -125,35 +126,49 @@ class Encoder:
         return [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
 
     def solve(self, seg: str) -> tuple[list[int], float, float]:
-        """Best ids, their score, and how far the second best is behind (infinite if there is none)."""
-        ends = self.lattice(seg)
-        best, back = self.forward(ends)
-        at, path = len(seg), []
+        """Best ids, their score, and how far the second best is behind (infinite if there is none).
+
+        Forward pass that keeps the two best scores of each node. Arcs come
+        in order of their ends, so the nodes before are complete.
+        """
+        if self.singles.issuperset(seg):
+            arcs = self.arcs.iter(seg)
+        else:
+            arcs = ((end - 1, (p, end - start, score)) for end, found in enumerate(self.lattice(seg)) for start, p, score in found)
+        size = len(seg) + 1
+        best, second = [_NEVER] * size, [_NEVER] * size
+        best[0] = 0.0
+        back: list[tuple[int, int]] = [(0, 0)] * size
+        for last, (piece, length, score) in arcs:
+            end = last + 1
+            start = end - length
+            total = best[start] + score
+            if total > best[end]:
+                if best[end] > second[end]:
+                    second[end] = best[end]
+                best[end] = total
+                back[end] = (start, piece)
+            elif total > second[end]:
+                second[end] = total
+            total = second[start] + score
+            if total > second[end]:
+                second[end] = total
+        path = []
+        at = size - 1
         while at:
-            path.append((at, back[at]))
-            at = back[at][0]
-        total = best[-1]
-        on = {(end, arc[0]) for end, arc in path}
-        rest = [-np.inf] * len(seg) + [0.0]
-        second = -np.inf
-        for end in range(len(seg), 0, -1):
-            after = rest[end]
-            if after == -np.inf:
-                continue
-            for start, _, score in ends[end]:
-                if (through := after + score) > rest[start]:
-                    rest[start] = through
-                if (whole := through + best[start]) > second and (end, start) not in on:
-                    second = whole
-        out: list[int] = []
-        for end, (start, piece, _) in reversed(path):
-            out += self.ids(seg, start, end, piece)
-        return out, total, total - second
+            start, piece = back[at]
+            if piece >= 0:
+                path.append(piece)
+            else:
+                path += reversed(self.ids(seg, start, at, piece))
+            at = start
+        path.reverse()
+        return path, best[-1], best[-1] - second[-1]
 
     def n_best(self, seg: str) -> list[tuple[float, list[int]]]:
         """Up to n (score, ids) of a segment in order, by A* from the end."""
         ends = self.lattice(seg)
-        best, _ = self.forward(ends)
+        best = self.forward(ends)
         agenda = [(-best[-1], len(seg), 0, 0.0, None)]
         found, serial = [], 1
         while agenda and len(found) < self.n:
@@ -167,7 +182,7 @@ class Encoder:
                 found.append((tail, ids))
                 continue
             for start, piece, score in ends[at]:
-                if best[start] > -np.inf:
+                if best[start] > _NEVER:
                     heapq.heappush(agenda, (-(best[start] + score + tail), start, serial, score + tail, ((start, at, piece), path)))
                     serial += 1
         return found
@@ -176,16 +191,17 @@ class Encoder:
 
     def _forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.parts: dict[str, tuple[list[int], float, float]] = {}
         self.flat = array("i")
         self.sizes, self.starts = array("i"), array("q")
         self.scores, self.behind = array("d"), array("d")
-        self.choices: dict[str, list[tuple[float, list[int]]]] = {}
         self._arrays = None
 
     def _cut(self, seg: str) -> list[str]:
         """The segment, cut where no piece can lie across."""
-        cuts = [i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in self.inside]
+        inside = self.inside
+        if all(map(inside.__contains__, map(add, seg, seg[1:]))):
+            return [seg]
+        cuts = [i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in inside]
         return [seg[a:b] for a, b in zip([0, *cuts], [*cuts, len(seg)], strict=True)]
 
     def _learn(self, word: str) -> None:
@@ -198,7 +214,8 @@ class Encoder:
                     self.parts[part] = got
             ids += got[0]
             score += got[1]
-            behind = min(behind, got[2])
+            if got[2] < behind:
+                behind = got[2]
         self.codes[word] = len(self.sizes)
         self.starts.append(len(self.flat))
         self.sizes.append(len(ids))
@@ -208,7 +225,7 @@ class Encoder:
 
     def words(self, text: str) -> list[str]:
         """Words without their first mark; runs of spaces go with the word after them."""
-        if "  " in text or text[0] == " " or text[-1] == " ":
+        if "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
             marked = MARK + text.replace(" ", MARK)
             return [w[1:] for w in re.findall(f"{MARK}+[^{MARK}]*", marked)]
         return text.split(" ")
@@ -217,8 +234,10 @@ class Encoder:
         """Of non-empty texts: all ids, offsets by text, scores, alternatives by text."""
         split = [self.words(t) for t in texts]
         flat_words = [w for ws in split for w in ws]
-        if len(self.codes) > CACHED_WORDS or len(self.parts) > CACHED_WORDS:
+        if len(self.codes) > CACHED_WORDS:
             self._forget()
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
         codes = [*map(self.codes.get, flat_words)]
         if None in codes:
             for w in flat_words:
