@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.llm.common import keep
+
 STRETCH = 500
 
 
@@ -145,6 +147,8 @@ def findings_by_path(
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     wanted = ledger.where(F.concat_ws(":", "rule", "rule_version").isin([f"{r.kind}:{r.version}" for r in rules]))
     found = wanted.where(F.size("findings") > 0).groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("found"))
+    # Written first: then both sides of the join are plain shuffles, and a hot blob's paths can be split.
+    found = keep(found)
     paths = versions.select(F.col(path_col), address(F.col(text_col)).alias("blob"))
     keyed = F.transform("found", lambda s: F.struct(s["start"], order[s["kind"]].alias("o"), s["end"], s["kind"]))
     in_order = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"], s["start"], s["end"]))
