@@ -38,7 +38,7 @@ def between_dates(features: DataFrame, date_from: str | None = None, date_to: st
 
 def _metric(name: str, digits: int | None) -> Column:
     if name not in METRIC_AGGREGATES:
-        raise ValueError(f"metric must be one of {sorted(METRIC_AGGREGATES)}, got {name!r}")
+        raise ValueError(f"no such metric: {name!r} (there are {', '.join(sorted(METRIC_AGGREGATES))})")
     value = {"avg": F.avg, "max": F.max}[METRIC_AGGREGATES[name]](name)
     return F.round(value, digits) if digits is not None and METRIC_AGGREGATES[name] == "avg" else value
 
@@ -80,12 +80,12 @@ def user_feature_vectors(
 
 
 def top_k_users(
-    features: DataFrame, k: int = 10, metric: str = "monetary", ascending: bool = False, digits: int | None = 6
+    features: DataFrame, k: int = 10, metric: str = "monetary", ascending: bool = False, digits: int | None = None
 ) -> DataFrame:
     """The ``k`` users with the largest (or smallest) metric.
 
-    Users without a value come last; ties go by ``user_id``. Means are rounded
-    to ``digits`` before ranking, so the last bits of a double do not rank.
+    Users without a value come last; ties go by ``user_id``. With ``digits``
+    means are rounded before ranking, so the last bits of a double do not rank.
     """
     value = F.col(metric)
     order = value.asc_nulls_last() if ascending else value.desc_nulls_last()

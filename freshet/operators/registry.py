@@ -61,39 +61,78 @@ def unknown_updates(definitions: DataFrame, updates: DataFrame) -> DataFrame:
     return updates.join(definitions.select("feature_name"), "feature_name", "left_anti")
 
 
+def _judged(definitions: DataFrame, changes: DataFrame, order: list[str]) -> DataFrame:
+    """Valid changes with ``__at`` (their place) and what each meets there.
+
+    A name once known stays known, since deleting only clears ``is_active``.
+    So a change meets a known name if the registry has it, or if a create or
+    an upsert of it came before; the first of these adds it.
+    """
+    valid = changes.filter(change_error(changes).isNull()).withColumn("__at", F.struct(*order))
+    adding = valid.filter(F.col("op").isin("create", "upsert")).groupBy("feature_name").agg(F.min("__at").alias("__first"))
+    known = definitions.select("feature_name", F.lit(True).alias("__stored"))
+    stored = F.coalesce("__stored", F.lit(False))
+    return (
+        valid.join(known, "feature_name", "left")
+        .join(adding, "feature_name", "left")
+        .withColumn("__known", stored | F.coalesce(F.col("__at") > F.col("__first"), F.lit(False)))
+        .withColumn("__adds", ~stored & F.coalesce(F.col("__at") == F.col("__first"), F.lit(False)))
+    )
+
+
+def refused_changes(definitions: DataFrame, changes: DataFrame, order: list[str]) -> DataFrame:
+    """Valid changes that change nothing where they stand, with a ``reason``.
+
+    ``taken``: creates a name that is known by then; ``unknown``: updates or
+    deletes one that is not.
+    """
+    known, op = F.col("__known"), F.col("op")
+    reason = F.when(known & (op == "create"), "taken").when(~known & op.isin("update", "delete"), "unknown")
+    return (
+        _judged(definitions, changes, order).withColumn("reason", reason).filter("reason IS NOT NULL").select(*changes.columns, "reason")
+    )
+
+
 def merge_definitions(definitions: DataFrame, changes: DataFrame, order: list[str], changed_at: str) -> DataFrame:
-    """The registry after the last valid change of each feature.
+    """The registry after all valid changes, applied one after the other.
 
-    Creating a taken name and updating or deleting an unknown one changes
-    nothing (see ``conflicts`` and ``unknown_updates``); an upsert does either
-    and revives a deleted definition. Deleting only clears ``is_active``.
-    ``created_at`` stays, ``updated_at`` is the time of the change.
+    ``order`` must be different for any two changes of a name. Refused changes
+    (see ``refused_changes``) do nothing. An update or upsert sets the fields
+    it gives and leaves the others; an upsert also revives a deleted
+    definition. Deleting only clears ``is_active``. ``created_at`` stays,
+    ``updated_at`` is the time of the last change that was applied.
+
+    Of every field only the last value that was given counts, so the changes
+    of a name are reduced to one row by aggregates, however many they are.
     """
-    valid = changes.filter(change_error(changes).isNull())
-    payload = F.struct("op", *EDITABLE, F.col(changed_at).alias("at"))
-    last = valid.groupBy("feature_name").agg(F.max_by(payload, F.struct(*order)).alias("c"))
+    op = F.col("op")
+    judged = _judged(definitions, changes, order)
+    applied = judged.filter(F.col("__adds") | (F.col("__known") & (op != "create")))
+    given = {n: F.when(op != "delete", F.col(n)) for n in EDITABLE}
+    given["is_active"] = (
+        F.when(op == "delete", False)
+        .when((op == "upsert") | F.col("__adds"), F.coalesce("is_active", F.lit(True)))
+        .otherwise(F.col("is_active"))
+    )
+
+    def last(value: Column) -> Column:
+        return F.max(F.when(value.isNotNull(), F.struct(F.col("__at"), value.alias("value"))))["value"]
+
+    changed = applied.groupBy("feature_name").agg(
+        F.struct(
+            *[last(v).alias(n) for n, v in given.items()],
+            F.min_by(changed_at, "__at").alias("first_at"),
+            F.max_by(changed_at, "__at").alias("last_at"),
+        ).alias("c")
+    )
     old = definitions.select("feature_name", F.struct(*[c for c in definitions.columns if c != "feature_name"]).alias("d"))
-    both = old.join(last, "feature_name", "full_outer")
-
-    op, exists = F.col("c.op"), F.col("d").isNotNull()
-    edits = exists & op.isin("update", "upsert")
-    removes = exists & (op == "delete")
-    adds = ~exists & op.isin("create", "upsert")
-
-    def field(name: str) -> Column:
-        given = F.col(f"c.{name}")
-        if name == "is_active":
-            given = F.when(op == "upsert", F.coalesce(given, F.lit(True))).otherwise(given)
-        default = F.lit(DEFAULTS.get(name))
-        value = F.when(adds, F.coalesce(given, default)).when(edits, F.coalesce(given, F.col(f"d.{name}")))
-        if name == "is_active":
-            value = value.when(removes, F.lit(False))
-        return value.otherwise(F.col(f"d.{name}")).alias(name)
-
-    touched = adds | edits | removes
-    return both.filter(exists | adds).select(
+    both = old.join(changed, "feature_name", "full_outer")
+    return both.select(
         "feature_name",
-        *[field(n) for n in EDITABLE],
-        F.when(adds, F.col("c.at")).otherwise(F.col("d.created_at")).alias("created_at"),
-        F.when(touched, F.col("c.at")).otherwise(F.col("d.updated_at")).alias("updated_at"),
+        *[
+            F.coalesce(f"c.{n}", F.when(F.col("d").isNull(), F.lit(DEFAULTS.get(n))).otherwise(F.col(f"d.{n}"))).alias(n)
+            for n in EDITABLE
+        ],
+        F.when(F.col("d").isNull(), F.col("c.first_at")).otherwise(F.col("d.created_at")).alias("created_at"),
+        F.coalesce("c.last_at", "d.updated_at").alias("updated_at"),
     )

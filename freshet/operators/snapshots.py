@@ -130,9 +130,9 @@ def drift_series(rows: DataFrame, snapshot: str, column: str, scale: int | None
 
 
 def new_snapshot_id(now: datetime | None = None) -> str:
-    """Time-ordered id: milliseconds and a random suffix."""
-    now = now or datetime.now(timezone.utc)
-    return f"{int(now.timestamp() * 1000):013d}_{secrets.token_hex(3)}"
+    """Id in order of time: the moment to the microsecond, and a random end."""
+    moment = now or datetime.now(timezone.utc)
+    return moment.astimezone(timezone.utc).strftime("s%Y%m%dT%H%M%S.%f-") + secrets.token_hex(4)
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -261,7 +261,7 @@ def commit_snapshot(
 def rollback_snapshot(spark: SparkSession, log_path: str, snapshot_id: str, at: datetime | None = None) -> None:
     """Make an earlier snapshot current again; the history stays."""
     if get_snapshot(read_log(spark, log_path), snapshot_id).isEmpty():
-        raise ValueError(f"Snapshot '{snapshot_id}' not found")
+        raise ValueError(f"no commit has the id {snapshot_id!r}")
     at = at or datetime.now(timezone.utc)
     _append(
         spark,

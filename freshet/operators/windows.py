@@ -185,7 +185,7 @@ def sliding_series(
     classes = sliding_class_partials(events, window_seconds, step_seconds, scale)
     folded = fold_users(sliding_from_classes(classes, step_seconds), ["start"])
     if include_empty:
-        folded = _spine(events, window, step).join(folded, "start", "left")
+        folded = series_starts(events, window, step).join(folded, "start", "left")
     else:
         folded = folded.filter(F.col("start").between(*series_bounds(events, window, step)))
     return folded.select(
@@ -206,10 +206,19 @@ def finish_sliding(
     )
 
 
-def _spine(events: DataFrame, window: int, step: int, chunk: int = 1000) -> DataFrame:
+def series_starts(
+    rows: DataFrame,
+    window: int,
+    step: int,
+    first_t: Column | None = None,
+    last_t: Column | None = None,
+    chunk: int = 1000,
+) -> DataFrame:
     """Every window start of the series, made in chunks that spread over the tasks."""
+    first_t = micros("ts") if first_t is None else first_t
+    last_t = micros("ts") if last_t is None else last_t
     first, last = _first_and_last_start(F.col("lo"), F.col("hi"), window, step)
-    span = events.agg(F.min(micros("ts")).alias("lo"), F.max(micros("ts")).alias("hi")).select(
+    span = rows.agg(F.min(first_t).alias("lo"), F.max(last_t).alias("hi")).select(
         first.alias("first"), last.alias("last")
     )
     chunks = span.filter(F.col("first") <= F.col("last")).select(
@@ -235,14 +244,17 @@ def pane_partials(
 
 def windows_from_panes(
     panes: DataFrame,
-    bounds: tuple[Column, Column],
+    series: DataFrame,
     like: str,
     sizes: dict[str, int],
     window_seconds: int,
     step_seconds: int,
     scale: int | None = 2,
 ) -> DataFrame:
-    """Spread the panes over the windows they belong to and reduce, tagged with ``window_type``."""
+    """Spread the panes over the windows they belong to and reduce, tagged with ``window_type``.
+
+    ``series`` has the starts of the sliding windows, those without events included.
+    """
     window, step = window_seconds * SECOND, step_seconds * SECOND
 
     lengths = [*[size * SECOND for size in sizes.values()], window]
@@ -262,9 +274,11 @@ def windows_from_panes(
     ).select("s.*", "user_id", "n", "n_amount", "total", "lo", "hi")
     kind = F.col("kind") + 1
     end = F.col("start") + F.element_at(F.array(*[F.lit(length) for length in lengths]), kind)
+    slots = series.select(F.lit(len(sizes)).alias("kind"), "start", F.lit(True).alias("in_series"))
     return (
         fold_users(spread, ["kind", "start"])
-        .filter((F.col("kind") != len(sizes)) | F.col("start").between(*bounds))
+        .join(slots, ["kind", "start"], "full_outer")
+        .filter((F.col("kind") != len(sizes)) | F.col("in_series"))
         .select(
             F.element_at(F.array(*[F.lit(name) for name in names]), kind).alias("window_type"),
             from_micros(F.col("start"), like).alias("window_start"),
@@ -281,14 +295,11 @@ def multi_resolution(
     step_seconds: int = 60,
     scale: int | None = 2,
 ) -> DataFrame:
-    """All tumbling sizes and the sliding series of one pass over the events.
-
-    Sliding windows without events are left out.
-    """
+    """All tumbling sizes and the sliding series, empty windows included, of one pass over the events."""
     sizes = sizes or TUMBLING_SECONDS
     return windows_from_panes(
         pane_partials(events, sizes, window_seconds, step_seconds, scale),
-        series_bounds(events, window_seconds * SECOND, step_seconds * SECOND),
+        series_starts(events, window_seconds * SECOND, step_seconds * SECOND),
         type_of(events, "ts"),
         sizes,
         window_seconds,

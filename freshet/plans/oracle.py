@@ -214,7 +214,7 @@ ORACLE_SQL["tumbling_1min"] = _tumbling(60)
 ORACLE_SQL["tumbling_5min"] = _tumbling(300)
 ORACLE_SQL["tumbling_1hr"] = _tumbling(3600)
 ORACLE_SQL["sliding_5min_1min"] = _sliding(300, 60)
-ORACLE_SQL["sliding_1hr_7min"] = _sliding(3600, 420, empty=False)
+ORACLE_SQL["sliding_1hr_7min"] = _sliding(3600, 420)
 ORACLE_SQL["sliding_tail"] = _sliding(
     3600, 600, "select * from events where ts >= (select max(ts) - interval 1 day from events)"
 )
@@ -230,7 +230,7 @@ _MULTI = " union all by name ".join(
     for name, size in (("1min", 60), ("5min", 300), ("1hr", 3600))
 )
 ORACLE_SQL["window_multi"] = (
-    f"{_MULTI} union all by name select 'sliding' as window_type, * from ({_sliding(300, 60, empty=False)})"
+    f"{_MULTI} union all by name select 'sliding' as window_type, * from ({_sliding(300, 60)})"
 )
 ORACLE_SQL["stream_tumbling_1hr"] = _tumbling(3600)
 ORACLE_SQL["stream_window_multi"] = ORACLE_SQL["window_multi"]
@@ -244,7 +244,7 @@ definitions(feature_name, sla, is_active) as (values
   ('error', 432000, false)),
 slas as (select feature_name, sla from definitions where is_active)
 """
-ENTITY = "'customer_' || lpad(cast(user_id as varchar), 5, '0')"
+ENTITY = "'customer_' || repeat('0', greatest(0, 5 - length(cast(user_id as varchar)))) || cast(user_id as varchar)"
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 # what each message says, by the property that breaks it
@@ -356,7 +356,7 @@ from told group by entity_id"""
 ORACLE_SQL["single_feature"] = f"""
 with {LATEST},
 requests as (
-  select 'customer_' || lpad(cast(c_custkey as varchar), 5, '0') as entity_id,
+  select {ENTITY.replace("user_id", "c_custkey")} as entity_id,
          case lower(c_mktsegment) when 'building' then 'error' when 'machinery' then 'unknown' else 'click' end
            as feature_name
   from customer),
@@ -514,36 +514,48 @@ changes as (
          case when event_type = 'signup' then 'changed' end as description,
          cast(floor(value) as integer) - 2 as sla
   from events where ts >= {SPLIT}),
-last as (
-  select * from changes where sla > 0
-  qualify row_number() over (partition by feature_name order by ts desc, event_id desc) = 1),
+steps as (
+  select *, row_number() over (partition by feature_name order by ts, event_id) as k from changes where sla > 0),
+names as (select feature_name from defs union select feature_name from steps),
+replay as (
+  select n.feature_name, 0 as k, d.feature_name is not null as known, d.description, d.owner, d.sla,
+         d.feature_name is not null as is_active, d.created_at, d.updated_at,
+         cast(null as bigint) as event_id, cast(null as varchar) as reason
+  from names n left join defs d using (feature_name)
+  union all
+  select r.feature_name, s.k, known or adds,
+         case when adds then coalesce(s.description, '') when edits then coalesce(s.description, r.description)
+              else r.description end,
+         case when adds or edits then 'platform' else r.owner end,
+         case when adds or edits then s.sla else r.sla end,
+         case when adds or (edits and s.op = 'upsert') then true when known and s.op = 'delete' then false
+              else r.is_active end,
+         case when adds then s.ts else r.created_at end,
+         case when adds or edits or (known and s.op = 'delete') then s.ts else r.updated_at end,
+         s.event_id,
+         case when known and s.op = 'create' then 'taken' when not known and s.op in ('update', 'delete') then 'unknown' end
+  from replay r join steps s on s.feature_name = r.feature_name and s.k = r.k + 1,
+       lateral (select not r.known and s.op in ('create', 'upsert') as adds,
+                       r.known and s.op in ('update', 'upsert') as edits) judged),
 merged as (
-  select coalesce(d.feature_name, c.feature_name) as feature_name,
-         case when d.feature_name is null then coalesce(c.description, '')
-              when c.op in ('update', 'upsert') then coalesce(c.description, d.description)
-              else d.description end as description,
-         case when d.feature_name is null or c.op in ('update', 'upsert') then 'platform' else d.owner end as owner,
-         case when d.feature_name is null or c.op in ('update', 'upsert') then c.sla else d.sla end
-           as expected_freshness_seconds,
-         'float' as value_type,
-         not (d.feature_name is not null and coalesce(c.op = 'delete', false)) as is_active,
-         coalesce(d.created_at, c.ts) as created_at,
-         case when d.feature_name is null or c.op in ('update', 'upsert', 'delete') then c.ts else d.updated_at end
-           as updated_at
-  from defs d full join last c on d.feature_name = c.feature_name
-  where d.feature_name is not null or c.op in ('create', 'upsert'))
+  select feature_name, description, owner, sla as expected_freshness_seconds, 'float' as value_type, is_active,
+         created_at, updated_at
+  from replay where known
+  qualify row_number() over (partition by feature_name order by k desc) = 1)
 """
-ORACLE_SQL["registry_merge"] = f"with {CHANGES} select * from merged"
+ORACLE_SQL["registry_merge"] = f"with recursive {CHANGES} select * from merged"
 ORACLE_SQL["registry_active"] = (
-    f"with {CHANGES} select feature_name, expected_freshness_seconds from merged where is_active"
+    f"with recursive {CHANGES} select feature_name, expected_freshness_seconds from merged where is_active"
 )
+ORACLE_SQL["registry_refused"] = f"""
+with recursive {CHANGES} select event_id, feature_name, reason from replay where reason is not null"""
 ORACLE_SQL["registry_change_errors"] = f"""
-with {CHANGES} select event_id, case when sla <= 0 then 'expected_freshness_seconds' end as change_error from changes"""
+with recursive {CHANGES} select event_id, case when sla <= 0 then 'expected_freshness_seconds' end as change_error from changes"""
 ORACLE_SQL["registry_conflicts"] = f"""
-with {CHANGES} select event_id, feature_name from changes
+with recursive {CHANGES} select event_id, feature_name from changes
 where op = 'create' and feature_name in (select feature_name from defs)"""
 ORACLE_SQL["registry_unknown_updates"] = f"""
-with {CHANGES} select event_id, feature_name from changes
+with recursive {CHANGES} select event_id, feature_name from changes
 where op = 'update' and feature_name not in (select feature_name from defs)"""
 ORACLE_SQL["audit_compaction"] = f"""
 with kept as (select *, {ENTITY} as entity_id from events where ts >= {AS_OF} - interval 20 days)

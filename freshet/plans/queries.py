@@ -230,7 +230,7 @@ def single_user_vector(spark, root):
 
 
 def _top_k(spark: SparkSession, root: str, metric: str, ascending: bool) -> DataFrame:
-    return lookup.top_k_users(_wide(configure(spark), root), 10, metric, ascending)
+    return lookup.top_k_users(_wide(configure(spark), root), 10, metric, ascending, digits=6)
 
 
 for _metric in lookup.METRIC_AGGREGATES:
@@ -295,7 +295,7 @@ def sliding_5min_1min(spark, root):
 @query
 def sliding_1hr_7min(spark, root):
     """A window that is no multiple of its step."""
-    return windows.sliding_series(_window_events(spark, root), 3600, 420, include_empty=False)
+    return windows.sliding_series(_window_events(spark, root), 3600, 420)
 
 
 @query
@@ -332,7 +332,9 @@ def _definitions(spark: SparkSession) -> DataFrame:
 
 
 def _entity(user: str = "user_id") -> Column:
-    return F.concat(F.lit("customer_"), F.lpad(F.col(user).cast("string"), 5, "0"))
+    # Padded only if shorter: lpad would also cut longer ids.
+    number = F.col(user).cast("string")
+    return F.concat(F.lit("customer_"), F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number))
 
 
 def _iso(ts: Column) -> Column:
@@ -688,6 +690,14 @@ def registry_active(spark, root):
     return registry.list_definitions(merged).select("feature_name", "expected_freshness_seconds")
 
 
+@query
+def registry_refused(spark, root):
+    """Changes that were refused where they stood in the order."""
+    definitions, changes = _registry_and_changes(spark, root)
+    refused = registry.refused_changes(definitions, changes, ["changed_at", "event_id"])
+    return refused.select("event_id", "feature_name", "reason")
+
+
 @query
 def registry_change_errors(spark, root):
     _, changes = _registry_and_changes(spark, root)

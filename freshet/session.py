@@ -9,7 +9,10 @@ from pyspark.sql import SparkSession
 # Adaptive execution does the skew work of every join in this package: it
 # splits the partitions of a hot key by map output and joins the pieces
 # apart. The rebalance settings do the same for the files of a hot date.
+# Under ANSI rules a number that overflows stops the query instead of turning
+# into NULL or wrapping around.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -89,10 +89,10 @@ def read_multi_resolution(
     like: str = "timestamp",
 ) -> DataFrame:
     panes = latest_values(spark.read.parquet(path), ["batch_id"], PANE_KEY)
-    bounds = batch.series_bounds(
+    series = batch.series_starts(
         panes, window_seconds * SECOND, step_seconds * SECOND, F.col("t_first"), F.col("t_last")
     )
-    return batch.windows_from_panes(panes, bounds, like, batch.TUMBLING_SECONDS, window_seconds, step_seconds, scale)
+    return batch.windows_from_panes(panes, series, like, batch.TUMBLING_SECONDS, window_seconds, step_seconds, scale)
 
 
 def start_sliding(

@@ -175,6 +175,30 @@ def test_registry_changes(spark):
     assert (got["new"].value_type, got["new"].description) == ("float", "")
 
 
+def test_changes_of_one_name_apply_in_order(spark):
+    old = registry_of(spark, ("kept", 10, True))
+    changes = [
+        ("update", "new", 1), ("create", "new", 2), ("update", "new", None), ("create", "new", 9), ("delete", "kept", None),
+        ("update", "kept", 11), ("upsert", "again", 3), ("delete", "again", None), ("upsert", "again", None), ("delete", "none", None),
+    ]
+    got = merged(spark, old, *changes)
+    assert {n: (r.expected_freshness_seconds, r.is_active) for n, r in got.items()} == {
+        "new": (2, True), "kept": (11, False), "again": (3, True),
+    }
+    assert got["new"].created_at == NOW + timedelta(minutes=2) and got["new"].updated_at == NOW + timedelta(minutes=3)
+    refused = registry.refused_changes(old, changes_of(spark, *changes), ["nr"]).orderBy("nr").collect()
+    assert [(r.op, r.feature_name, r.reason) for r in refused] == [
+        ("update", "new", "unknown"), ("create", "new", "taken"), ("delete", "none", "unknown"),
+    ]
+
+
+def test_long_ids_stay_apart(spark):
+    from freshet.plans.queries import _entity
+
+    users = spark.createDataFrame([(7,), (123456,), (1234567,)], "user_id long")
+    assert [r[0] for r in users.select(_entity()).collect()] == ["customer_00007", "customer_123456", "customer_1234567"]
+
+
 def test_soft_delete_lists(spark):
     old = registry_of(spark, ("a", 10, True), ("b", 10, True))
     df = registry.merge_definitions(old, changes_of(spark, ("delete", "a", None)), ["nr"], "at")
