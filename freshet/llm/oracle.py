@@ -1,3 +1,40 @@
 """DuckDB SQL with the results of those queries that SQL can express."""
 
+from __future__ import annotations
+
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _words(table: str) -> str:
+    upper = "".join(map(chr, range(65, 91)))
+    return rf"regexp_extract_all(translate(coalesce({table}.text, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLE_SQL["op3_decontaminate"] = f"""
+with d as (select row_number() over () as r, doc_id, {_words("documents")} as w from documents),
+b as (select item_id, {_words("benchmark")} as w from benchmark),
+grams as (
+  select distinct item_id, least(10, len(w)) as k, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as g
+  from b, unnest(range(1, len(w) - least(10, len(w)) + 2)) as t(i) where len(w) > 0),
+sizes as (select distinct k from grams),
+places as (
+  select r, k, i, array_to_string(w[i : i + k - 1], ' ') as g from d, sizes, unnest(range(1, len(w) - k + 2)) as t(i)),
+met as (select p.r, p.k, p.i, g.item_id from places p join grams g on p.k = g.k and p.g = g.g),
+hit as (select r, count(distinct i + j) as n_hit from met, unnest(range(0, k)) as t(j) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as joined
+  from (select distinct r, cast(item_id as varchar) as item from met where item_id is not null) group by r)
+select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(joined, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (r) left join items using (r)"""
+
+ORACLE_SQL["op8_maxscore"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: coalesce(not isfinite(x), true))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 5"""

@@ -32,7 +32,8 @@ def op2_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.drop("spans")
 
 
 def op4_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
