@@ -63,14 +63,15 @@ def square_sum(value: Column, scale: int | None) -> Column:
 def sample_std(n: Column, total: Column, squares: Column, scale: int | None) -> Column:
     """Sample deviation from count, sum and sum of squares; NULL below two rows.
 
-    With a scale the numerator ``n * squares - total ** 2`` is exact, so equal
-    amounts give exactly zero.
+    With a scale the numerator ``n * squares - total ** 2`` is exact as long
+    as it fits 38 digits, so equal amounts give exactly zero; beyond that it
+    is taken in doubles.
     """
-    if scale is None:
-        numerator = F.greatest(n.cast("double") * squares - total * total, F.lit(0.0))
-    else:
-        t = total.cast("decimal(18,0)")
-        exact = n.cast("decimal(12,0)") * squares.cast("decimal(25,0)") - t * t
-        numerator = exact.cast("double") / float(10 ** (2 * scale))
+    wide = total.cast("double")
+    numerator = F.greatest(n.cast("double") * squares.cast("double") - wide * wide, F.lit(0.0))
+    if scale is not None:
+        t = total.try_cast("decimal(18,0)")
+        exact = n.try_cast("decimal(12,0)") * squares.try_cast("decimal(25,0)") - t * t
+        numerator = F.coalesce(exact.cast("double"), numerator) / float(10 ** (2 * scale))
     pairs = n.cast("double") * (n.cast("double") - 1.0)
     return F.when(n > 1, F.sqrt(numerator / pairs))

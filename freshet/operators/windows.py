@@ -129,7 +129,9 @@ def sliding_class_partials(
     events: DataFrame, window_seconds: int, step_seconds: int, scale: int | None = 2
 ) -> DataFrame:
     """One row per (class of windows, user); the streaming form keeps exactly these."""
-    return events.groupBy(*sliding_classes(window_seconds, step_seconds), "user_id").agg(*partials(scale))
+    return events.groupBy(*sliding_classes(window_seconds, step_seconds), "user_id").agg(
+        *partials(scale), F.min(micros("ts")).alias("t_first"), F.max(micros("ts")).alias("t_last")
+    )
 
 
 def sliding_from_classes(classes: DataFrame, step_seconds: int) -> DataFrame:
@@ -198,8 +200,10 @@ def sliding_series(
 def finish_sliding(
     classes: DataFrame, window_seconds: int, step_seconds: int, like: str, scale: int | None = 2
 ) -> DataFrame:
-    """All non-empty sliding windows of the classes."""
-    return fold_users(sliding_from_classes(classes, step_seconds), ["start"]).select(
+    """The sliding series of the events in the classes, empty windows included."""
+    series = series_starts(classes, window_seconds * SECOND, step_seconds * SECOND, F.col("t_first"), F.col("t_last"))
+    folded = series.join(fold_users(sliding_from_classes(classes, step_seconds), ["start"]), "start", "left")
+    return folded.select(
         from_micros(F.col("start"), like).alias("window_start"),
         from_micros(F.col("start") + window_seconds * SECOND, like).alias("window_end"),
         *statistics(scale),

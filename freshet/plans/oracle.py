@@ -234,7 +234,7 @@ ORACLE_SQL["window_multi"] = (
 )
 ORACLE_SQL["stream_tumbling_1hr"] = _tumbling(3600)
 ORACLE_SQL["stream_window_multi"] = ORACLE_SQL["window_multi"]
-ORACLE_SQL["stream_sliding_5min_1min"] = _sliding(300, 60, empty=False, bounded=False)
+ORACLE_SQL["stream_sliding_5min_1min"] = _sliding(300, 60)
 
 # --- messages and freshness -------------------------------------------------------
 

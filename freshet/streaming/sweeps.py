@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.operators.freshness import monitored, sla_sweep, sweep_log_rows
@@ -13,10 +15,22 @@ from freshet.operators.freshness import monitored, sla_sweep, sweep_log_rows
 SWEEP_INTERVAL = "15 seconds"
 
 
-def sweep_once(latest: DataFrame, definitions: DataFrame, as_of: str, log_path: str) -> None:
-    """Check all visible values at ``as_of`` and append one row per feature to the log."""
+def sweep_once(latest: DataFrame, definitions: DataFrame, as_of: str, log_path: str, sweep_id: str | None = None) -> None:
+    """Check all visible values at ``as_of`` and log one row per feature.
+
+    A sweep owns the folder ``sweep_id=...`` (named by its moment if no id is
+    given) and replaces it when it is run again, so nothing is counted twice.
+    """
     sweep = sla_sweep(monitored(latest, definitions, as_of))
-    sweep_log_rows(sweep, as_of).write.mode("append").parquet(log_path)
+    own = sweep_id or f"at-{re.sub('[^0-9]', '', as_of)}"
+    (
+        sweep_log_rows(sweep, as_of)
+        .withColumn("sweep_id", F.lit(own))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("sweep_id")
+        .parquet(log_path)
+    )
 
 
 def start_sweeps(
@@ -32,7 +46,7 @@ def start_sweeps(
     def sweep(ticks: DataFrame, batch_id: int) -> None:
         at = ticks.agg({"timestamp": "max"}).first()[0]
         if at is not None:
-            sweep_once(read_latest(), read_definitions(), at.isoformat(sep=" "), log_path)
+            sweep_once(read_latest(), read_definitions(), at.isoformat(sep=" "), log_path, f"batch-{batch_id}")
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (

@@ -117,6 +117,6 @@ def read_sliding(
     scale: int | None = 2,
     like: str = "timestamp",
 ) -> DataFrame:
-    """Every non-empty sliding window with an event, also those that begin before the first event."""
+    """The sliding series over all events so far, as the batch form gives it."""
     classes = latest_values(spark.read.parquet(path), ["batch_id"], ["first_start", "last_start", "user_id"])
     return batch.finish_sliding(classes, window_seconds, step_seconds, like, scale)

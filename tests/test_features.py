@@ -195,3 +195,11 @@ def test_written_table_is_split_by_date_and_replaces_only_its_dates(spark, tmp_p
     assert spark.sql("SELECT count(*) AS n FROM feature_store WHERE event_date = DATE '2024-01-02'").first().n == 2
     again = txns(spark, ("w", "a", 9.0, "2024-01-02"))
     assert materialize_features(again, path, "2024-01-31", replace_dates_only=True)["row_count"] == 2
+
+
+def test_deviation_beyond_exact_decimals(spark):
+    from freshet.functions.amounts import sample_std
+
+    row = spark.sql("SELECT 4000000000000000000L AS n, 9000000000000000000L AS s, cast(1e30 AS decimal(38,0)) AS q")
+    got = row.select(sample_std(F.col("n"), F.col("s"), F.col("q"), 2).alias("x")).first()["x"]
+    assert abs(got - (1e30 / 4e18) ** 0.5 / 100) < 1e-3 * got

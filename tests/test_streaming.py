@@ -205,7 +205,7 @@ def test_sweeps_by_trigger(spark, tmp_path):
     )
     deadline = time.time() + 60
     try:
-        while time.time() < deadline and not list((tmp_path / "log").glob("*.parquet")):
+        while time.time() < deadline and not list((tmp_path / "log").rglob("*.parquet")):
             time.sleep(0.5)
     finally:
         query.stop()
@@ -213,3 +213,15 @@ def test_sweeps_by_trigger(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     totals = freshness.total_violations(log).first()
     assert totals.feature_name == "click" and totals.total_violations == totals.sweeps >= 2
+
+
+def test_a_sweep_run_again_counts_once(spark, tmp_path):
+    definitions = spark.createDataFrame([("click", 60, True)], "feature_name string, expected_freshness_seconds int, is_active boolean")
+    latest = spark.createDataFrame([("c", "click")], "entity_id string, feature_name string").withColumn(
+        "event_ts", F.lit("2023-12-31 00:00:00").cast("timestamp")
+    )
+    log = str(tmp_path / "log")
+    for _ in range(2):
+        sweeps.sweep_once(latest, definitions, "2024-01-01 00:00:00", log, "batch-1")
+    sweeps.sweep_once(latest, definitions, "2024-01-01 00:00:15", log, "batch-2")
+    assert spark.read.parquet(log).count() == 2
