@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +53,18 @@ def map_rows(frame: DataFrame, schema: StructType, start: Callable[[], Callable[
     return frame.mapInArrow(run, schema)
 
 
+def send(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast an object together with its class, so that executors need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> Any:
+    """The object of ``send``, made once per Python worker."""
+    if not hasattr(sent, "received"):
+        sent.received = cloudpickle.loads(sent.value)
+    return sent.received
+
+
 def sha256_hex(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 

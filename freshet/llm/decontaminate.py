@@ -37,7 +37,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from freshet.llm.common import keep, map_rows
+from freshet.llm.common import keep, map_rows, received, send
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _WORD_BYTES = bytes(
@@ -214,7 +214,6 @@ def _through_blocks(frame: DataFrame, blocks, text_at: int, schema: StructType,
     find goes along with the rows and is written between passes, so that one
     automaton at a time is in memory.
     """
-    context = frame.sparkSession.sparkContext
     carried = StructType(
         [
             *frame.schema.fields,
@@ -229,10 +228,10 @@ def _through_blocks(frame: DataFrame, blocks, text_at: int, schema: StructType,
     block = next(blocks, None) or ItemAutomaton([], 1)
     while block is not None:
         following = next(blocks, None)
-        sent = context.broadcast(block)
+        sent = send(frame.sparkSession, block)
 
         def start(sent=sent, last=following is None):
-            search = sent.value.search
+            search = received(sent).search
 
             def work(*columns):
                 rows, found = [], []

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from freshet.llm.common import map_rows
+from freshet.llm.common import map_rows, received, send
 
 # Bound of the training sample: rows per language.
 ROWS_PER_LANGUAGE = 800
@@ -190,7 +190,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id_col, lang_pred, score (calibrated probability), rejected."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
     schema = StructType(
         [
             StructField(id_col, docs.schema[id_col].dataType),
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     )
 
     def start():
-        model = sent.value
+        model = received(sent)
 
         def work(ids, texts):
             if not model.languages or model.table is None:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
-from freshet.llm.common import map_rows
+from freshet.llm.common import map_rows, received, send
 
 # Bounds of the training samples, in rows.
 POSITIVE_ROWS = 8_000
@@ -187,13 +187,13 @@ def fit(
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, score) per row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
     schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("score", DoubleType())])
 
     def start():
         def work(ids, texts):
             rows = np.stack([statistics(t) for t in texts]) if texts else np.zeros((0, N_FEATURES))
-            return {id_col: ids, "score": pa.array(sent.value.scores(rows), pa.float64())}
+            return {id_col: ids, "score": pa.array(received(sent).scores(rows), pa.float64())}
 
         return work
 
@@ -202,14 +202,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
     at = docs.columns.index(text_col)
     inner = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
 
     def start():
         def work(*columns):
             rows = np.stack([statistics(t) for t in columns[at]])
-            good = np.flatnonzero(sent.value.scores(rows) >= threshold).tolist()
+            good = np.flatnonzero(received(sent).scores(rows) >= threshold).tolist()
             return {f.name: [c[i] for i in good] for f, c in zip(inner, columns, strict=True)}
 
         return work
