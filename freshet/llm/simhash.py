@@ -95,7 +95,7 @@ def covering_triples(positions: int = 8, shared: int = LEAST_BYTES) -> list[tupl
     return chosen
 
 
-def _posting_keys(fp: Column) -> Column:
+def posting_keys(fp: Column) -> Column:
     """One long per triple: its number, and the three bytes."""
     keys = []
     for number, triple in enumerate(covering_triples()):
@@ -106,7 +106,7 @@ def _posting_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def _shared_bytes(x: Column) -> Column:
+def byte_tally(x: Column) -> Column:
     """Number of zero bytes of an exclusive or."""
     return sum(
         (F.when(F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(255)) == 0, 1).otherwise(0) for p in range(8)), F.lit(0)
@@ -142,7 +142,7 @@ def block_forest(one: np.ndarray, two: np.ndarray | None, max_bits: int = MAX_BI
 
 def links(nodes: DataFrame) -> DataFrame:
     """(a, b) edges whose components are those of all pairs within MAX_BITS; ``nodes`` has distinct fp."""
-    posted = nodes.select("fp", F.explode(_posting_keys(F.col("fp"))).alias("key"))
+    posted = nodes.select("fp", F.explode(posting_keys(F.col("fp"))).alias("key"))
     sizes = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = keep(posted.join(sizes, "key"))
 
@@ -151,7 +151,7 @@ def links(nodes: DataFrame) -> DataFrame:
     paired = (
         small.withColumnRenamed("fp", "a")
         .join(small.withColumnRenamed("fp", "b"), "key")
-        .where((F.col("a") < F.col("b")) & (_shared_bytes(x) >= LEAST_BYTES) & (F.bit_count(x) <= MAX_BITS))
+        .where((F.col("a") < F.col("b")) & (byte_tally(x) >= LEAST_BYTES) & (F.bit_count(x) <= MAX_BITS))
         .select("a", "b")
     )
 
@@ -189,13 +189,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: the one whose id is the component's.
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``found``: the one whose id is the component's.
 
     Of several rows with that id one stays. Rows without an id take no part
     in the choice: of those with equal text one stays. All columns stay.
     """
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle)
     chosen = keep(found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("n_rows")))
     staying = docs.join(chosen.where("n_rows = 1").select(id_col), id_col, "left_semi")
     if not chosen.where("n_rows > 1").isEmpty():

@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
 from freshet.llm import decontaminate as dc  # noqa: E402
-from freshet.llm import language_id, license_digest, maxscore, pii_anchors, quality_pu, secret_ledger, simhash, tag_paths  # noqa: E402
+from freshet.llm import language_id, license_digest, maxscore, pii_anchors, quality_pu, secret_ledger, simhash, simhash_similar, tag_paths  # noqa: E402
 from freshet.llm.components import components  # noqa: E402
 from freshet.llm.license_texts import LICENSES  # noqa: E402
 
@@ -137,7 +137,7 @@ def test_near_duplicate_rows(spark, odd):
     by_id = {r["doc_id"]: r for r in out}
     assert by_id[1]["fingerprint"] == by_id[2]["fingerprint"] == "0" * 16
     assert by_id[2]["component_id"] == 1 and by_id[8]["component_id"] == 7
-    kept = simhash.one_of_each(odd)
+    kept = simhash.one_of_each(odd, simhash.near_duplicates(odd))
     assert kept.columns == odd.columns
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in (1, 3, 4, 5, 6, 7)] + [(True, 0)]
     assert simhash.near_duplicates(odd.where("doc_id = 99")).count() == 0
@@ -163,6 +163,32 @@ def test_large_groups_are_linked_exactly(spark, monkeypatch):
     assert [found.get(v, v) for v in signed] == expected
 
 
+def test_similar_documents(spark, odd, monkeypatch):
+    """Against all pairs: texts at 0.8 or more of a centre, and some below."""
+    rng = np.random.default_rng(5)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    docs = []
+    for _ in range(25):
+        centre = rng.choice(vocabulary, 200)
+        for changed in (0, 0, 1, 2, 3, 4, 12):
+            copy = centre.copy()
+            copy[rng.choice(200, changed, replace=False)] = rng.choice(vocabulary, changed)
+            docs.append((len(docs), " ".join(copy)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in docs)]
+    pairs = [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
+    assert sum(found[i] == found[j] for i, j in pairs) >= 0.98 * len(pairs)
+    assert all(found[i] // 7 == i // 7 for i in found) and all(found[i] == i for i in found if i % 7 == 6)
+    monkeypatch.setattr(simhash_similar, "SMALL", 2)
+    monkeypatch.setattr(simhash_similar, "BLOCK", 3)
+    blocked = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
+    assert sum(blocked[i] == blocked[j] for i, j in pairs) >= 0.9 * len(pairs) and all(blocked[i] // 7 == i // 7 for i in blocked)
+    out = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(odd).collect()}
+    assert out == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 7}
+    assert simhash_similar.similar_documents(odd.where("doc_id = 99")).count() == 0
+
+
 def test_covering_triples():
     assert len(simhash.covering_triples()) == 20
 
