@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.clock import DAY, SECOND, floor_to, micros
+from freshet.functions.clock import DAY, SECOND, micros
+from freshet.operators.runs import ROWS_PER_RUN, hot_starts, with_runs
 
 _CARRY, _FEATURE, _LABEL = 0, 1, 2
 
@@ -20,6 +21,7 @@ def point_in_time(
     feature_name: str | None = None,
     names: list[str] | None = None,
     bucket_seconds: int = DAY,
+    rows_per_run: int = ROWS_PER_RUN,
 ) -> DataFrame:
     """Each label with the newest feature value at or before its time.
 
@@ -30,7 +32,8 @@ def point_in_time(
 
     Labels and features are merged in time order, so no label is paired with
     more than its one match. A history is cut into time buckets that are
-    sorted apart; the last value before a bucket enters it as a carry row.
+    sorted apart, and a bucket with very many rows into runs (see ``runs``);
+    the last value before enters as a carry row.
     """
     if (feature_name is None) != (names is None):
         raise ValueError("give feature_name and names together")
@@ -63,10 +66,9 @@ def point_in_time(
         F.struct(*[F.col(c) for c in labels.columns]).alias("label"),
     )
 
-    start = floor_to(F.col("t"), bucket).alias("bucket")
+    starts = hot_starts(points.select("entity", "t").unionByName(asks.select("entity", "t")), bucket, rows_per_run)
     per_bucket = (
-        points.select("entity", start, *slots)
-        .unionByName(asks.select("entity", start, *slots))
+        with_runs(points.select("entity", "t", *slots).unionByName(asks.select("entity", "t", *slots)), bucket, starts)
         .groupBy("entity", "bucket")
         .agg(*[F.max(s).alias(s) for s in slots])
     )
@@ -80,7 +82,7 @@ def point_in_time(
         F.lit(None).cast(labels.schema).alias("label"),
         "bucket",
     )
-    merged = points.unionByName(asks).select("*", start).unionByName(carry)
+    merged = with_runs(points.unionByName(asks), bucket, starts).unionByName(carry)
     upto = (
         Window.partitionBy("entity", "bucket")
         .orderBy("t", "kind", "tie")

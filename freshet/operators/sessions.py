@@ -5,31 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.clock import DAY, SECOND, floor_to, from_micros, micros, type_of
+from freshet.functions.clock import SECOND, floor_to, from_micros, micros, type_of
 
 
-def sessions(rows: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int = DAY) -> DataFrame:
+def sessions(rows: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
     """``user, session_start, session_end, event_count`` per session.
 
     A row exactly ``gap`` after the one before it still belongs to its session,
     as in Spark's own session windows; ``session_end`` is the last row plus the
     gap.
 
-    Runs are first found inside (user, time bucket). What is left per user is
-    at most one run per gap and bucket of the covered time, however many rows
-    the user has; those runs are then merged over bucket borders.
+    Rows of a user within one slice of the length of the gap are never further
+    apart than the gap. So each slice is reduced to its first and last time,
+    map-side, before anything is sorted; a user's slices, whose number is
+    bounded by the covered time however many rows there are, are then merged.
     """
     like = type_of(rows, ts)
-    gap, bucket = gap_seconds * SECOND, bucket_seconds * SECOND
+    gap = gap_seconds * SECOND
     timed = rows.filter(F.col(ts).isNotNull()).select(F.col(user).alias("user"), micros(ts).alias("t"))
-
-    inside = Window.partitionBy("user", "bucket").orderBy("t")
-    runs = (
-        timed.withColumn("bucket", floor_to(F.col("t"), bucket))
-        .withColumn("opens", (F.col("t") - F.lag("t").over(inside) > gap).cast("int"))
-        .withColumn("run", F.sum(F.coalesce("opens", F.lit(1))).over(inside))
-        .groupBy("user", "bucket", "run")
-        .agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n"))
+    runs = timed.groupBy("user", floor_to(F.col("t"), max(gap, 1)).alias("slice")).agg(
+        F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n")
     )
     over = Window.partitionBy("user").orderBy("first")
     merged = (
@@ -52,14 +47,13 @@ def session_counts(
     ts: str,
     gap_seconds: int,
     window_seconds: int = 3600,
-    bucket_seconds: int = DAY,
 ) -> DataFrame:
     """Sessions with activity in each tumbling window, per user.
 
     A session counts in every window between its first and its last row.
     """
     like = type_of(rows, ts)
-    found = sessions(rows, user, ts, gap_seconds, bucket_seconds)
+    found = sessions(rows, user, ts, gap_seconds)
     width = window_seconds * SECOND
     first = floor_to(micros("session_start"), width)
     last = floor_to(micros("session_end") - gap_seconds * SECOND, width)
@@ -83,7 +77,7 @@ def active_sessions(rows: DataFrame, user: str, ts: str, gap_seconds: int, as_of
     begin = from_micros(micros(now) - lookback_seconds * SECOND, like)
     recent = rows.filter(F.col(ts).between(begin, now.cast(like)))
     return (
-        sessions(recent, user, ts, gap_seconds, bucket_seconds=max(lookback_seconds // 4, 1))
+        sessions(recent, user, ts, gap_seconds)
         .groupBy(user)
         .agg(F.count("*").alias("session_count"))
     )

@@ -2,9 +2,10 @@
 
 A plain ``Window.partitionBy(entity)`` would put all rows of an entity in one
 task and, with a sliding frame, walk the whole frame for every row. Here an
-entity's history is cut into time buckets that are sorted on their own; what
-came before a bucket is brought in as one carry row per (entity, bucket).
-Carry rows come from per-bucket totals, which are combined map-side.
+entity's history is cut into time buckets that are sorted on their own, and a
+bucket with very many rows into runs (see ``runs``); what came before is
+brought in as one carry row per bucket or run. Carry rows come from totals,
+which are combined map-side.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from freshet.functions.amounts import amount as as_amount
 from freshet.functions.amounts import mean, units
-from freshet.functions.clock import DAY, SECOND, floor_to, instant, micros, type_of
+from freshet.functions.clock import DAY, SECOND, instant, micros, type_of
+from freshet.operators.runs import ROWS_PER_RUN, hot_starts, with_runs
 
 # kinds of rows inside a bucket, in the order in which they are applied
 _CARRY, _ROW, _EXPIRY = 0, 1, 2
@@ -28,6 +30,7 @@ def trailing_totals(
     amount: str | None = None,
     scale: int = 2,
     bucket_seconds: int = DAY,
+    rows_per_run: int = ROWS_PER_RUN,
 ) -> DataFrame:
     """Adds ``trailing_count`` (and ``trailing_sum``) over ``[ts - width, ts]``.
 
@@ -55,11 +58,11 @@ def trailing_totals(
         return (
             source.select(F.col(entity).alias("entity"), F.explode(both).alias("m"))
             .select("entity", "m.*")
-            .withColumn("bucket", floor_to(F.col("t"), bucket))
         )
 
+    starts = hot_starts(moves(rows, payload=False), bucket, rows_per_run)
     totals = ["dn"] + (["ds"] if amount else [])
-    per_bucket = moves(rows, payload=False).groupBy("entity", "bucket").agg(*[F.sum(c).alias(c) for c in totals])
+    per_bucket = with_runs(moves(rows, payload=False), bucket, starts).groupBy("entity", "bucket").agg(*[F.sum(c).alias(c) for c in totals])
     before = Window.partitionBy("entity").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
         "entity",
@@ -73,7 +76,7 @@ def trailing_totals(
         Window.partitionBy("entity", "bucket").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = (
-        moves(rows, payload=True)
+        with_runs(moves(rows, payload=True), bucket, starts)
         .unionByName(carry)
         .select("kind", "t", "row", *[F.sum(c).over(running).alias(c) for c in totals])
         .filter(F.col("kind") == _ROW)
@@ -86,26 +89,25 @@ def trailing_totals(
 
 
 def numbered(
-    rows: DataFrame, entity: str, ts: str, tie: str, bucket_seconds: int = 30 * DAY
+    rows: DataFrame, entity: str, ts: str, tie: str, bucket_seconds: int = 30 * DAY, rows_per_run: int = ROWS_PER_RUN
 ) -> DataFrame:
     """Adds ``position``: 1, 2, 3, ... per entity in the order of (ts, tie)."""
     bucket = bucket_seconds * SECOND
-    keyed = rows.withColumn("bucket", floor_to(micros(ts), bucket))
-    per_bucket = keyed.groupBy(entity, "bucket").agg(F.count("*").alias("step"))
-    before = Window.partitionBy(entity).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = rows.select(
+        F.col(entity).alias("entity"), micros(ts).alias("t"), F.struct(*[F.col(c) for c in rows.columns]).alias("row")
+    )
+    keyed = with_runs(keyed, bucket, hot_starts(keyed.select("entity", "t"), bucket, rows_per_run))
+    per_bucket = keyed.groupBy("entity", "bucket").agg(F.count("*").alias("step"))
+    before = Window.partitionBy("entity").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
-        F.col(entity).alias("entity"),
+        "entity",
         "bucket",
         F.lit(_CARRY).alias("kind"),
         F.coalesce(F.sum("step").over(before), F.lit(0)).alias("step"),
         F.lit(None).cast(rows.schema).alias("row"),
     )
     body = keyed.select(
-        F.col(entity).alias("entity"),
-        "bucket",
-        F.lit(_ROW).alias("kind"),
-        F.lit(1).cast("long").alias("step"),
-        F.struct(*[F.col(c) for c in rows.columns]).alias("row"),
+        "entity", "bucket", F.lit(_ROW).alias("kind"), F.lit(1).cast("long").alias("step"), "row"
     )
     running = (
         Window.partitionBy("entity", "bucket")
@@ -129,7 +131,7 @@ def last_rows_mean(
     n: int,
     scale: int | None = 2,
     bucket_seconds: int = 30 * DAY,
-    run_length: int = 100_000,
+    run_length: int = ROWS_PER_RUN,
 ) -> DataFrame:
     """Adds ``trailing_mean`` over the row itself and the ``n - 1`` before it.
 
@@ -139,7 +141,7 @@ def last_rows_mean(
     """
     if not 1 <= n <= run_length:
         raise ValueError("n must be between 1 and run_length")
-    placed = numbered(rows, entity, ts, tie, bucket_seconds)
+    placed = numbered(rows, entity, ts, tie, bucket_seconds, run_length)
     zero_based = F.col("position") - 1
     run = (zero_based - F.pmod(zero_based, F.lit(run_length))) / run_length
     needed_next = F.pmod(zero_based, F.lit(run_length)) >= run_length - (n - 1)

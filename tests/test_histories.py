@@ -7,7 +7,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from freshet.operators import point_in_time, sessions, trailing
+from freshet.functions.clock import DAY, SECOND, micros
+from freshet.operators import point_in_time, runs, sessions, trailing
 
 START = datetime(2024, 1, 1)
 
@@ -112,6 +113,47 @@ def test_point_in_time_per_feature(spark):
             assert (r[f"f{k}"], r[f"f{k}_ts"]) == ((seen[2], seen[0]) if seen else (None, None))
 
 
+def hot_history(spark, n: int = 20_000):
+    """Most rows of one user on one day, a tenth of them at one moment; others have few."""
+    i = F.col("id")
+    second = F.when(i % 10 == 0, 40_000).otherwise((i * 7919) % 86_400)
+    return spark.range(n, numPartitions=4).select(
+        i.cast("int").alias("id"),
+        F.when(i % 50 == 0, i % 7 + 2).when(i % 51 == 0, F.lit(None)).otherwise(1).cast("int").alias("who"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + second).cast("timestamp_ntz").alias("ts"),
+        (i % 977 / 4).alias("amount"),
+    )
+
+
+def test_hot_buckets_are_cut_by_rows(spark):
+    rows = hot_history(spark)
+    keyed = rows.select(F.col("who").alias("entity"), micros("ts").alias("t"))
+    starts = runs.hot_starts(keyed, DAY * SECOND, 500)
+    cut = runs.with_runs(keyed, DAY * SECOND, starts).groupBy("entity", "bucket").agg(
+        F.count("*").alias("n"), F.countDistinct("t").alias("moments"), F.min("t").alias("first"), F.max("t").alias("last")
+    )
+    got = sorted(cut.filter("entity = 1").collect(), key=lambda r: r.bucket)
+    assert len(got) > 20 and sum(r.n for r in got) == rows.filter("who = 1").count()
+    # rows of one moment stay together, beyond that a run is hardly over its length
+    assert all(r.n <= 520 or r.n < 2_600 and r.first <= 1_704_107_200 * SECOND <= r.last for r in got)
+    assert all(a.last < b.bucket <= b.first for a, b in zip(got, got[1:]))
+    assert runs.hot_starts(keyed, DAY * SECOND, 50_000) is None
+
+
+def test_cut_histories_give_the_same_rows(spark):
+    rows = hot_history(spark)
+    known, labels = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0")
+
+    def both(make):
+        whole, cut = make(10**9), make(300)
+        assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+
+    both(lambda n: trailing.trailing_totals(rows, "who", "ts", 3600, "amount", rows_per_run=n))
+    both(lambda n: trailing.numbered(rows, "who", "ts", "id", rows_per_run=n))
+    both(lambda n: trailing.last_rows_mean(rows, "who", "ts", "id", "amount", 30, run_length=n))
+    both(lambda n: point_in_time.point_in_time(labels, known, "who", "ts", "id", "amount", rows_per_run=n))
+
+
 def brute_sessions(rows, gap):
     out = []
     for who in {r[1] for r in rows}:
@@ -127,8 +169,8 @@ def brute_sessions(rows, gap):
 
 def test_sessions(spark):
     rows = history(7)
-    for gap, bucket in ((40, 100), (100, 60), (50, 10_000)):
-        df = sessions.sessions(frame(spark, rows), "who", "ts", gap, bucket)
+    for gap in (0, 10, 40, 100, 10_000):
+        df = sessions.sessions(frame(spark, rows), "who", "ts", gap)
         got = sorted((r.who, r.session_start, r.session_end, r.event_count) for r in df.collect())
         assert got == brute_sessions(rows, gap)
 
@@ -137,7 +179,7 @@ def test_sessions_agree_with_session_window(spark):
     df = frame(spark, history(8))
     spark_own = df.groupBy(F.session_window("ts", "50 seconds").alias("w"), "who").agg(F.count("*").alias("event_count"))
     spark_own = spark_own.select("who", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "event_count")
-    ours = sessions.sessions(df, "who", "ts", 50, 120)
+    ours = sessions.sessions(df, "who", "ts", 50)
     assert ours.exceptAll(spark_own).isEmpty() and spark_own.exceptAll(ours).isEmpty()
 
 
