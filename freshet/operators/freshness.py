@@ -27,6 +27,10 @@ TTL_MULTIPLIER = 2
 DEFAULT_FRESHNESS_SECONDS = 120
 
 KEY = ["entity_id", "feature_name"]
+ANSWER_FIELDS = ["value", "value_type", "timestamp", "age_seconds", "is_stale", "freshness_sla_seconds"]
+
+# The registry is dealt over so many parts where entities meet all of it.
+REGISTRY_PARTS = 16
 
 
 def active(definitions: DataFrame) -> DataFrame:
@@ -74,19 +78,20 @@ def visible(latest: DataFrame, as_of: str) -> DataFrame:
     return latest.filter(F.col("expires_at") > instant(as_of, type_of(latest, "expires_at")))
 
 
-def _freshness(sla: Column, age: Column) -> list[Column]:
-    """Output columns of a looked-up value.
-
-    Nothing stored counts as stale; a value whose feature is not registered
-    has nothing to violate. The comparison uses the unrounded age.
-    """
+def _is_stale(sla: Column, age: Column) -> Column:
+    """Nothing stored counts as stale; a value whose feature is not registered has nothing to violate."""
     missing = F.col("event_ts").isNull() & F.col("value_raw").isNull()
+    return F.when(missing, F.lit(True)).otherwise(F.coalesce(age > sla, F.lit(False)))
+
+
+def _freshness(sla: Column, age: Column) -> list[Column]:
+    """Output columns of a looked-up value; the comparison uses the unrounded age."""
     return [
         F.col("value_raw").alias("value"),
         F.col("value_type"),
         F.col("event_ts").alias("timestamp"),
         F.round(age, 2).alias("age_seconds"),
-        F.when(missing, F.lit(True)).otherwise(F.coalesce(age > sla, F.lit(False))).alias("is_stale"),
+        _is_stale(sla, age).alias("is_stale"),
         sla.alias("freshness_sla_seconds"),
     ]
 
@@ -98,15 +103,17 @@ def _age(latest: DataFrame, as_of: str) -> Column:
 def entity_freshness(entities: DataFrame, definitions: DataFrame, latest: DataFrame, as_of: str) -> DataFrame:
     """Every active feature of every given entity, stored or not.
 
-    ``entities`` has ``entity_id``. The registry, whose rows number in the
-    thousands at most, is folded into one array and opened next to each
-    entity; the pairs then meet the latest table on its key.
+    ``entities`` has ``entity_id``: those that are asked for, since the result
+    has a row for each of them and each definition. The registry is dealt over
+    ``REGISTRY_PARTS`` parts and each entity meets each part, so no row holds
+    the whole registry; it is broadcast if its checked size allows. The pairs
+    then meet the latest table on its key. For totals alone see ``entity_totals``.
     """
-    registry = (
-        _slas(definitions).agg(F.sort_array(F.collect_list(F.struct("feature_name", "sla"))).alias("all")).scalar()
-    )
-    wanted = entities.select("entity_id").distinct().select("entity_id", F.explode(registry).alias("d"))
-    wanted = wanted.select("entity_id", "d.feature_name", "d.sla")
+    part = F.pmod(F.xxhash64("feature_name"), F.lit(REGISTRY_PARTS)).cast("int")
+    registry = dimension(_slas(definitions).withColumn("part", part))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(REGISTRY_PARTS - 1))).alias("part")
+    wanted = entities.select("entity_id").distinct().select("entity_id", parts).join(registry, "part")
+    wanted = wanted.select("entity_id", "feature_name", "sla")
     stored = latest.select(*KEY, "value_raw", "value_type", "event_ts")
     return wanted.join(stored, KEY, "left").select(*KEY, *_freshness(F.col("sla"), _age(latest, as_of)))
 
@@ -122,6 +129,28 @@ def requested_features(requests: DataFrame, definitions: DataFrame, latest: Data
     )
 
 
+def entity_totals(entities: DataFrame, definitions: DataFrame, latest: DataFrame, as_of: str) -> DataFrame:
+    """``total_features, stale_features`` of each given entity, by counting.
+
+    All active definitions count; stale are those without a fresh stored
+    value. Only stored values are read, no pairs are made.
+    """
+    registry = _slas(definitions)
+    total = registry.agg(F.count("*").alias("n")).scalar()
+    fresh = (
+        latest.join(dimension(registry), "feature_name")
+        .select("entity_id", _is_stale(F.col("sla"), _age(latest, as_of)).alias("is_stale"))
+        .groupBy("entity_id")
+        .agg(F.count_if(~F.col("is_stale")).alias("fresh"))
+    )
+    return (
+        entities.select("entity_id")
+        .distinct()
+        .join(fresh, "entity_id", "left")
+        .select("entity_id", total.alias("total_features"), (total - F.coalesce("fresh", F.lit(0))).alias("stale_features"))
+    )
+
+
 def entity_summary(freshness: DataFrame, with_features: bool = False) -> DataFrame:
     """Totals per entity; optionally a map from feature to its row.
 
@@ -133,7 +162,7 @@ def entity_summary(freshness: DataFrame, with_features: bool = False) -> DataFra
         F.count_if("is_stale").alias("stale_features"),
     ]
     if with_features:
-        row = F.struct("value", "value_type", "timestamp", "age_seconds", "is_stale", "freshness_sla_seconds")
+        row = F.struct(*ANSWER_FIELDS)
         columns.append(
             F.map_from_entries(F.collect_list(F.struct(F.col("feature_name"), row.alias("row")))).alias("features")
         )

@@ -87,11 +87,23 @@ def top_k_users(
     Users without a value come last; ties go by ``user_id``. With ``digits``
     means are rounded before ranking, so the last bits of a double do not rank.
     """
+    per_user = features.groupBy("user_id").agg(_metric(metric, digits).alias(metric))
+    return _first_users(per_user, k, metric, ascending)
+
+
+def top_k_vectors(
+    vectors: DataFrame, k: int = 10, metric: str = "monetary", ascending: bool = False, digits: int | None = None
+) -> DataFrame:
+    """``top_k_users`` from a table with one vector per user: nothing is grouped or shuffled but the ``k`` rows."""
+    _metric(metric, digits)
+    value = F.round(metric, digits) if digits is not None and METRIC_AGGREGATES[metric] == "avg" else F.col(metric)
+    return _first_users(vectors.select("user_id", value.alias(metric)), k, metric, ascending)
+
+
+def _first_users(per_user: DataFrame, k: int, metric: str, ascending: bool) -> DataFrame:
     value = F.col(metric)
     order = value.asc_nulls_last() if ascending else value.desc_nulls_last()
-    return (
-        features.groupBy("user_id").agg(_metric(metric, digits).alias(metric)).orderBy(order, "user_id").limit(int(k))
-    )
+    return per_user.orderBy(order, "user_id").limit(int(k))
 
 
 def drift_summary(features: DataFrame, names: list[str] | None = None) -> DataFrame:

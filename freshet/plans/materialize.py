@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.operators.features import wide_features
-from freshet.operators.lookup import row_count
+from freshet.operators.lookup import row_count, user_feature_vectors
 from freshet.sources.sinks import write_features
 
 
@@ -29,6 +29,12 @@ def materialize_features(
     }
 
 
+def materialize_vectors(features: DataFrame, output_path: str) -> DataFrame:
+    """Write one vector per user, sorted by user in each file, and read the table back."""
+    user_feature_vectors(features).sortWithinPartitions("user_id").write.mode("overwrite").parquet(output_path)
+    return features.sparkSession.read.parquet(output_path)
+
+
 def feature_view(spark: SparkSession, path: str, name: str = "feature_store") -> DataFrame:
     """The written table as a view for SQL."""
     table = spark.read.parquet(path)

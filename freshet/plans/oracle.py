@@ -62,9 +62,7 @@ ORACLE_SQL["top_merchant_category"] = f"with {WIDE} select * from best"
 ORACLE_SQL["anomaly_score"] = f"with {WIDE} select user_id, txn_id, event_date, anomaly_score from scores"
 ORACLE_SQL["rfm"] = f"with {WIDE} select user_id, recency_days, frequency, monetary from stats"
 ORACLE_SQL["user_features_wide"] = f"with {WIDE} select * from wide"
-ORACLE_SQL["feature_table_roundtrip"] = (
-    f"with {WIDE} select * from wide where event_date between date '2024-01-10' and date '2024-01-20'"
-)
+ORACLE_SQL["feature_table_roundtrip"] = ORACLE_SQL["user_features_wide"]
 
 # --- declared features ----------------------------------------------------------
 
@@ -347,12 +345,15 @@ ORACLE_SQL["entity_freshness"] = f"with {LATEST}, {_WANTED} select * from told"
 ORACLE_SQL["entity_summary"] = f"""
 with {LATEST}, {_WANTED}
 select entity_id, count(*) as total_features, count(*) filter (is_stale) as stale_features from told group by entity_id"""
+_FIELDS = ["value", "value_type", '"timestamp"', "age_seconds", "is_stale", "freshness_sla_seconds"]
+_ENTRIES = ", ".join(
+    f"any_value({f}) filter (feature_name = '{n}') as {n}_{f.strip(chr(34))}"
+    for n in ("click", "view", "purchase", "signup")
+    for f in _FIELDS
+)
 ORACLE_SQL["entity_feature_maps"] = f"""
 with {LATEST}, {_WANTED}
-select entity_id, cast(count(*) as integer) as features,
-       max(age_seconds) filter (feature_name = 'click') as click_age_seconds,
-       bool_or(is_stale) filter (feature_name = 'click') as click_is_stale
-from told group by entity_id"""
+select entity_id, cast(count(*) as integer) as features, {_ENTRIES} from told group by entity_id"""
 ORACLE_SQL["single_feature"] = f"""
 with {LATEST},
 requests as (
@@ -422,11 +423,16 @@ ORACLE_SQL["point_in_time_latest"] = """
 select l.event_id, l.user_id, l.ts, f.value as feature_value, f.ts as feature_ts
 from (select * from events where event_type = 'purchase') l
 asof left join (select * from events where event_type <> 'purchase') f on l.user_id = f.user_id and l.ts >= f.ts"""
-ORACLE_SQL["point_in_time_features"] = """
-select l.event_id, l.user_id, l.ts, c.value as click, c.ts as click_ts, s.value as signup, s.ts as signup_ts
+_NAMES = ["click", "view", "purchase", "signup", "error"]
+_SEEN = ", ".join(f"f_{n}.value as {n}, f_{n}.ts as {n}_ts" for n in _NAMES)
+_MEETS = "\n".join(
+    f"asof left join (select * from events where event_type = '{n}') f_{n} on l.user_id = f_{n}.user_id and l.ts >= f_{n}.ts"
+    for n in _NAMES
+)
+ORACLE_SQL["point_in_time_features"] = f"""
+select l.event_id, l.user_id, l.ts, {_SEEN}
 from (select * from events where event_type = 'purchase') l
-asof left join (select * from events where event_type = 'click') c on l.user_id = c.user_id and l.ts >= c.ts
-asof left join (select * from events where event_type = 'signup') s on l.user_id = s.user_id and l.ts >= s.ts"""
+{_MEETS}"""
 
 # --- snapshots, registry, retention ----------------------------------------------------
 
@@ -453,7 +459,7 @@ def _profile(source: str, columns: dict[str, str], digits: int | None = 6) -> st
 
 _IDS = {"event_id": "(event_id * 100)", "user_id": "(user_id * 100)", "value": CENTS}
 ORACLE_SQL["snapshot_profile"] = (
-    f"with a as (select * from events where ts < {SPLIT}) select * from ({_profile('a', _IDS)})"
+    f"select * from ({_profile('events', _IDS)})"
 )
 _DELTAS = ", ".join(
     f"round(coalesce(a.{s}, 0), 4) as {s}_a, round(coalesce(b.{s}, 0), 4) as {s}_b, "

@@ -26,7 +26,7 @@ from freshet.operators import (
     trailing,
     windows,
 )
-from freshet.plans.materialize import materialize_features
+from freshet.plans.materialize import materialize_features, materialize_vectors
 from freshet.session import configure, shared_dir
 from freshet.sources import sinks
 from freshet.sources.tables import orders_by_customer, read_table, transactions, window_events
@@ -81,6 +81,36 @@ def _wide(spark: SparkSession, root: str) -> DataFrame:
     return features.wide_features(_txns(spark, root), REFERENCE_DATE)
 
 
+_stored: dict[tuple, str] = {}
+
+
+def _store(spark: SparkSession, root: str) -> str:
+    """Folder of the feature table and the per-user table made from the events under ``root``.
+
+    Both are written once per application and set of input files; the lookups
+    read what is stored.
+    """
+    key = (spark.sparkContext.applicationId, *sorted(_events(spark, root).inputFiles()))
+    if key not in _stored:
+        folder = _scratch(spark)
+        materialize_features(_txns(spark, root), f"{folder}/features", REFERENCE_DATE)
+        materialize_vectors(spark.read.parquet(f"{folder}/features"), f"{folder}/vectors")
+        _stored[key] = folder
+    return _stored[key]
+
+
+def _feature_table(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{_store(spark, root)}/features")
+
+
+def _vector_table(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{_store(spark, root)}/vectors")
+
+
+def _shown(vectors: DataFrame) -> DataFrame:
+    return _rounded(vectors, *[m for m, how in lookup.METRIC_AGGREGATES.items() if how == "avg"])
+
+
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -216,21 +246,21 @@ def session_count_last_day(spark, root):
 
 @query
 def user_feature_vector(spark, root):
-    return lookup.user_feature_vectors(_wide(spark, root), digits=6)
+    return _shown(_vector_table(spark, root))
 
 
 @query
 def user_feature_vector_latest(spark, root):
-    return lookup.user_feature_vectors(_wide(spark, root), latest_only=True, digits=6)
+    return lookup.user_feature_vectors(_feature_table(spark, root), latest_only=True, digits=6)
 
 
 @query
 def single_user_vector(spark, root):
-    return lookup.user_feature_vectors(_wide(spark, root), user_id=7, digits=6)
+    return lookup.user_feature_vectors(_feature_table(spark, root), user_id=7, digits=6)
 
 
 def _top_k(spark: SparkSession, root: str, metric: str, ascending: bool) -> DataFrame:
-    return lookup.top_k_users(_wide(configure(spark), root), 10, metric, ascending, digits=6)
+    return lookup.top_k_vectors(_vector_table(configure(spark), root), 10, metric, ascending, digits=6)
 
 
 for _metric in lookup.METRIC_AGGREGATES:
@@ -242,12 +272,12 @@ for _metric in lookup.METRIC_AGGREGATES:
 
 @query
 def drift_summary(spark, root):
-    return _rounded(lookup.drift_summary(_wide(spark, root)), "mean", "std", "min", "max")
+    return _rounded(lookup.drift_summary(_feature_table(spark, root)), "mean", "std", "min", "max")
 
 
 @query
 def feature_row_count(spark, root):
-    return lookup.row_count(_wide(spark, root))
+    return lookup.row_count(_feature_table(spark, root))
 
 
 @query
@@ -262,11 +292,10 @@ def recent_events(spark, root):
 
 @query
 def feature_table_roundtrip(spark, root):
-    """Written by date, one date range read back."""
+    """Written by date and read back."""
     path = f"{_scratch(spark)}/features"
     materialize_features(_txns(spark, root), path, REFERENCE_DATE)
-    written = lookup.between_dates(spark.read.parquet(path), "2024-01-10", "2024-01-20")
-    return written.select(*features.WIDE_COLUMNS)
+    return spark.read.parquet(path).select(*features.WIDE_COLUMNS)
 
 
 # --- windows --------------------------------------------------------------------
@@ -475,8 +504,7 @@ def entity_freshness(spark, root):
 @query
 def entity_summary(spark, root):
     latest = _latest(spark, root)
-    rows = freshness.entity_freshness(latest, _definitions(spark), latest, AS_OF)
-    return freshness.entity_summary(rows)
+    return freshness.entity_totals(latest.select("entity_id"), _definitions(spark), latest, AS_OF)
 
 
 @query
@@ -484,13 +512,11 @@ def entity_feature_maps(spark, root):
     latest = _latest(spark, root)
     rows = freshness.entity_freshness(latest, _definitions(spark), latest, AS_OF)
     nested = freshness.entity_summary(rows, with_features=True)
-    click = F.element_at("features", F.lit("click"))
-    return nested.select(
-        "entity_id",
-        F.size("features").alias("features"),
-        click["age_seconds"].alias("click_age_seconds"),
-        click["is_stale"].alias("click_is_stale"),
-    )
+    columns = ["entity_id", F.size("features").alias("features")]
+    for name in [name for name, _, on in EVENT_DEFINITIONS if on]:
+        entry = F.element_at("features", F.lit(name))
+        columns += [entry[field].alias(f"{name}_{field}") for field in freshness.ANSWER_FIELDS]
+    return nested.select(*columns)
 
 
 @query
@@ -568,7 +594,7 @@ def point_in_time_latest(spark, root):
 def point_in_time_features(spark, root):
     return point_in_time.point_in_time(
         _labels(spark, root), _events(spark, root), "user_id", "ts", "event_id", "value",
-        feature_name="event_type", names=["click", "signup"],
+        feature_name="event_type", names=[name for name, *_ in EVENT_DEFINITIONS],
     )
 
 
@@ -583,7 +609,7 @@ def _halves(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def snapshot_profile(spark, root):
-    return _rounded(snapshots.profile(_halves(spark, root)[0], scale=2), "std")
+    return _rounded(snapshots.profile(_events(spark, root), scale=2), "std")
 
 
 @query

@@ -64,6 +64,15 @@ def test_entity_view_lists_all_active_features(spark, definitions):
     assert summary.features["rolling_7d_spend"].value == "1.5"
 
 
+def test_totals_are_those_of_the_pairs(spark, definitions):
+    stored = latest(spark, ("a", "rolling_7d_spend", 10), ("a", "other", 5), ("b", "rolling_7d_spend", 100), ("c", "order_count_24h", None))
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("x",)], "entity_id string")
+    pairs = freshness.entity_summary(freshness.entity_freshness(asked, definitions, stored, AS_OF))
+    totals = freshness.entity_totals(asked, definitions, stored, AS_OF)
+    assert sorted(totals.collect()) == sorted(pairs.collect())
+    assert {r.entity_id: r.stale_features for r in totals.collect()} == {"a": 1, "b": 2, "c": 1, "x": 2}
+
+
 def test_single_answers(spark, definitions):
     stored = latest(spark, ("a", "rolling_7d_spend", 10), ("a", "other", 10_000))
     asked = [("a", "rolling_7d_spend"), ("a", "other"), ("a", "order_count_24h"), ("x", "nothing")]

@@ -48,6 +48,14 @@ def test_top_k_is_ordered(table, metric, ascending):
     assert len(rows) == 7 and values == sorted(values, reverse=not ascending)
 
 
+@pytest.mark.parametrize("metric", sorted(lookup.METRIC_AGGREGATES))
+def test_top_k_of_vectors_is_that_of_rows(table, metric):
+    vectors = lookup.user_feature_vectors(table)
+    for digits in (None, 1):
+        expected = lookup.top_k_users(table, 9, metric, digits=digits).collect()
+        assert lookup.top_k_vectors(vectors, 9, metric, digits=digits).collect() == expected
+
+
 def test_top_k_puts_missing_last(spark, table):
     extra = table.limit(1).withColumn("user_id", F.lit("aaa")).withColumn("monetary", F.lit(None).cast("double"))
     rows = lookup.top_k_users(table.unionByName(extra), 101, "monetary", ascending=True).collect()
