@@ -1,8 +1,9 @@
 """Profiles, differences and the history of feature table snapshots.
 
-A snapshot is an immutable Parquet folder plus one row in a log of commits.
-The log is a table of events (``commit`` and ``rollback``); the current
-snapshot is the target of the last event, so nothing is ever rewritten.
+A snapshot is a Parquet folder of its own, ``snapshot_id=<id>``, plus one row
+in a log of commits. The log is a table of events (``commit`` and
+``rollback``); the current snapshot is the target of the last event, so
+nothing is ever rewritten, and a rollback brings the rows of then back.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import secrets
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from freshet.functions.amounts import mean, sample_std, square_sum, units
+from freshet.session import shared_dir
 
 STAT = "mean: double, std: double, min: double, max: double"
 LOG_SCHEMA = (
@@ -172,12 +175,18 @@ def lineage(log: DataFrame, snapshot_id: str | None = None, max_depth: int = 100
     """A snapshot (default: the current one) and its ancestors, ``depth`` 0 first.
 
     The parent is the snapshot that was current at the commit, which after a
-    rollback is not the one before in time.
+    rollback is not the one before in time. The walk reads the links once from
+    a written copy, not the log anew at each level; it ends where the links
+    do, and with an error beyond ``max_depth``.
     """
     states = snapshot_states(log)
+    spark = log.sparkSession
+    path = f"{shared_dir(spark)}/links-{uuid.uuid4().hex}"
+    states.select("snapshot_id", "parent_snapshot_id", "label", "row_count", "is_current").write.parquet(path)
+    states = spark.read.parquet(path)
     start = states.filter("is_current") if snapshot_id is None else states.filter(F.col("snapshot_id") == snapshot_id)
-    nodes = states.select("snapshot_id", "parent_snapshot_id", "label", "row_count")
-    return log.sparkSession.sql(
+    nodes = states.drop("is_current")
+    return spark.sql(
         f"""
         WITH RECURSIVE chain MAX RECURSION LEVEL {int(max_depth)} AS (
             SELECT n.*, 0 AS depth FROM {{nodes}} n WHERE n.snapshot_id IN (SELECT snapshot_id FROM {{start}})
@@ -205,6 +214,28 @@ def current_at_each_commit(events: DataFrame) -> DataFrame:
     )
 
 
+def _moment(at: datetime | None) -> str:
+    """Text in the order of time: UTC, to the microsecond. A moment without a zone is taken as UTC."""
+    at = at or datetime.now(timezone.utc)
+    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+    return at.isoformat(timespec="microseconds")
+
+
+def snapshot_folder(log_path: str, snapshot_id: str) -> str:
+    """Where the rows of a snapshot are kept: next to the log."""
+    return f"{log_path.rstrip('/')}.data/snapshot_id={snapshot_id}"
+
+
+def read_snapshot(spark: SparkSession, log_path: str, snapshot_id: str | None = None) -> DataFrame:
+    """The rows of a snapshot, by default of the current one."""
+    log = read_log(spark, log_path)
+    wanted = current_snapshot(log) if snapshot_id is None else get_snapshot(log, snapshot_id)
+    row = wanted.select("location").first()
+    if row is None:
+        raise ValueError("nothing is committed yet" if snapshot_id is None else f"no commit has the id {snapshot_id!r}")
+    return spark.read.parquet(row["location"])
+
+
 def _append(spark: SparkSession, log_path: str, row: dict) -> None:
     values = tuple(row.get(name) for name in T._parse_datatype_string(LOG_SCHEMA).names)
     spark.createDataFrame([values], LOG_SCHEMA).coalesce(1).write.mode("append").json(log_path)
@@ -219,15 +250,21 @@ def commit_snapshot(
     at: datetime | None = None,
     on_missing: str = "raise",
 ) -> str:
-    """Profile the Parquet folder and append a commit; it becomes the current snapshot.
+    """Keep the rows of a Parquet folder and append a commit; it becomes the current snapshot.
 
-    ``on_missing="empty"`` commits an unreadable path with no rows and no
-    statistics. Only one row per numeric column comes to the driver.
+    The rows are copied to the snapshot's own folder first, so that later
+    writes to ``data_path`` don't reach them; a commit that failed halfway is
+    not in the log and may be run again under its id. An id that is in the log
+    is refused. ``on_missing="empty"`` commits an unreadable path with no rows
+    and no statistics. Only one row per numeric column comes to the driver.
     """
     at = at or datetime.now(timezone.utc)
     snapshot_id = snapshot_id or new_snapshot_id(at)
     log = read_log(spark, log_path)
+    if not get_snapshot(log, snapshot_id).isEmpty():
+        raise ValueError(f"the id {snapshot_id!r} is taken")
     parent = current_snapshot(log).select("snapshot_id").first()
+    location = data_path
     rows, stats, fingerprint = 0, {}, hashlib.sha256(b"[]").hexdigest()[:16]
     try:
         data = spark.read.parquet(data_path)
@@ -236,6 +273,10 @@ def commit_snapshot(
             raise
     else:
         fingerprint = schema_hash(data)
+        location = snapshot_folder(log_path, snapshot_id)
+        data.write.mode("overwrite").parquet(location)
+        # the profile is that of what was kept
+        data = spark.read.schema(data.schema).parquet(location)
         described = profile(data).collect()
         rows = described[0]["row_count"] if described else data.count()
         stats = {r["column_name"]: (r["mean"], r["std"], r["min"], r["max"]) for r in described} if rows else {}
@@ -244,11 +285,11 @@ def commit_snapshot(
         log_path,
         {
             "event_type": "commit",
-            "event_at": at.isoformat(timespec="microseconds"),
+            "event_at": _moment(at),
             "snapshot_id": snapshot_id,
             "label": label,
-            "created_at": at.isoformat(timespec="microseconds"),
-            "location": data_path,
+            "created_at": _moment(at),
+            "location": location,
             "schema_hash": fingerprint,
             "row_count": rows,
             "stats": stats,
@@ -262,21 +303,19 @@ def rollback_snapshot(spark: SparkSession, log_path: str, snapshot_id: str, at:
     """Make an earlier snapshot current again; the history stays."""
     if get_snapshot(read_log(spark, log_path), snapshot_id).isEmpty():
         raise ValueError(f"no commit has the id {snapshot_id!r}")
-    at = at or datetime.now(timezone.utc)
-    _append(
-        spark,
-        log_path,
-        {"event_type": "rollback", "event_at": at.isoformat(timespec="microseconds"), "snapshot_id": snapshot_id},
-    )
+    _append(spark, log_path, {"event_type": "rollback", "event_at": _moment(at), "snapshot_id": snapshot_id})
 
 
 def snapshot_diff(log: DataFrame, snap_a: str, snap_b: str) -> tuple[DataFrame, DataFrame]:
     """Two committed snapshots: one header row, and one row per feature.
 
     The header tells whether the schema changed and how the row count moved.
+    Ids that were never committed are an error.
     """
-
     commits = log.filter(F.col("event_type") == "commit")
+    for snapshot_id in (snap_a, snap_b):
+        if commits.filter(F.col("snapshot_id") == snapshot_id).isEmpty():
+            raise ValueError(f"no commit has the id {snapshot_id!r}")
 
     def of(snapshot_id: str, name: str):
         return F.max(F.when(F.col("snapshot_id") == snapshot_id, F.col(name)))

@@ -508,6 +508,13 @@ chain as (
   select s.snapshot_id, s.parent_snapshot_id, c.depth + 1 from chain c join states s on s.snapshot_id = c.parent_snapshot_id)
 select * from chain"""
 
+ORACLE_SQL["snapshot_rolled_back"] = f"select * from events where ts < {SPLIT}"
+ORACLE_SQL["snapshot_diff_header"] = f"""
+with counts as (
+  select count(*) filter (ts < {SPLIT}) as row_count_a, count(*) filter (ts >= {SPLIT}) as row_count_b from events)
+select 'early' as snap_a, 'late' as snap_b, true as schema_changed, *, row_count_b - row_count_a as row_count_delta
+from counts"""
+
 CHANGES = f"""
 defs as (
   select event_type || '_' || user_id || '_' || hour(ts) as feature_name, 'seen early' as description, 'team_' || event_type as owner,

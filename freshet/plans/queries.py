@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -666,6 +667,30 @@ def snapshot_lineage(spark, root):
     return snapshots.lineage(_snapshot_log(spark, root)).select("snapshot_id", "parent_snapshot_id", "depth")
 
 
+def _committed(spark: SparkSession, root: str) -> str:
+    """The earlier half, the later one without users, and a rollback to the first, as a log."""
+    folder = _scratch(spark)
+    early, late = _halves(spark, root)
+    for i, (name, rows) in enumerate((("early", early), ("late", late.drop("user_id")))):
+        rows.write.mode("overwrite").parquet(f"{folder}/work")
+        at = datetime(2024, 2, 1 + i, tzinfo=timezone.utc)
+        snapshots.commit_snapshot(spark, f"{folder}/work", f"{folder}/log", snapshot_id=name, at=at)
+    snapshots.rollback_snapshot(spark, f"{folder}/log", "early", datetime(2024, 2, 3, tzinfo=timezone.utc))
+    return f"{folder}/log"
+
+
+@query
+def snapshot_rolled_back(spark, root):
+    """The rows of the snapshot that a rollback made current, after their source was overwritten."""
+    return snapshots.read_snapshot(spark, _committed(spark, root))
+
+
+@query
+def snapshot_diff_header(spark, root):
+    header, _ = snapshots.snapshot_diff(snapshots.read_log(spark, _committed(spark, root)), "early", "late")
+    return header.select("snap_a", "snap_b", "schema_changed", "row_count_a", "row_count_b", "row_count_delta")
+
+
 def _registry_and_changes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """A feature per user, event type and hour of the day; later events are changes to it."""
     early, late = _halves(spark, root)

@@ -78,6 +78,31 @@ def test_profile_diff_of_two_commits(spark, tmp_path, log_path):
     assert (got["n"].mean_b, got["n"].mean_delta, got["n"].max_delta) == (0.0, -5.0, -5.0)
 
 
+def test_a_snapshot_keeps_its_rows(spark, tmp_path, log_path):
+    data = str(tmp_path / "data")
+    for minute, name in enumerate("ab"):
+        spark.range(3 * minute + 2).write.mode("overwrite").parquet(data)
+        commit(spark, log_path, name, minute, data)
+    assert snapshots.read_snapshot(spark, log_path).count() == 5
+    snapshots.rollback_snapshot(spark, log_path, "a", T0 + timedelta(minutes=5))
+    assert snapshots.read_snapshot(spark, log_path).count() == 2
+    assert snapshots.read_snapshot(spark, log_path, "b").count() == 5
+    with pytest.raises(ValueError, match="no commit has the id"):
+        snapshots.read_snapshot(spark, log_path, "zzz")
+    with pytest.raises(ValueError, match="no commit has the id"):
+        snapshots.snapshot_diff(snapshots.read_log(spark, log_path), "a", "zzz")
+    with pytest.raises(ValueError, match="is taken"):
+        commit(spark, log_path, "a", 9, data)
+
+
+def test_moments_are_ordered_across_zones(spark, log_path):
+    commit(spark, log_path, "a", 0)
+    east = timezone(timedelta(hours=9))
+    snapshots.commit_snapshot(spark, "/no", log_path, snapshot_id="b", at=datetime(2024, 1, 1, 9, 1, tzinfo=east), on_missing="empty")
+    snapshots.commit_snapshot(spark, "/no", log_path, snapshot_id="c", at=datetime(2024, 1, 1, 0, 2), on_missing="empty")
+    assert {n: r.parent_snapshot_id for n, r in states(spark, log_path).items()} == {"a": None, "b": "a", "c": "b"}
+
+
 def test_schema_hash(spark):
     def h(ddl):
         return snapshots.schema_hash(spark.createDataFrame([], ddl))
