@@ -27,6 +27,36 @@ def retained(rows: DataFrame, ts: str, as_of: str, keep_seconds: int) -> DataFra
     return rows.filter(F.col(ts) >= _before(as_of, keep_seconds, type_of(rows, ts)))
 
 
+def retained_folders(lake: DataFrame, ts: str, as_of: str, keep_seconds: int) -> DataFrame:
+    """``retained`` for rows in folders ``year/month/day``: older folders are not read at all.
+
+    The day of the border itself is read and cut by ``ts``.
+    """
+    border = _before(as_of, keep_seconds, type_of(lake, ts))
+    day = F.make_date(*[F.col(part).cast("int") for part in ("year", "month", "day")])
+    return retained(lake.filter(day >= border.cast("date")), ts, as_of, keep_seconds)
+
+
+def expire_lake(lake: DataFrame, target: str, layout: list[str], ts: str, as_of: str, keep_seconds: int) -> None:
+    """Write what is retained to a new folder in the same layout; the old one can then be given up whole."""
+    kept = retained_folders(lake, ts, as_of, keep_seconds)
+    kept.hint("rebalance", *layout).write.mode("errorifexists").partitionBy(*layout).parquet(target)
+
+
+def compact_log(
+    log: DataFrame,
+    target: str,
+    ts: str,
+    order: list[str],
+    as_of: str,
+    lag_seconds: int = COMPACTION_LAG_SECONDS,
+    keep_seconds: int = RETENTION_SECONDS["audit"],
+    key: list[str] = KEY,
+) -> None:
+    """Write the compacted audit log to a new folder."""
+    compacted(log, ts, order, as_of, lag_seconds, keep_seconds, key).hint("rebalance").write.mode("errorifexists").parquet(target)
+
+
 def compacted(
     log: DataFrame,
     ts: str,

@@ -580,6 +580,9 @@ select event_id, entity_id, event_type, ts from (
   qualify row_number() over (partition by user_id, event_type order by event_id desc) = 1)"""
 ORACLE_SQL["retention_filter"] = f"select * from events where ts >= {AS_OF} - interval 7 days"
 
+ORACLE_SQL["retention_lake"] = ORACLE_SQL["retention_filter"]
+ORACLE_SQL["audit_compaction_written"] = ORACLE_SQL["audit_compaction"]
+
 # --- streams and lake ---------------------------------------------------------------------
 
 ORACLE_SQL["stream_deduplicated"] = "select event_id, ts, user_id, value from events"

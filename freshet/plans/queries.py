@@ -777,6 +777,27 @@ def audit_compaction(spark, root):
     )
 
 
+@query
+def audit_compaction_written(spark, root):
+    """The same, as the job that writes the compacted log."""
+    target = f"{_scratch(spark)}/audit"
+    log = _feature_events(spark, root)
+    retention.compact_log(log, target, "event_ts", ["offset"], AS_OF, lag_seconds=2 * 86_400, keep_seconds=20 * 86_400)
+    return spark.read.parquet(target).select("offset", "entity_id", "feature_name", "event_ts")
+
+
+@query
+def retention_lake(spark, root):
+    """Raw events written to lake folders, expired into a new folder and read back."""
+    folder = _scratch(spark)
+    sinks.write_raw_events(_events(spark, root), f"{folder}/raw", "ts")
+    keep = retention.RETENTION_SECONDS["raw_events"]
+    retention.expire_lake(
+        spark.read.parquet(f"{folder}/raw"), f"{folder}/kept", sinks.RAW_EVENTS_LAYOUT, "ts", AS_OF, keep
+    )
+    return spark.read.parquet(f"{folder}/kept").drop(*sinks.RAW_EVENTS_LAYOUT)
+
+
 @query
 def retention_filter(spark, root):
     events = _events(spark, root)

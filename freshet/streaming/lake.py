@@ -1,8 +1,15 @@
-"""Streams into date-partitioned Parquet."""
+"""Streams into date-partitioned Parquet.
+
+Before it is written a micro-batch is brought together by folder, so that it
+leaves a few files in each and not one of every task; a folder with very many
+rows is split. A micro-batch owns ``batch_id=<n>`` in the folders it writes to
+and replaces it when it is run again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.sources.sinks import (
@@ -20,15 +27,19 @@ FEATURE_UPDATES_INTERVAL = "5 minutes"
 
 
 def _start(rows: DataFrame, path: str, checkpoint: str, layout: list[str], per_file: int, interval: str | None):
-    writer = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", per_file)
-        .partitionBy(*layout)
-    )
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .hint("rebalance", *layout)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .option("maxRecordsPerFile", per_file)
+            .partitionBy(*layout, "batch_id")
+            .parquet(path)
+        )
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return triggered(writer, interval).start()
 
 

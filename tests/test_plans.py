@@ -13,6 +13,7 @@ import pytest
 import __spark_entry__
 from freshet.operators import features, lookup, retention, trailing, windows
 from freshet.plans.queries import QUERIES
+from freshet.sources import sinks
 from freshet.sources.tables import orders_by_customer, read_table, transactions, window_events
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -42,6 +43,14 @@ def test_point_filters_reach_the_scan(spark, small):
     assert "GreaterThanOrEqual(ts" in plan(retention.retained(events, "ts", "2024-01-31 00:00:00", 86_400))
 
 
+def test_old_lake_folders_are_not_read(spark, small, tmp_path):
+    events = read_table(spark, small, "events")
+    sinks.write_raw_events(events, str(tmp_path / "raw"), "ts")
+    kept = retention.retained_folders(spark.read.parquet(str(tmp_path / "raw")), "ts", "2024-01-31 00:00:00", 86_400)
+    assert kept.count() == events.filter("ts >= '2024-01-30'").count()
+    assert re.search(r"PartitionFilters: \[.*make_date", plan(kept)) and "GreaterThanOrEqual(ts" in plan(kept)
+
+
 def test_user_filter_reaches_the_scan_of_a_written_table(spark, small, tmp_path):
     from freshet.plans.materialize import materialize_features
 

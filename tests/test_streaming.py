@@ -167,7 +167,8 @@ def test_lake_folders(spark, small, parts, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "raw"))
     assert rows.count() == read_table(spark, small, "events").count()
     assert rows.filter("hour <> hour(ts) OR day <> day(ts) OR month <> month(ts) OR year <> year(ts)").isEmpty()
-    assert (tmp_path / "raw" / "year=2024" / "month=01" / "day=02" / "hour=05").is_dir()
+    hour = tmp_path / "raw" / "year=2024" / "month=01" / "day=02" / "hour=05"
+    assert hour.is_dir() and len(list(hour.rglob("*.parquet"))) == 1
 
 
 def test_feature_updates_and_audit(spark, small, parts, tmp_path):
