@@ -189,6 +189,55 @@ def test_similar_documents(spark, odd, monkeypatch):
     assert simhash_similar.similar_documents(odd.where("doc_id = 99")).count() == 0
 
 
+def block_copies(rng, groups, size, words=200):
+    """Texts of groups: copies of one text, each with its own block of words changed; similar to the text, not all to each other."""
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    docs = []
+    for _ in range(groups):
+        centre = rng.choice(vocabulary, words)
+        docs.append(" ".join(centre))
+        for _ in range(size - 1):
+            copy, n = centre.copy(), int(rng.integers(words // 20, words // 11))
+            at = int(rng.integers(0, words - n))
+            copy[at : at + n] = rng.choice(vocabulary, n)
+            docs.append(" ".join(copy))
+    return docs
+
+
+def similar_pairs(docs):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, docs)]
+    return [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+
+
+def test_large_groups_are_linked_by_shingles(spark):
+    """Groups of 30 copies with changed blocks: most postings are long, and a tenth of the words can't be told by bits."""
+    docs = block_copies(np.random.default_rng(8), 6, 30)
+    given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
+    pairs = similar_pairs(docs)
+    assert sum(found[i] == found[j] for i, j in pairs) >= 0.98 * len(pairs)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=8), min_size=1, max_size=12), st.integers(1, 12), st.sampled_from([0.3, 0.5, 0.8]))
+def test_dense_forest_joins_all_pairs(sets, parts, similarity):
+    n = len(sets)
+    given = [i % parts for i in range(n)]
+    pairs = [(i, j) for i in range(n) for j in range(i) if given[i] == given[j]]
+    near = [(i, j) for i in range(n) for j in range(i) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    found = simhash_similar.dense_forest([np.array(sorted(s), dtype=np.int64) for s in sets], np.array(given), similarity)
+    assert {(max(f), min(f)) for f in found} <= set(near)
+
+    def joined(edges):
+        root = list(range(n))
+        for a, b in edges:
+            old, new = root[a], root[b]
+            root = [new if r == old else r for r in root]
+        return [[r == q for q in root] for r in root]
+
+    assert joined(pairs + found) == joined(pairs + near)
+
+
 def test_covering_triples():
     assert len(simhash.covering_triples()) == 20
 
