@@ -197,7 +197,7 @@ def block_copies(rng, groups, size, words=200):
         centre = rng.choice(vocabulary, words)
         docs.append(" ".join(centre))
         for _ in range(size - 1):
-            copy, n = centre.copy(), int(rng.integers(words // 20, words // 11))
+            copy, n = centre.copy(), int(rng.integers(words // 14, words // 11))
             at = int(rng.integers(0, words - n))
             copy[at : at + n] = rng.choice(vocabulary, n)
             docs.append(" ".join(copy))
@@ -209,13 +209,20 @@ def similar_pairs(docs):
     return [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
 
 
-def test_large_groups_are_linked_by_shingles(spark):
-    """Groups of 30 copies with changed blocks: most postings are long, and a tenth of the words can't be told by bits."""
-    docs = block_copies(np.random.default_rng(8), 6, 30)
-    given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    found = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
+def test_changed_blocks_are_linked_like_all_pairs(spark, monkeypatch):
+    """Pairs with one changed block and groups of 30, in short and in long postings, cut into blocks too."""
+    rng = np.random.default_rng(8)
+    docs = [*block_copies(rng, 150, 2), *block_copies(rng, 4, 30)]
     pairs = similar_pairs(docs)
-    assert sum(found[i] == found[j] for i, j in pairs) >= 0.98 * len(pairs)
+    expected = [(i, i) for i in range(len(docs))]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    expected = dict(expected) | {r["node"]: r["root"] for r in components(links).collect()}
+    assert len(pairs) > 200
+    given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    for small, block in ((8, 512), (1, 512), (1, 7)):
+        monkeypatch.setattr(simhash_similar, "SMALL", small)
+        monkeypatch.setattr(simhash_similar, "BLOCK", block)
+        assert {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()} == expected
 
 
 @settings(max_examples=100, deadline=None)
