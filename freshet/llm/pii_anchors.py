@@ -8,7 +8,9 @@ right, and validates what it finds. No pattern is searched over a whole text.
 Base kinds, leftmost and without overlaps within a kind: ``email``, ``ip``,
 ``card``, ``phone``. A match that fails its check is dropped and its
 characters stay consumed. Kinds the anchors add: ``url`` (scheme://host...)
-and ``account`` (a number after a cue word such as "account" or "IBAN").
+and ``account`` (a number after a cue word such as "account" or "IBAN", in
+upper or lower case). An IBAN ends at its country's length, other numbers
+before a word that follows.
 
 Defined results: a null text counts as empty, with zero counts and empty
 ``spans``. Offsets are code points, ends exclusive. Repeated rows stay
@@ -18,6 +20,7 @@ repeated; rows keep a null id.
 from __future__ import annotations
 
 import re
+from itertools import accumulate
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -31,6 +34,16 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
 # Words that announce an account or identity number.
 CUES = ("account", "acct", "iban", "passport", "ssn", "social security", "tax id", "customer id", "member id")
+# Lengths of IBANs by country.
+IBAN_LENGTHS = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 "
+        "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 "
+        "MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 "
+        "TN24 TR26 UA29 VA22 VG24 XK20"
+    ).split()
+}
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DIGITS = frozenset("0123456789")
@@ -40,7 +53,11 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HOST = re.compile(r"[^\s<>\"'\\^`{|}/]+\.[^\s<>\"'\\^`{|}]*[^\s<>\"'\\^`{|}.,;:!?)\]]")
-_NUMBER = re.compile(r"(?:[\x20]?(?:number|no\.?|nr\.?|id|#))?[\x20]?[:=#]?[\x20]?([A-Z0-9](?:[\x20-]?[A-Z0-9]){5,33})(?![A-Za-z0-9])")
+_NUMBER = re.compile(
+    r"(?:[\x20]?(?:number|no\.?|nr\.?|id|#|(?!NO[0-9])(?i:number|no|nr|id)(?![A-Za-z])\.?))?[\x20]?[:=#]?[\x20]?"
+    r"([A-Z0-9](?:[\x20-]?[A-Z0-9]){5,33})(?![A-Za-z0-9])"
+)
+_GROUP = re.compile(r"[\x20-]?[A-Z0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -58,8 +75,35 @@ def valid_iban(number: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def number_size(number: str) -> int:
+    """Length of the account number that begins ``number``, zero if there is none."""
+    groups = _GROUP.findall(number)
+    ends = list(accumulate(map(len, groups)))
+    plain = [number[:e].replace(" ", "").replace("-", "") for e in ends]
+    shaped = plain[-1][:2].isalpha() and plain[-1][2:4].isdigit()
+    if shaped:
+        length = IBAN_LENGTHS.get(plain[-1][:2])
+        for end, x in zip(reversed(ends), reversed(plain), strict=True):
+            if (len(x) == length if length else len(x) >= 15) and valid_iban(x):
+                return end
+    # Words after the number don't belong to it; nor do more groups than a number can have.
+    for at in range(1, len(groups)):
+        if sum(c in _DIGITS for c in plain[at - 1]) >= 6 and re.fullmatch(r" [A-Z]{2,}", groups[at]):
+            ends, plain = ends[:at], plain[:at]
+            break
+    if shaped and len(plain[-1]) >= 15:
+        return 0
+    return next((e for e, x in zip(reversed(ends), reversed(plain), strict=True) if len(x) <= 20 and sum(c in _DIGITS for c in x) >= 6), 0)
+
+
+def lowered(text: str) -> str:
+    """In lower case, every character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if c.isascii() else c for c in text)
+
+
 def automaton() -> ahocorasick.Automaton:
-    """Anchors with their kind and length."""
+    """Anchors with their kind and length, for a text in lower case."""
     found = ahocorasick.Automaton()
     found.add_word("@", ("email", 1))
     found.add_word("://", ("url", 3))
@@ -70,8 +114,7 @@ def automaton() -> ahocorasick.Automaton:
             for gap in ("", " ", "-"):
                 found.add_word(a + gap + b, ("card", 2 + len(gap)))
     for cue in CUES:
-        for spelt in {cue, cue.upper(), cue.capitalize()}:
-            found.add_word(spelt, ("account", len(spelt)))
+        found.add_word(cue, ("account", len(cue)))
     found.make_automaton()
     return found
 
@@ -86,7 +129,7 @@ def spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str
     """All valid (start, end, kind) of a text, by start, then kind as listed."""
     done = dict.fromkeys(KINDS, 0)
     found = []
-    for last, (kind, size) in anchors.iter(text):
+    for last, (kind, size) in anchors.iter(lowered(text)):
         first = last + 1 - size
         floor = done[kind]
         if first < floor:
@@ -121,14 +164,9 @@ def spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str
                 done[kind] = m.end()
                 found.append((start, m.end(), kind))
         elif (not first or not text[first - 1].isalnum()) and (m := _NUMBER.match(text, last + 1)):
-            number = m.group(1).replace(" ", "").replace("-", "")
-            if number[:2].isalpha() and number[2:4].isdigit() and len(number) >= 15:
-                good = valid_iban(number)
-            else:
-                good = len(number) <= 20 and sum(c in _DIGITS for c in number) >= 6
-            if good:
-                done[kind] = m.end()
-                found.append((m.start(1), m.end(1), kind))
+            if size := number_size(m.group(1)):
+                done[kind] = m.start(1) + size
+                found.append((m.start(1), m.start(1) + size, kind))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

@@ -79,6 +79,29 @@ def test_urls_and_accounts():
     assert len(kinds) == 3
 
 
+@pytest.mark.parametrize(
+    ("text", "masked"),
+    [
+        ("Account Number: 12345678.", "Account Number: <ACCOUNT>."),
+        ("Account No. 12345678 and", "Account No. <ACCOUNT> and"),
+        ("ACCOUNT NUMBER 12345678 IS CLOSED FROM NOW ON", "ACCOUNT NUMBER <ACCOUNT> IS CLOSED FROM NOW ON"),
+        ("Tax ID 12-3456789", "Tax ID <ACCOUNT>"),
+        ("Customer ID: 1234567, Member ID #7654321", "Customer ID: <ACCOUNT>, Member ID #<ACCOUNT>"),
+        ("Social Security Number 123-45-6789", "Social Security Number <ACCOUNT>"),
+        ("\u0130 aCCt 1234567", "\u0130 aCCt <ACCOUNT>"),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "IBAN <ACCOUNT> BIC COBADEFFXXX"),
+        ("iban: DE89370400440532013000 12 EUR", "iban: <ACCOUNT> 12 EUR"),
+        ("IBAN NO93 8601 1117 947 PAID", "IBAN <ACCOUNT> PAID"),
+        ("IBAN DE89 3704 0044 0532 0130 01 BIC", "IBAN DE89 3704 0044 0532 0130 01 BIC"),
+        ("Passport AB123456 ISSUED ON 2020", "Passport <ACCOUNT> ISSUED ON 2020"),
+        ("Account Numbers and Passport Notes", "Account Numbers and Passport Notes"),
+    ],
+)
+def test_spellings_of_accounts(text, masked):
+    found = [s for s in pii_anchors.spans(text, ANCHORS) if s[2] == "account"]
+    assert pii_anchors.mask(text, found) == masked
+
+
 def test_contamination_rows(spark, odd):
     items = spark.createDataFrame(
         [(1, "long words here long words here long words here long words"), (2, None), (3, "!!"), (None, "same short text"), (5, "no id here")],
