@@ -7,11 +7,15 @@ text ratio and punctuation ratio. Both are smoothed over neighbouring paths in p
 order and fused into one score. Paths whose score reaches a threshold, taken
 from the mean and spread of the scores by text, are content. A block is kept
 if its path is content, or if it stands beside content: in the innermost
-element that holds most of the content text.
+element that holds all of it, or an article or main element that holds most,
+or in one element with content.
 
 What is furniture by its tag, role or class (navigation, page headers and
 footers, asides, notices, adverts, forms, comments, scripts, styles) is cut
-out before the ratios are taken. Blocks that are mostly links are dropped.
+out before the ratios are taken, unless it holds the page's only article, main
+element or first heading, or most of the text of a page without these. Linked text
+doesn't count for a path's ratio; blocks that are mostly links are dropped
+outside the element that holds the content.
 
 Defined results: null and empty pages, and pages without text, give an empty
 text. Broken markup is read leniently: unclosed paragraphs and list items end
@@ -52,6 +56,11 @@ FURNITURE_WORDS = frozenset(
     "subscription toolbar widget widgets respond reply replies".split()
 )
 
+# Words by which a class speaks of the state of a page or of the head of an article.
+STATES = frozenset("has no not with without hide open closed enabled disabled".split())
+ARTICLE_WORDS = frozenset("article post entry story content".split())
+MARKS = ("article", "main", "h1")
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S
 )
@@ -65,18 +74,27 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in _ATTRIBUTE.finditer(text)}
 
 
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
+
+
 def _is_furniture(name: str, attributes: dict[str, str], inside: list[str]) -> bool:
     if name in FURNITURE:
         # A header in an article holds its title.
         return not (name == "header" and any(x in ("article", "main") for x in inside))
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
+    if _is_hidden(attributes):
         return True
     if attributes.get("role", "").lower() in FURNITURE_ROLES:
         return True
     if name in ("body", "html", "article", "main"):
         return False
-    spoken = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()
-    return any(w in FURNITURE_WORDS for w in _WORDS.findall(spoken))
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {*_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())}
+        if words & ARTICLE_WORDS:
+            words.discard("header")
+        if words & FURNITURE_WORDS and not words & STATES:
+            return True
+    return False
 
 
 class Block:
@@ -86,13 +104,45 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+class Cut:
+    """Furniture: where its element starts, its name, the length of its text, and which of MARKS it holds."""
+
+    __slots__ = ("at", "marks", "name", "size")
+
+    def __init__(self, at: int, name: str):
+        self.at, self.name, self.size, self.marks = at, name, 0, {name} & {*MARKS}
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text outside furniture, in page order."""
+    spared: set[int] = set()
+    while True:
+        found, cuts, marks = _parsed(page, spared)
+        if not cuts:
+            return found
+        size = sum(c.size for c in cuts) + sum(len(b.text) for b in found)
+        new = {
+            c.at
+            for c in cuts
+            if (c.marks & {"article", "main"} and not marks & {"article", "main"})
+            or ("h1" in c.marks and "h1" not in marks and c.name not in ("nav", "footer", "aside"))
+            or (not marks and c.size > 0.5 * size and c.name not in FURNITURE - {"form", "fieldset"})
+        }
+        if not new:
+            return found
+        spared |= new
+
+
+def _parsed(page: str, spared: set[int]) -> tuple[list[Block], list[Cut], set[str]]:
+    """Blocks, furniture that isn't hidden, and which of MARKS are outside furniture; ``spared`` has starts of elements that are none."""
     open_tags: list[str] = []
     labels: list[str] = []
     cut_at: int | None = None  # depth at which furniture began
     links = 0
     found: list[Block] = []
+    cuts: list[Cut] = []
+    cut: Cut | None = None
+    marks: set[str] = set()
     pieces: list[str] = []
     linked = 0
 
@@ -118,6 +168,8 @@ def blocks(page: str) -> list[Block]:
             pieces.append(text)
             if links:
                 linked += len(text.strip())
+        elif cut is not None:
+            cut.size += len(text.strip())
 
     at, size = 0, len(page)
     while at < size:
@@ -166,8 +218,16 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         attributes = _attributes(m[3]) if m[3] else {}
-        if cut_at is None and _is_furniture(name, attributes, open_tags):
+        if cut_at is None and m.start() not in spared and _is_furniture(name, attributes, open_tags):
             cut_at = len(open_tags)
+            cut = None
+            if not _is_hidden(attributes):
+                cuts.append(cut := Cut(m.start(), name))
+        elif name in MARKS:
+            if cut_at is None:
+                marks.add(name)
+            elif cut is not None:
+                cut.marks.add(name)
         if not m[3].rstrip().endswith("/") or name in CLOSES_P:
             open_tags.append(name)
             kind = attributes.get("class", "").split()
@@ -175,7 +235,7 @@ def blocks(page: str) -> list[Block]:
         elif cut_at == len(open_tags):
             cut_at = None
     flush()
-    return found
+    return found, cuts, marks
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -186,23 +246,45 @@ def _smooth(values: list[float]) -> list[float]:
 
 def content(found: list[Block]) -> list[Block]:
     """The content blocks of a page."""
-    found = [b for b in found if b.linked <= 0.5 * len(b.text)]
-    if not found:
-        return []
     sums: dict[tuple, list[float]] = {}
     for b in found:
         entry = sums.setdefault(b.path, [0, 0, 0])
-        entry[0] += len(b.text)
-        entry[1] += len(_PUNCTUATION.findall(b.text))
+        plain = max(0, len(b.text) - b.linked)
+        entry[0] += plain
+        entry[1] += len(_PUNCTUATION.findall(b.text)) * plain / len(b.text)
         entry[2] += 1
+    weight = sum(s[0] for s in sums.values())
+    if not weight:
+        return []
     paths = list(sums)
     lengths = _smooth([math.log1p(sums[p][0] / sums[p][2]) for p in paths])
     marks = _smooth([math.log1p(sums[p][1] / sums[p][2]) for p in paths])
     fused = {p: n * (1 + m) for p, n, m in zip(paths, lengths, marks, strict=True)}
-    weight = sum(s[0] for s in sums.values())
     mean = sum(fused[p] * sums[p][0] for p in paths) / weight
     spread = math.sqrt(sum((fused[p] - mean) ** 2 * sums[p][0] for p in paths) / weight)
-    chosen = {p for p in paths if fused[p] >= mean - spread}
+    chosen = {p for p in paths if sums[p][0] and fused[p] >= mean - spread}
+    around = _container(chosen, sums)
+    if not _is_inner(around):
+        around = ()
+    beside = {p[:-1] for p in chosen if _is_inner(p[:-1])}
+
+    def inside(path: tuple) -> bool:
+        return bool(around) and path[: len(around)] == around
+
+    def stays(b: Block) -> bool:
+        if inside(b.path):
+            return True
+        return b.linked <= 0.5 * len(b.text) and (b.path in chosen or b.path[:-1] in beside or not around)
+
+    return [b for b in found if stays(b)]
+
+
+def _is_inner(path: tuple) -> bool:
+    return bool(path) and path[-1].split(".")[0] not in ("html", "body")
+
+
+def _container(chosen: set[tuple], sums: dict[tuple, list[float]]) -> tuple:
+    """The article or main element with most of the chosen text; else the innermost element with all of it, or with most and a first heading."""
     total = sum(sums[p][0] for p in chosen)
     around: tuple = ()
     while True:
@@ -215,7 +297,18 @@ def content(found: list[Block]) -> list[Block]:
         if inner is None or shares[inner] < 0.6 * total:
             break
         around = inner
-    return [b for b in found if b.path in chosen or b.path[: len(around)] == around]
+        if around[-1].split(".")[0] in ("article", "main"):
+            return around
+    common = around
+    while not all(p[: len(common)] == common for p in chosen):
+        common = common[:-1]
+    if _is_inner(common):
+        around = common
+    for depth in range(len(around) - 1, 0, -1):
+        outer = around[:depth]
+        if _is_inner(outer) and any(p[:depth] == outer and p[-1].split(".")[0] == "h1" for p in sums):
+            return outer
+    return around
 
 
 def main_text(page: str | None) -> str:

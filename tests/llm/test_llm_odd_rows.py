@@ -154,6 +154,42 @@ def test_pages_rows(spark):
     assert [out[i]["text"] for i in (2, 3, None, 5, 6, 7)] == ["", "", "plain", "no markup at all", "", "deep"]
 
 
+LINE = "A sentence of the article, with marks; it goes on for a while and then it ends. "
+
+
+@pytest.mark.parametrize(
+    ("start", "end"),
+    [
+        ("<article>", "</article>"),
+        ("<main class=wide>", "</main>"),
+        ("<div class=post>", "</div>"),
+    ],
+)
+def test_titles_and_sections_in_nested_containers(start, end):
+    first = "".join(f"<p>{LINE * 5}</p>" for _ in range(10))
+    body = f"<h1>The title of it</h1><div class=body>{first}</div><div class=more><h2>Sub</h2><p>{LINE * 4}</p><p>Short one.</p><ul><li>Item</ul></div>"
+    got = tag_paths.main_text(f"<html><body><div class=top>Sign in</div>{start}{body}{end}<div class=end>Terms</div></body></html>")
+    assert got.split("\n\n") == ["The title of it", *[(LINE * 5).strip()] * 10, "Sub", (LINE * 4).strip(), "Short one.", "Item"]
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<div class='content no-sidebar'>%s</div>",
+        "<div class='site has-sidebar'>%s</div>",
+        "<div class='post comments-open'>%s</div>",
+        "<form>%s</form>",
+        "<div class=widget><main>%s</main></div>",
+        "<article>%s</article>",
+    ],
+)
+def test_links_and_wrappers_of_articles_stay(wrap):
+    head = "<div class=article-header><h1><a href=/x>The linked title</a></h1></div>"
+    text = "".join(f"<p>{LINE * 4}</p>" for _ in range(5))
+    page = "<nav><a href=/>Home</a></nav>" + wrap % (head + text + "<p><a href=/r>Full report</a></p><div class=share>Share it</div>") + "<footer>End</footer>"
+    assert tag_paths.main_text(f"<html><body>{page}</body></html>").split("\n\n") == ["The linked title", *[(LINE * 4).strip()] * 5, "Full report"]
+
+
 def test_near_duplicate_rows(spark, odd):
     out = [r.asDict() for r in simhash.near_duplicates(odd).collect()]
     assert len(out) == len(ROWS)
