@@ -1,6 +1,7 @@
 """Licence scans by lookup of canonical digests, in SQL functions only.
 
-A text is made canonical: lower case; lines that state a copyright dropped;
+A text is made canonical: lower case; lines that state a copyright (the word or
+sign with a sign, a year or a capitalised name) dropped, so that wrapping doesn't matter;
 punctuation, marks of comments and lists, and white space turned into single
 spaces; words of equal meaning spelt one way. The digest of the whole canonical text
 is joined with the digests of known licences, made the same way. So is the
@@ -17,6 +18,7 @@ counts. Repeated rows stay repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,17 +27,29 @@ from pyspark.sql import functions as F
 from freshet.llm.license_texts import EQUIVALENT, LICENSES, NOTICES
 from freshet.operators.joins import dimension
 
-_COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+_YEAR = r"(?:19|20)[0-9]{2}\b"
+# Words that follow "copyright" in running text; a line of a wrapped text may begin there.
+_NO_NAME = "notices?|holders?|owners?|owned|ownership|laws?|licen[sc]es?|licensors?|acts?|and|or|is|in|on|to|of|for|it|interests?|permissions?|rights?|status|statements?|disclaimers?|protection|treat(?:y|ies)"
+_COPYRIGHT = (
+    r"(?m)^[^\p{L}\p{N}\n©]*(?:"
+    r"©[^\n]*|\((?i:c)\)[^\p{L}\p{N}\n]*(?:(?i:copyright)\b|[^\n]*" + _YEAR + r")[^\n]*"
+    r"|(?i:copyright)[^\p{L}\p{N}\n]*(?:\((?i:c)\)|©|" + _YEAR + r"|[<\[{]\s*(?i:year|yyyy))[^\n]*"
+    r"|(?:Copyright|COPYRIGHT)[ \t:,]+(?i:by[ \t]+)?(?!(?i:" + _NO_NAME + r")\b)\p{Lu}[^\n]*"
+    r"|(?i:all rights reserved)[^\n]*)$"
+)
+# Titles of texts, which copies leave out or spell otherwise.
+_TITLE = r"^(?:the )?(?:mit|isc|zlib|bsd zero clause|zero clause bsd|(?:simplified |new |modified |revised )?bsd(?: [23] clause)?|[023] clause bsd|(?:simplified|new|modified) bsd) license(?: (?:mit|isc|zlib|0bsd|bsd|expat))?(?: (?:mit|isc|zlib) license)? (?=\S)"
 _NOT_WORDS = r"[^\p{L}\p{N}\n]+"
 
 
 def canonical(text: Column) -> Column:
     """Canonical words of a text, a space before and after each; line ends stay."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    # "(c)" and the sign at the start of a line, or the word, mark a copyright line.
+    given = F.coalesce(text, F.lit(""))
+    low = F.lower(given)
+    # A name can only be told while it has its capitals.
     without = F.when(
         F.contains(low, F.lit("copyright")) | F.contains(low, F.lit("(c)")) | F.contains(low, F.lit("©")) | F.contains(low, F.lit("rights")),
-        F.regexp_replace(low, _COPYRIGHT, ""),
+        F.lower(F.regexp_replace(given, _COPYRIGHT, "")),
     ).otherwise(low)
     # Every word has its own space on either side, so that one replacement doesn't take the next one's.
     words = F.concat(F.lit(" "), F.replace(F.regexp_replace(without, _NOT_WORDS, "  "), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
@@ -50,9 +64,14 @@ def whole_digest(canonical_text: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(canonical_text, r"\s+", " ")), 256)
 
 
-def known_digests(known: DataFrame) -> DataFrame:
+def untitled_digest(canonical_text: Column) -> Column:
+    """The digest without the title of a known licence at the start."""
+    return F.sha2(F.regexp_replace(F.trim(F.regexp_replace(canonical_text, r"\s+", " ")), _TITLE, ""), 256)
+
+
+def known_digests(known: DataFrame, digest: Callable[[Column], Column] = whole_digest) -> DataFrame:
     """(digest, license_id), one row per digest; ``known`` has license_id and text."""
-    return known.groupBy(whole_digest(canonical(F.col("text"))).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    return known.groupBy(digest(canonical(F.col("text"))).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def known_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -71,8 +90,8 @@ def scan_licenses(
     licenses = own[0] if licenses is None else licenses
     notices = own[1] if notices is None else notices
     texts = docs.select(F.col(id_col), canonical(F.col(text_col)).alias("words"))
-    texts = texts.select(id_col, whole_digest(F.col("words")).alias("digest"), "words")
-    whole = texts.select(id_col, "digest").join(dimension(known_digests(licenses)), "digest", "left")
+    texts = texts.select(id_col, untitled_digest(F.col("words")).alias("digest"), "words")
+    whole = texts.select(id_col, "digest").join(dimension(known_digests(licenses, untitled_digest)), "digest", "left")
 
     lines = texts.select(id_col, "digest", F.explode(F.split("words", "\n")).alias("line"))
     lines = lines.where(F.length("line") > 2).select(F.col(id_col).alias("i"), F.col("digest").alias("d"), whole_digest(F.col("line")).alias("line_digest"))

@@ -403,6 +403,22 @@ def test_license_rows(spark, odd):
     assert license_digest.scan_licenses(odd.where("doc_id = 99")).count() == 0
 
 
+def test_licenses_at_any_width(spark):
+    import textwrap
+
+    rows, expected = [], {}
+    for name, text in LICENSES.items():
+        title, _, body = text.partition("\n\n")
+        for width in (0, 30, 40, 55, 68, 72, 80, 100, 10_000):
+            parts = body.split("\n\n")
+            wrapped = "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False) if width else p for p in parts)
+            for head in (f"{title}\n\nCopyright (c) 2020, A Name\n\n", "Copyright 2019-2021 The Authors\nAll rights reserved.\n\n", "Copyright Some Name <a@b.c>\n\n", "The MIT License (MIT)\n\n© Me\n\n" if name == "MIT" else ""):
+                expected[len(rows)] = name
+                rows.append((len(rows), head + wrapped))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["license_id"] for r in license_digest.scan_licenses(docs).collect()} == expected
+
+
 def test_pipeline_stages_take_odd_rows(spark, odd, small):
     import corpus_pipeline
 
