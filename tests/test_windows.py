@@ -4,7 +4,7 @@ import math
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -127,6 +127,7 @@ def test_sliding_series_equals_brute_force(spark, rows, shape):
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS)
+@example(rows=[(BASE, "a", 0.0), (BASE + 340.5, "a", 0.0)])  # a window between them that neither is in
 def test_multi_resolution_equals_brute_force(spark, rows):
     got = as_dicts(windows.multi_resolution(events(spark, rows)))
     for name, size in windows.TUMBLING_SECONDS.items():
@@ -134,7 +135,7 @@ def test_multi_resolution_equals_brute_force(spark, rows):
         assert part == brute_tumbling(rows, size)
         assert sum(d["count"] for d in part) == len(rows)
     part = [{k: v for k, v in d.items() if k != "window_type"} for d in got if d["window_type"] == "sliding"]
-    assert part == brute_series(rows, 300, 60, empty=False)
+    assert part == brute_series(rows, 300, 60)
 
 
 def test_tail_is_what_a_bounded_buffer_keeps(spark):
