@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import language_id, quality_pu
+from freshet.llm.best_fit import pack
+from freshet.llm.centroid_tree import cluster, with_totals
 from freshet.llm.common import id_remainder, table
 from freshet.llm.decontaminate import contamination
+from freshet.llm.fill_middle import fill_middle
 from freshet.llm.license_digest import scan_licenses
 from freshet.llm.maxscore import top_k
 from freshet.llm.pii_anchors import find_pii
@@ -20,6 +23,8 @@ from freshet.llm.tag_paths import extract
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 GOOD = 0.3
 
 
@@ -74,6 +79,21 @@ def op10_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = {"tokenizer": public_tokenizers.path(BYTE_TOKENIZER), "ranks": public_tokenizers.path(BYTE_RANKS)}
+    return pack(table(spark, sf_dir, "documents"), **files, pattern=public_tokenizers.PATTERN, capacity=1024, end_id=2)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_totals(*cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_maxscore,
         op9_language_id,
         op10_license_digest,
+        op11_best_fit_packing,
+        op12_fill_middle,
+        op13_centroid_tree,
         pipeline,
     )
 }
