@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 CHUNK = 65_536
+# Code points of a partition.
+PARTITION = 64_000_000
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
 # Shares in per cent: documents that are transformed, and of those the ones with the suffix first.
@@ -177,11 +179,11 @@ def fill_middle(docs: DataFrame, chunk: int = CHUNK, with_text: bool = False, id
         row, doc_id, n, form, prefix_chars, middle_chars, place, body = piece
         return (row, place), (form, None if body is None else bytes(body), (doc_id, n, form, prefix_chars, middle_chars) if body is None else None)
 
-    pieces = cut_up.rdd.map(keyed)
-    # As many partitions as the scan has: they grow with the table.
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.getNumPartitions())
+    # Adaptive execution doesn't see this shuffle, so its partitions are sized here, from all texts.
+    characters = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-characters // PARTITION))
     sort = {"numPartitions": partitions, "partitionFunc": _by_row}
-    dealt = pieces.repartitionAndSortWithinPartitions(**sort)
+    dealt = cut_up.rdd.map(keyed).repartitionAndSortWithinPartitions(**sort)
     outputs = dealt.mapPartitions(_read_output(with_text), preservesPartitioning=True)
     restored = outputs.repartitionAndSortWithinPartitions(**sort).mapPartitions(_read_restored)
     known = [StructField("doc_id", docs.schema[id_col].dataType), StructField("n", LongType()), StructField("form", StringType())]
