@@ -235,17 +235,55 @@ def test_similar_documents(spark, odd, monkeypatch):
             docs.append((len(docs), " ".join(copy)))
     sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in docs)]
     pairs = [(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    joined = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    expected = {i: joined.get(i, i) for i, _ in docs}
     given = spark.createDataFrame(docs, "doc_id long, text string")
-    found = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
-    assert sum(found[i] == found[j] for i, j in pairs) >= 0.98 * len(pairs)
-    assert all(found[i] // 7 == i // 7 for i in found) and all(found[i] == i for i in found if i % 7 == 6)
-    monkeypatch.setattr(simhash_similar, "SMALL", 2)
-    monkeypatch.setattr(simhash_similar, "BLOCK", 3)
-    blocked = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
-    assert sum(blocked[i] == blocked[j] for i, j in pairs) >= 0.9 * len(pairs) and all(blocked[i] // 7 == i // 7 for i in blocked)
+    for small, block, common in ((128, 512, 1 << 20), (2, 3, 1 << 20), (2, 3, 0), (128, 512, 50)):
+        monkeypatch.setattr(simhash_similar, "SMALL", small)
+        monkeypatch.setattr(simhash_similar, "BLOCK", block)
+        monkeypatch.setattr(simhash_similar, "MOST_COMMON", common)
+        assert {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()} == expected
+    named = given.selectExpr("concat('d', doc_id) AS doc_id", "text")
+    by_name = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(named).collect()}
+    classes = {}
+    for i, root in expected.items():
+        classes.setdefault(root, []).append(f"d{i}")
+    assert by_name == {m: min(members) for members in classes.values() for m in members}
     out = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(odd).collect()}
     assert out == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 7}
     assert simhash_similar.similar_documents(odd.where("doc_id = 99")).count() == 0
+    text = "one id may have several texts and each of them has links of its own"
+    rows = [(1, text), (1, text + " indeed"), (-5, " ".join(reversed(text.split()))), (1, " ".join(reversed(text.split()))), (9, text.upper())]
+    several = spark.createDataFrame(rows, "doc_id int, text string")
+    found = simhash_similar.similar_documents(several)
+    assert found.dtypes == [("doc_id", "int"), ("component_id", "int")]
+    assert sorted(map(tuple, found.collect())) == [(-5, -5), (1, -5), (1, 1), (1, 1), (9, 1)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 8))
+def test_postings_give_all_pairs(rows, small):
+    rows = sorted(set(rows)) + rows[:3]
+    sizes = [10 + name for _, name in rows]
+    keys, names = (np.array([r[c] for r in rows], dtype=np.uint64) for c in (0, 1))
+    (a, b, star), (long_keys, long_names) = simhash_similar.pairs_of_bucket(keys, names, np.array(sizes, dtype=np.uint64), 0.8, small)
+    members = {k: sorted({n for key, n in rows if key == k}) for k, _ in rows}
+    short = [m for m in members.values() if len(m) <= small]
+    expected = {(x, y) for m in short for x in m for y in m if x < y and (y - x) <= (20 + x + y) * 0.2 / 1.8 + 1e-6}
+    assert len(a) == len(expected) and set(zip(a.tolist(), b.tolist(), strict=True)) == expected
+    assert {(x, y) for x, y, s in zip(a.tolist(), b.tolist(), star.tolist(), strict=True) if s} == {(x, y) for x, y in expected if any(x == m[0] and y in m for m in short)}
+    assert sorted(zip(long_keys.tolist(), long_names.tolist(), strict=True)) == sorted((k, n) for k, m in members.items() if len(m) > small for n in m)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**simhash_similar.KEY_BITS - 1), max_size=50), st.integers(1, 9))
+def test_columns_survive_packing(keys, buckets):
+    keys = np.sort(np.array(keys, dtype=np.uint64))
+    other = np.arange(len(keys), dtype=np.uint64) * np.uint64(2**60 + 7)
+    parts = [simhash_similar.unpacked(body, 2) for _, body in simhash_similar.dealt(keys, buckets, other)]
+    back = np.concatenate([np.zeros((2, 0), dtype=np.uint64), *parts], axis=1)
+    assert back.tolist() == [keys.tolist(), other.tolist()]
+    assert all(b == int(k) * buckets >> simhash_similar.KEY_BITS for b, body in simhash_similar.dealt(keys, buckets, other) for k in simhash_similar.unpacked(body, 2)[0])
 
 
 def block_copies(rng, groups, size, words=200):
@@ -278,7 +316,7 @@ def test_changed_blocks_are_linked_like_all_pairs(spark, monkeypatch):
     expected = dict(expected) | {r["node"]: r["root"] for r in components(links).collect()}
     assert len(pairs) > 200
     given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    for small, block in ((8, 512), (1, 512), (1, 7)):
+    for small, block in ((128, 512), (1, 512), (1, 7)):
         monkeypatch.setattr(simhash_similar, "SMALL", small)
         monkeypatch.setattr(simhash_similar, "BLOCK", block)
         assert {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()} == expected
