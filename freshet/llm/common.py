@@ -6,9 +6,10 @@ import hashlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +30,34 @@ def keep(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def least_hashed(rows: DataFrame, on: list[str], n: int, kind: str | None = None, among: DataFrame | None = None) -> DataFrame:
+    """A bounded sample: the ``n`` distinct values of ``on`` with the least hashes (of each ``kind``), with the number of their rows as ``weight``.
+
+    Rows that repeat come once, whatever their number, and a value is never too
+    rare or too frequent to be taken. Only rows that have a partner in ``among`` count,
+    if given. Ids and hashes are shuffled, texts only of the rows taken.
+    """
+    own = ["__kind", "__hash"]
+    keyed = rows.withColumns({"__kind": F.col(kind) if kind else F.lit(0), "__hash": F.xxhash64(*on)})
+    narrow = keyed if among is None else keyed.join(among, among.columns, "left_semi")
+    counted = narrow.groupBy(*own).agg(F.count("*").alias("weight"))
+    if kind:
+        place = F.row_number().over(Window.partitionBy("__kind").orderBy("__hash"))
+        chosen = counted.withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
+    else:
+        chosen = counted.orderBy("__hash").limit(n)
+    # n rows of each kind, written once.
+    taken = keyed.join(F.broadcast(keep(chosen)), own)
+    return taken.groupBy(*own).agg(*(F.first(c).alias(c) for c in [*rows.columns, "weight"])).drop(*own)
+
+
+def resampled(weights: np.ndarray, most: int) -> np.ndarray:
+    """Positions of rows, each as often as its weight says, scaled down to ``most`` in all."""
+    ends = np.cumsum(weights)
+    many = min(most, int(ends[-1])) if len(ends) else 0
+    return np.searchsorted(ends, (np.arange(many) + 0.5) * (ends[-1] / many)) if many else np.zeros(0, dtype=np.int64)
+
+
 def map_rows(frame: DataFrame, schema: StructType, start: Callable[[], Callable[..., dict]]) -> DataFrame:
     """Apply a function of column lists to slices of rows, in Arrow.
 

@@ -17,6 +17,7 @@ import brute  # noqa: E402
 
 from freshet.llm import decontaminate as dc  # noqa: E402
 from freshet.llm import language_id, license_digest, maxscore, pii_anchors, quality_pu, secret_ledger, simhash, simhash_similar, tag_paths  # noqa: E402
+from freshet.llm.common import least_hashed, resampled  # noqa: E402
 from freshet.llm.components import components  # noqa: E402
 from freshet.llm.license_texts import LICENSES  # noqa: E402
 
@@ -360,6 +361,60 @@ def test_quality_rows(spark, odd):
     assert quality_pu.keep_good(odd, model, 0.3).columns == odd.columns
 
 
+def test_quality_prior_is_estimated():
+    rng = np.random.default_rng(2)
+    good, bad = rng.normal(0, 1, (6000, 5)), rng.normal(3, 1, (6000, 5))
+    for share in (0.3, 0.6, 0.9):
+        mixed = np.where((rng.random(6000) < share)[:, None], good, bad)
+        assert quality_pu.estimated_prior(rng.normal(0, 1, (3000, 5)), mixed) == pytest.approx(share, abs=0.08)
+
+
+def test_samples_are_bounded_and_never_empty(spark):
+    rows = spark.range(40_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "IF(id < 20000, 'the same', concat('text ', id)) AS text", "IF(id = 7, 'rare', 'en') AS lang")
+    taken = least_hashed(rows, ["doc_id", "text"], 500)
+    assert taken.columns == ["doc_id", "text", "lang", "weight"]
+    assert taken.count() == 500 == taken.select("text").distinct().count()
+    same = rows.where("text = 'the same'")
+    assert [r["weight"] for r in least_hashed(same, ["doc_id", "text"], 500).collect()] == [20_000]
+    by_kind = least_hashed(rows.withColumn("text", F.concat("text", "lang")), ["doc_id", "text"], 300, kind="lang").groupBy("lang").count()
+    assert dict(by_kind.collect()) == {"en": 300, "rare": 1}
+    some = spark.createDataFrame([(3,), (4,)], "doc_id long")
+    known = rows.withColumn("doc_id", F.lit(3).cast("long"))
+    assert least_hashed(known, ["doc_id", "text"], 10, among=some).count() == 10
+    assert least_hashed(rows, ["doc_id", "text"], 10, among=some).count() == 0
+    assert resampled(np.array([1, 4, 1]), 100).tolist() == [0, 1, 1, 1, 1, 2]
+    assert resampled(np.array([10**12, 10**12]), 4).tolist() == [0, 0, 1, 1] and len(resampled(np.array([], dtype=int), 4)) == 0
+    assert language_id.fit(same).languages == ["en", "rare"]
+    model = quality_pu.fit(rows, spark.createDataFrame([(None, 1), (3, 0)], "doc_id long, quality int"))
+    assert not model.weights and model.labelled_share == 0.5
+    assert quality_pu.fit(known, spark.createDataFrame([(3, 1)], "doc_id long, quality int")).weights
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abcéßñ中🙂я", min_size=1, max_size=9), min_size=1, max_size=20))
+def test_words_are_summed_as_their_subwords_are(words):
+    table = np.random.default_rng(1).normal(size=(language_id.BUCKETS, 3))
+    found = language_id.bucket_sums(words, table)
+    for word, row in zip(words, found, strict=True):
+        at = language_id.buckets(word)
+        assert row[-1] == len(at) and np.allclose(row[:-1], table[at].sum(axis=0), atol=1e-9)
+
+
+def test_forgotten_words_change_no_score(monkeypatch):
+    rng = np.random.default_rng(4)
+    table = rng.normal(size=(language_id.BUCKETS, 3))
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}é" for i in range(6000)]
+    texts = [" ".join(rng.choice(words, int(n))) for n in rng.integers(0, 900, 40)] + [None, "", "123", " ".join(words)]
+    monkeypatch.setattr(language_id, "CACHED_WORDS", 1)
+    model = language_id.Model(["a", "b", "c"], table)
+    for _ in range(2):
+        got = model.logits(texts)
+        for text, row in zip(texts, got, strict=True):
+            at = [b for w in language_id.letter_words(text) for b in language_id.buckets(w)]
+            assert np.isnan(row).all() if not at else np.allclose(row, table[at].mean(axis=0))
+    assert len(model._codes) <= 1250
+
+
 def test_secret_rows_and_ledger(spark, odd):
     texts = [
         (1, "token: token:abcdefgh AKIA" + "A" * 12 + " " + "ab" * 20),
