@@ -10,16 +10,23 @@ Where it would turn negative the model overfits the positives, and the step
 goes the other way. A small network on standardised text statistics is
 trained in numpy on bounded samples; scoring is one pass in Arrow tasks.
 
-The prior is the share of good rows among the rows with a label, if
-``PRIOR_ROWS`` or more have one and some are bad; else it is estimated from
-the scores of a first fit: the mean over U by the mean over P.
+The prior is estimated from P and U by a first fit: the share of U that scores
+at least as the best ``PRIOR_SHARE`` of P do, by that share of P itself. Labels
+that say bad aren't used; the share of good ones among all labels is only
+kept beside it (``labelled_share``), to see how far off the estimate is.
+
+The samples are the distinct (id, text) with the least hashes, ``POSITIVE_ROWS``
+and ``UNLABELLED_ROWS`` of them; a row that repeats counts as often as it does,
+as long as all fit into that bound.
 
 The statistics are shares and means over the whole text: pairs of character
 classes, word lengths, repeated words and lines, line lengths.
 
 Defined results: null and empty texts are scored like each other (all
-statistics zero). Labels other than 1 and 0 count as none; if a document has
-several rows or labels, each pair counts. Without any positive, every score is ``pi``.
+statistics zero). Labels other than 1 count as none; a document that has a 1 among
+several labels is trusted. Rows without an id are unlabelled. Without any positive,
+every score is ``pi``. Repeated rows are scored each for itself; an empty table
+gives no rows. Columns other than id, text and label are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,14 +38,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
-from freshet.llm.common import map_rows, received, send
+from freshet.llm.common import least_hashed, map_rows, received, resampled, send
 
 # Bounds of the training samples, in rows.
 POSITIVE_ROWS = 8_000
 UNLABELLED_ROWS = 16_000
-PRIOR_ROWS = 30
+PRIOR_SHARE = 0.8
 DEFAULT_PRIOR = 0.5
 HIDDEN = 16
 
@@ -92,6 +99,7 @@ class Model:
     mean: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: tuple = ()
+    labelled_share: float | None = None
 
     def logits(self, rows: np.ndarray) -> np.ndarray:
         if not self.weights:
@@ -149,40 +157,41 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: in
     return model
 
 
-def _sample(rows: DataFrame, limit: int, by: str, seed: int) -> DataFrame:
-    """About ``limit`` rows at most, chosen by a hash of the id."""
-    total = rows.count()
-    share = min(1.0, limit / max(1, total))
-    return rows if share == 1 else rows.where(F.pmod(F.xxhash64(by, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The class prior, by scores of a first fit."""
+    if not len(positive) or not len(unlabelled):
+        return DEFAULT_PRIOR
+    guess = train(positive, unlabelled, DEFAULT_PRIOR, epochs=10)
+    trusted = guess.scores(positive)
+    bound = np.quantile(trusted, 1 - PRIOR_SHARE)
+    return float((guess.scores(unlabelled) >= bound).mean() / (trusted >= bound).mean())
 
 
-def _features(rows: DataFrame, text_col: str) -> np.ndarray:
-    schema = StructType([StructField("x", ArrayType(FloatType()))])
+def _features(sample: DataFrame, text_col: str, most: int) -> np.ndarray:
+    """Statistics of the sample's texts, repeated by weight."""
+    schema = StructType([StructField("x", ArrayType(FloatType())), StructField("w", LongType())])
 
     def start():
-        return lambda texts: {"x": [statistics(t) for t in texts]}
+        return lambda texts, weights: {"x": [statistics(t) for t in texts], "w": weights}
 
-    found = map_rows(rows.select(text_col), schema, start).toArrow()["x"].combine_chunks()
-    return np.asarray(found.flatten(), dtype=np.float32).reshape(-1, N_FEATURES)
+    # Each text in one order: that of its hash.
+    found = map_rows(sample.orderBy(F.xxhash64(text_col)).select(text_col, "weight"), schema, start).toArrow()
+    rows = np.asarray(found["x"].combine_chunks().flatten(), dtype=np.float32).reshape(-1, N_FEATURES)
+    return rows[resampled(found["w"].to_numpy(), most)]
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float | None = None
 ) -> Model:
     """Train on ``docs`` (unlabelled) and those of them that ``labels`` marks 1 (trusted)."""
-    ids = docs.select(id_col)
-    marked = ids.join(labels.select(id_col, F.col(label_col).alias("__label")), id_col).where("__label IN (0, 1)")
-    counts = dict(marked.groupBy("__label").count().collect())
-    good, bad = counts.get(1, 0), counts.get(0, 0)
-    trusted = _sample(marked.where("__label = 1").select(id_col), POSITIVE_ROWS, id_col, 1).distinct()
-    positive = _features(docs.join(trusted, id_col, "left_semi"), text_col)
-    unlabelled = _features(_sample(docs, UNLABELLED_ROWS, id_col, 2), text_col)
-    if prior is None and good + bad >= PRIOR_ROWS and bad:
-        prior = good / (good + bad)
-    if prior is None:
-        guess = train(positive, unlabelled, DEFAULT_PRIOR, epochs=10)
-        prior = float(guess.scores(unlabelled).mean() / max(1e-6, guess.scores(positive).mean())) if len(positive) and len(unlabelled) else DEFAULT_PRIOR
-    return train(positive, unlabelled, prior)
+    rows = docs.select(F.col(id_col), F.col(text_col))
+    good = labels.where(F.col(label_col) == 1).select(id_col).distinct()
+    positive = _features(least_hashed(rows, [id_col, text_col], POSITIVE_ROWS, among=good), text_col, POSITIVE_ROWS)
+    unlabelled = _features(least_hashed(rows, [id_col, text_col], UNLABELLED_ROWS), text_col, UNLABELLED_ROWS)
+    model = train(positive, unlabelled, estimated_prior(positive, unlabelled) if prior is None else prior)
+    known = labels.agg(F.count_if(F.col(label_col) == 1), F.count_if(F.col(label_col).isin(0, 1))).first()
+    model.labelled_share = known[0] / known[1] if known[1] else None
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
