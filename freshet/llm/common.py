@@ -58,6 +58,19 @@ def resampled(weights: np.ndarray, most: int) -> np.ndarray:
     return np.searchsorted(ends, (np.arange(many) + 0.5) * (ends[-1] / many)) if many else np.zeros(0, dtype=np.int64)
 
 
+class Codes(dict):
+    """Numbers of words; a word not seen before gets the next one and is listed in ``new``."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        self.new.append(word)
+        return code
+
+
 def map_rows(frame: DataFrame, schema: StructType, start: Callable[[], Callable[..., dict]]) -> DataFrame:
     """Apply a function of column lists to slices of rows, in Arrow.
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from freshet.llm.common import least_hashed, map_rows, received, send
+from freshet.llm.common import Codes, least_hashed, map_rows, received, send
 
 # Bound of the training sample: rows per language.
 ROWS_PER_LANGUAGE = 800
@@ -119,19 +119,6 @@ def bucket_sums(words: list[str], table: np.ndarray) -> np.ndarray:
     return out
 
 
-class Codes(dict):
-    """Numbers of words; a word not seen before gets the next one and is listed in ``new``."""
-
-    def __init__(self, known=()):
-        super().__init__(known)
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = code = len(self)
-        self.new.append(word)
-        return code
-
-
 @dataclass
 class Model:
     languages: list[str]

@@ -14,22 +14,27 @@ ones, the deeper goes first, which keeps the agenda small.
 
 No piece has a word mark after another character, so the lattice falls apart
 at the words. A word's forward pass gives its best segmentation and how far
-its second best is behind; both are cached, and the A* search runs
-only in those words of a text that can take part in its N best, which are the
-N - 1 words whose second best is least behind. The N best of the text are the
-N best choices among these.
+its second best is behind, and the A* search runs only in those words of a text
+that can take part in its N best, which are the N - 1 words whose second best is
+least behind. The N best of the text are the N best choices among these.
+
+The forward passes of all new words of a slice run side by side in numpy: a trie of
+arrays finds the pieces at each place, and one step per end and length of piece
+handles all words. What is known of a word is kept; when there are more than
+``CACHED_WORDS`` the half that was used most stays.
 
 Defined results: a null text has null columns; an empty one no pieces, score
 zero and no alternatives. Texts of any length are encoded whole; one word of
 any length is one lattice. Decoding turns word marks into spaces and drops
-the first; a text that has word marks itself comes back with spaces.
+the first; a text that has word marks itself comes back with spaces. Repeated
+rows come out each for itself; an empty table gives no rows. Columns other than
+id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from operator import add
 
 import ahocorasick
@@ -48,7 +53,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from freshet.llm.common import map_rows
+from freshet.llm.common import Codes, map_rows
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -56,6 +61,9 @@ CACHED_WORDS = 250_000
 CACHED_PARTS = 250_000
 CACHED_CHOICES = 20_000
 SLICE_CHARS = 1_000_000
+# Words solved side by side, and the longest that are.
+SOLVED_AT_ONCE = 8_192
+LONGEST = 64
 _NEVER = float("-inf")
 
 EDIT = StructType([StructField("at", IntegerType()), StructField("n", IntegerType()), StructField("ids", ArrayType(IntegerType()))])
@@ -80,6 +88,46 @@ def read_pieces(model_file: str) -> dict:
     }
 
 
+class Trie:
+    """Pieces by their characters, in arrays."""
+
+    def __init__(self, pieces: dict[str, int]):
+        children: dict[int, int] = {}
+        found = {}
+        for piece, number in pieces.items():
+            node = 0
+            for c in piece:
+                node = children.setdefault(node << 21 | ord(c), len(children) + 1)
+            found[node] = number
+        self.longest = max(map(len, pieces), default=0)
+        self.keys = np.array(sorted(children), dtype=np.int64)
+        self.nodes = np.array([children[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.first = np.full(0x110000, -1, dtype=np.int32)
+        at_root = self.keys < 1 << 21
+        self.first[self.keys[at_root]] = self.nodes[at_root]
+        self.piece = np.full(len(children) + 1, -1, dtype=np.int32)
+        for node, number in found.items():
+            self.piece[node] = number
+
+    def pieces_at(self, codes: np.ndarray) -> np.ndarray:
+        """(longest, rows, words): the piece of each length that starts in a cell of ``codes`` (rows, words), or -1; 0 in codes is no character."""
+        rows, words = codes.shape
+        out = np.full((self.longest, rows, words), -1, dtype=np.int32)
+        flat = np.concatenate([codes.ravel(), np.zeros((self.longest + 1) * words, dtype=np.int64)])
+        at = np.flatnonzero(flat)
+        node = self.first[flat[at]].astype(np.int64)
+        at, node = at[node >= 0], node[node >= 0]
+        for length in range(self.longest):
+            out[length].ravel()[at] = self.piece[node]
+            key = node << 21 | flat[at + (length + 1) * words]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[place] == key
+            at, node = at[there], self.nodes[place[there]]
+            if not len(at):
+                break
+        return out
+
+
 class Encoder:
     def __init__(self, model: dict, n: int = 4):
         self.n = n
@@ -91,6 +139,11 @@ class Encoder:
         self.arcs.make_automaton()
         normal = [model["pieces"][i] for i in model["normal"]]
         self.singles = {p for p in normal if len(p) == 1}
+        self.trie = Trie({model["pieces"][i]: i for i in model["normal"]})
+        # Behind the pieces: characters without one, by numbers of their own, and a last score for cells without anything.
+        self.piece_scores = np.array(model["scores"], dtype=np.float64)
+        self.single = np.zeros(0x110000, dtype=bool)
+        self.single[[ord(c) for c in self.singles]] = True
         self.inside = {p[k : k + 2] for p in normal for k in range(len(p) - 1)}
         self.unknown_score = min(model["scores"][i] for i in model["normal"]) - UNKNOWN_PENALTY
         self.text_of = [p.replace(MARK, " ").encode() for p in model["pieces"]]
@@ -190,11 +243,129 @@ class Encoder:
     # -- words of a text, cached
 
     def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.flat = array("i")
-        self.sizes, self.starts = array("i"), array("q")
-        self.scores, self.behind = array("d"), array("d")
-        self._arrays = None
+        self.codes = Codes()
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.sizes, self.starts, self.uses = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.scores, self.behind = np.zeros(0), np.zeros(0)
+        self.exact = np.zeros(0, dtype=bool)
+
+    def _keep_half(self) -> None:
+        """Keep the words used most; their counts are halved."""
+        names = list(self.codes)
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[: CACHED_WORDS // 2])
+        sizes = self.sizes[stay]
+        ends = np.cumsum(sizes)
+        self.flat = self.flat[np.repeat(self.starts[stay] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.sizes, self.starts, self.uses = sizes, ends - sizes, self.uses[stay] // 2
+        self.scores, self.behind, self.exact = self.scores[stay], self.behind[stay], self.exact[stay]
+        self.codes = Codes({names[i]: code for code, i in enumerate(stay.tolist())})
+
+    def solve_many(self, segs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``solve`` of segments: number of ids, all ids, scores, how far the second best is behind.
+
+        Segments lie side by side, the longest first, so that those that
+        reach an end are the first ones of a row.
+        """
+        lengths = np.fromiter(map(len, segs), dtype=np.int64, count=len(segs))
+        order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[order]
+        words, rows = len(segs), int(lengths[0])
+        codes = np.zeros((rows, words), dtype=np.int64)
+        chars = np.frombuffer("".join([segs[i] for i in order.tolist()]).encode("utf-32-le"), dtype=np.uint32)
+        first = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(words), lengths)
+        codes[np.arange(len(chars)) - first[owner], owner] = chars
+        piece = self.trie.pieces_at(codes)
+        unknown = (codes > 0) & ~self.single[codes]
+        odd, number = np.unique(codes[unknown], return_inverse=True)
+        piece[0][unknown] = len(self.piece_scores) + number
+        scores = np.concatenate([self.piece_scores, np.full(len(odd), self.unknown_score), [_NEVER]])
+        used = (piece >= 0).any(axis=2)
+        best, second = np.full((rows + 1, words), _NEVER), np.full((rows + 1, words), _NEVER)
+        best[0] = 0.0
+        back = np.zeros((rows + 1, words), dtype=np.int64)
+        for end in range(1, rows + 1):
+            many = int(np.searchsorted(-lengths, -end, side="right"))
+            top, other, step = best[end, :many], second[end, :many], back[end, :many]
+            # Longest pieces first: of equal scores the first one stays.
+            for length in range(min(end, self.trie.longest), 0, -1):
+                if not used[length - 1, end - length]:
+                    continue
+                score = scores[piece[length - 1, end - length, :many]]
+                total = best[end - length, :many] + score
+                np.maximum(other, np.minimum(top, total), out=other)
+                np.maximum(other, second[end - length, :many] + score, out=other)
+                better = total > top
+                top[better] = total[better]
+                step[better] = length
+        at, left = lengths.copy(), np.arange(words)
+        found = []
+        while len(left):
+            step = back[at[left], left]
+            at[left] -= step
+            found.append((left, piece[step - 1, at[left], left]))
+            left = left[at[left] > 0]
+        out = np.zeros(words, dtype=np.int64)
+        out[order] = np.bincount(np.concatenate([w for w, _ in found]), minlength=words)
+        ends = np.cumsum(out)[order]
+        flat = np.zeros(int(out.sum()), dtype=np.int32)
+        for back_from, (w, ids) in enumerate(found):
+            flat[ends[w] - 1 - back_from] = ids
+        if len(odd):
+            sizes, flat = self._spelt_out(out, flat, [self.ids(chr(c), 0, 1, -1) for c in odd.tolist()])
+        else:
+            sizes = out
+        span = np.arange(words)
+        total, behind = np.empty(words), np.empty(words)
+        total[order] = best[lengths, span]
+        behind[order] = best[lengths, span] - second[lengths, span]
+        return sizes, flat, total, behind
+
+    def _spelt_out(self, sizes: np.ndarray, flat: np.ndarray, spelt: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids with the numbers behind the pieces replaced by the ids in ``spelt``."""
+        own = len(self.piece_scores)
+        many = np.array([1] * own + [len(x) for x in spelt])[flat]
+        table = np.concatenate([np.arange(own), *spelt]).astype(np.int32)
+        start = np.concatenate([np.arange(own), own + np.cumsum([0] + [len(x) for x in spelt])[:-1]])[flat]
+        ends = np.cumsum(many)
+        out = table[np.repeat(start - (ends - many), many) + np.arange(int(ends[-1]))]
+        return np.add.reduceat(many, np.cumsum(sizes) - sizes), out
+
+    def _learn(self, words: list[str]) -> None:
+        """Add words, which have the next codes already, to what is known."""
+        count = len(words)
+        sizes, starts, scores, behind = np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int64), np.zeros(count), np.zeros(count)
+        exact = np.zeros(count, dtype=bool)
+        flats, start = [self.flat], len(self.flat)
+        short = [i for i, w in enumerate(words) if len(w) < LONGEST]
+        for at in range(0, len(short), SOLVED_AT_ONCE):
+            part = short[at : at + SOLVED_AT_ONCE]
+            segs = [MARK + words[i] for i in part]
+            n, flat, scores[part], behind[part] = self.solve_many(segs)
+            sizes[part], starts[part] = n, start + np.cumsum(n) - n
+            flats.append(flat)
+            start += len(flat)
+            ends = [0, *np.cumsum(n).tolist()]
+            exact[part] = self._come_back(segs, flat.tolist(), ends)
+        for i, w in enumerate(words):
+            if len(w) >= LONGEST:
+                ids, scores[i], behind[i] = self._solve_parts(w)
+                sizes[i], starts[i] = len(ids), start
+                flats.append(np.array(ids, dtype=np.int32))
+                start += len(ids)
+                exact[i] = self._come_back([MARK + w], ids, [0, len(ids)])
+        self.flat = np.concatenate(flats)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        self.scores, self.behind = np.concatenate([self.scores, scores]), np.concatenate([self.behind, behind])
+        self.exact, self.uses = np.concatenate([self.exact, exact]), np.concatenate([self.uses, np.zeros(count, dtype=np.int64)])
+
+    def _come_back(self, segs: list[str], ids: list[int], ends: list[int]) -> bool | list[bool]:
+        """Whether ids decode to the segments; one by one only if they don't together."""
+        texts = [*map(self.text_of.__getitem__, ids)]
+        if b"".join(texts) == "".join(segs).replace(MARK, " ").encode("utf-8", "surrogatepass"):
+            return True
+        wanted = (x.replace(MARK, " ").encode("utf-8", "surrogatepass") for x in segs)
+        return [b"".join(texts[a:b]) == x for a, b, x in zip(ends[:-1], ends[1:], wanted, strict=True)]
 
     def _cut(self, seg: str) -> list[str]:
         """The segment, cut where no piece can lie across."""
@@ -204,7 +375,8 @@ class Encoder:
         cuts = [i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in inside]
         return [seg[a:b] for a, b in zip([0, *cuts], [*cuts, len(seg)], strict=True)]
 
-    def _learn(self, word: str) -> None:
+    def _solve_parts(self, word: str) -> tuple[list[int], float, float]:
+        """``solve`` of a word of any length, part by part."""
         ids, score, behind = [], 0.0, np.inf
         for part in self._cut(MARK + word):
             got = self.parts.get(part)
@@ -214,14 +386,8 @@ class Encoder:
                     self.parts[part] = got
             ids += got[0]
             score += got[1]
-            if got[2] < behind:
-                behind = got[2]
-        self.codes[word] = len(self.sizes)
-        self.starts.append(len(self.flat))
-        self.sizes.append(len(ids))
-        self.flat.extend(ids)
-        self.scores.append(score)
-        self.behind.append(behind)
+            behind = min(behind, got[2])
+        return ids, score, behind
 
     def words(self, text: str) -> list[str]:
         """Words without their first mark; runs of spaces go with the word after them."""
@@ -232,36 +398,36 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """Of non-empty texts: all ids, offsets by text, scores, alternatives by text."""
+        return self.encode_checked(texts)[:4]
+
+    def encode_checked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list, np.ndarray]:
+        """As ``encode``, and whether each text comes back from its ids: decoding goes word by word, so it does if all its words do."""
         split = [self.words(t) for t in texts]
         flat_words = [w for ws in split for w in ws]
         if len(self.codes) > CACHED_WORDS:
-            self._forget()
+            self._keep_half()
         if len(self.parts) > CACHED_PARTS:
             self.parts.clear()
-        codes = [*map(self.codes.get, flat_words)]
-        if None in codes:
-            for w in flat_words:
-                if w not in self.codes:
-                    self._learn(w)
-            codes = [*map(self.codes.get, flat_words)]
-            self._arrays = None
-        if self._arrays is None:
-            self._arrays = tuple(np.array(x) for x in (self.flat, self.sizes, self.starts, self.scores, self.behind))
-        flat, sizes, starts, scores, behind = self._arrays
-        at = np.array(codes, dtype=np.int64)
-        n = sizes[at].astype(np.int64)
+        at = np.fromiter(map(self.codes.__getitem__, flat_words), dtype=np.int64, count=len(flat_words))
+        if self.codes.new:
+            self._learn(self.codes.new)
+            self.codes.new = []
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        n = self.sizes[at]
         ends = np.cumsum(n)
         first = ends - n
-        ids = flat[np.repeat(starts[at] - first, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = self.flat[np.repeat(self.starts[at] - first, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
         word_ends = np.cumsum([len(ws) for ws in split])
         bounds = np.concatenate(([0], word_ends))
         offsets = np.concatenate(([0], ends[word_ends - 1]))
-        totals = np.add.reduceat(scores[at], bounds[:-1])
+        totals = np.add.reduceat(self.scores[at], bounds[:-1])
+        behind = self.behind[at]
         others = [
-            self._alternatives(flat_words, slice(a, b), behind[at[a:b]], first, n, int(offsets[k]), float(totals[k]))
+            self._alternatives(flat_words, slice(a, b), behind[a:b], first, n, int(offsets[k]), float(totals[k]))
             for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
         ]
-        return ids, offsets, totals, others
+        back = np.logical_and.reduceat(self.exact[at], bounds[:-1]) & np.array([MARK not in t for t in texts])
+        return ids, offsets, totals, others, back
 
     def _alternatives(self, words, span, behind, first, n, offset, total) -> list[dict]:
         """The second to n-th best of a text as changes of its best."""
@@ -331,7 +497,10 @@ def encode(docs: DataFrame, model_file: str, n: int = 4, id_col: str = "doc_id",
         return list(zip(cuts, [*cuts[1:], len(texts)], strict=True))
 
     def run(batches):
-        encoder = Encoder(sent.value, n)
+        # A worker keeps its encoder, and the words it knows, from task to task.
+        if getattr(sent, "encoder", None) is None or sent.encoder.n != n:
+            sent.encoder = Encoder(sent.value, n)
+        encoder = sent.encoder
         for batch in batches:
             ids_in, texts_in = (c.to_pylist() for c in batch.columns)
             for a, b in slices(texts_in) if texts_in else ():
@@ -341,12 +510,12 @@ def encode(docs: DataFrame, model_file: str, n: int = 4, id_col: str = "doc_id",
                 others, decoded = [[] if t == "" else None for t in texts], [True if t == "" else None for t in texts]
                 values = np.zeros(0, dtype=np.int32)
                 if full:
-                    values, offsets, totals, found = encoder.encode([texts[i] for i in full])
+                    values, offsets, totals, found, back = encoder.encode_checked([texts[i] for i in full])
                     for k, i in enumerate(full):
                         sizes[i] = offsets[k + 1] - offsets[k]
                         scores[i] = float(totals[k])
                         others[i] = found[k]
-                        decoded[i] = encoder.decode(values[offsets[k] : offsets[k + 1]].tolist()) == texts[i]
+                        decoded[i] = bool(back[k])
                 null = np.array([t is None for t in texts], dtype=bool)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values, pa.int32()), mask=pa.array(null)

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from freshet.llm import sentencepiece_nbest
 from freshet.llm.queries import TOKENIZER
 from freshet.llm.sentencepiece_nbest import Encoder, decode, encode, read_pieces
 
@@ -79,3 +80,30 @@ def test_frame_with_odd_rows(spark):
     back = {(r["doc_id"], r["text"]) for r in decode(found, TOKENIZER).collect()}
     assert back == {(i, t) for i, t, _ in rows}
     assert encode(docs.where("doc_id = 99"), TOKENIZER).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abethn.!\n%é😀日"), min_size=0, max_size=80), min_size=1, max_size=12))
+def test_words_solved_together_equal_words_alone(words):
+    encoder = Encoder(MODEL, 2)
+    segs = ["▁" + w for w in words]
+    sizes, flat, scores, behind = encoder.solve_many(segs)
+    at = 0
+    for seg, n, score, lost in zip(segs, sizes.tolist(), scores.tolist(), behind.tolist(), strict=True):
+        assert (flat[at : at + n].tolist(), score, lost) == encoder.solve(seg)
+        at += n
+    assert at == len(flat)
+
+
+def test_forgotten_words_change_nothing(monkeypatch):
+    words = [f"{a}{b}{c}" for a in ("the", "x", "é\n") for b in ("ing", "", "tion,") for c in ("", "s", "y" * 90)]
+    texts = [" ".join(words[i : i + 5]) for i in range(0, len(words), 3)] * 3
+    plain = Encoder(MODEL, 3)
+    expected = [plain.encode_checked([t]) for t in texts]
+    monkeypatch.setattr(sentencepiece_nbest, "CACHED_WORDS", 6)
+    small = Encoder(MODEL, 3)
+    for text, (ids, _, totals, others, back) in zip(texts, expected, strict=True):
+        got = small.encode_checked([text])
+        assert (got[0].tolist(), got[2].tolist(), got[3]) == (ids.tolist(), totals.tolist(), others)
+        assert got[4].tolist() == back.tolist() == [small.decode(ids.tolist()) == text]
+    assert len(small.codes) < 20
