@@ -88,6 +88,11 @@ def tumbling(events: DataFrame, size_seconds: int, scale: int | None = 2) -> Dat
     return finish(tumbling_partials(events, size_seconds, scale), scale)
 
 
+def in_order(found: DataFrame, *by: str) -> DataFrame:
+    """Windows in order of their start: ranges of starts are dealt to the tasks and sorted there, so no task has them all."""
+    return found.orderBy("window_start", *by)
+
+
 def sliding_at(events: DataFrame, at: str, window_seconds: int, scale: int | None = 2) -> DataFrame:
     """The one window ``[at - window, at]``, both ends included.
 

@@ -219,6 +219,12 @@ ORACLE_SQL["sliding_tail"] = _sliding(
 ORACLE_SQL["sliding_point"] = f"""
 select timestamp '2024-01-15 11:00:00' as window_start, timestamp '2024-01-15 12:00:00' as window_end, {STATISTICS}
 from events where ts between timestamp '2024-01-15 11:00:00' and timestamp '2024-01-15 12:00:00'"""
+ORACLE_SQL["sliding_probes"] = f"""
+select p.event_id, any_value(p.at) as at, any_value(p.at) - interval 1 hour as window_start, any_value(p.at) as window_end, {STATISTICS}
+from (select event_id, ts as at from events) p
+join (select ts, value, user_id from events) e on e.ts between p.at - interval 1 hour and p.at
+group by p.event_id"""
+ORACLE_SQL["tumbling_ordered"] = _tumbling(300)
 ORACLE_SQL["sliding_latest"] = f"""
 with e as (select max(ts) as t from events)
 select any_value(t) - interval 1 hour as window_start, any_value(t) as window_end, {STATISTICS}
@@ -291,6 +297,7 @@ select entity as entity_id, event_type as feature_name, tag as value_type, event
        cast(2 * coalesce(sla, 120) as bigint) as ttl_seconds, ts as event_ts,
        ts + to_seconds(2 * coalesce(sla, 120)) as expires_at
 from last left join slas on event_type = feature_name"""
+ORACLE_SQL["stream_progress"] = ORACLE_SQL["processing_counts"]
 ORACLE_SQL["published_messages"] = f"""
 select {ENTITY} as key, {ENTITY} as entity_id, event_type as feature_name, 'float' as value_type, ts as event_ts,
        'web' as source, '1.0' as schema_version, value as value_number, cast(null as varchar) as value_text from events"""
@@ -417,6 +424,17 @@ with {DEFINITIONS}, sweeps as ({_SWEEPS})
 select feature_name, cast(sum(stale_count) as bigint) as total_violations, count(*) as sweeps, max(swept_at) as last_run
 from sweeps group by feature_name"""
 
+_DUE_SWEEPS = " union all ".join(
+    f"""
+select timestamp '{m}' as swept_at, feature_name, any_value(sla) as sla_seconds,
+       count(*) filter ((epoch_us(timestamp '{m}') - epoch_us(ts)) / 1e6 > sla) as stale_count, count(*) as total_count
+from (select event_type as feature_name, ts from events where ts <= timestamp '{m}'
+      qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1)
+join slas using (feature_name) group by feature_name"""
+    for m in [*(f"{m} 00:00:00" for m in _MOMENTS), "2024-02-01 12:00:00", "2024-02-03 00:00:00"]
+)
+ORACLE_SQL["sweep_incremental"] = f"with {DEFINITIONS} {_DUE_SWEEPS}"
+
 # --- training rows ------------------------------------------------------------------
 
 ORACLE_SQL["point_in_time_latest"] = """

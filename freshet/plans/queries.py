@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from freshet.functions import messages as msg
 from freshet.operators import (
+    due,
     features,
     freshness,
     lookup,
     point_in_time,
+    probes,
     registry,
     retention,
     sessions,
@@ -31,7 +33,7 @@ from freshet.plans.materialize import materialize_features, materialize_vectors
 from freshet.session import configure, shared_dir
 from freshet.sources import sinks
 from freshet.sources.tables import orders_by_customer, read_table, transactions, window_events
-from freshet.streaming import ingest, inputs, lake
+from freshet.streaming import ingest, inputs, lake, latest_table, progress, sweeps
 from freshet.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -343,6 +345,18 @@ def sliding_latest(spark, root):
     return windows.sliding_at_latest(_window_events(spark, root), 3600)
 
 
+@query
+def sliding_probes(spark, root):
+    """The last hour as seen at every event."""
+    asked = _events(spark, root).select("event_id", F.col("ts").alias("at"))
+    return probes.sliding_probes(_window_events(spark, root), asked, 3600)
+
+
+@query
+def tumbling_ordered(spark, root):
+    return windows.in_order(windows.tumbling(_window_events(spark, root), 300))
+
+
 @query
 def window_multi(spark, root):
     return windows.multi_resolution(_window_events(spark, root))
@@ -577,6 +591,33 @@ def sla_violations_total(spark, root):
     return freshness.total_violations(log).withColumn("last_run", F.col("last_run").cast("timestamp_ntz"))
 
 
+@query
+def sweep_incremental(spark, root):
+    """Batches merged into the latest-value table, and sweeps that read what falls due since the last one.
+
+    The last two sweeps come without a batch: only time has passed.
+    """
+    folder, definitions = _scratch(spark), _definitions(spark)
+    table, entries, log = (f"{folder}/{name}" for name in ("latest", "due", "log"))
+    arrivals = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", AS_OF]
+    before = "0001-01-01 00:00:00"
+    for batch_id, moment in enumerate(arrivals):
+        stamps = [F.lit(m).cast("timestamp_ntz") for m in (before, moment)]
+        arrived = _feature_events(spark, root).filter((F.col("event_ts") > stamps[0]) & (F.col("event_ts") <= stamps[1]))
+
+        def index(changes: DataFrame, batch_id: int = batch_id, moment: str = moment) -> None:
+            due.write_entries(due.due_entries(changes, definitions, moment), entries, batch_id, slice_seconds=86_400)
+
+        rows = freshness.with_expiry(arrived, definitions)
+        latest_table.merge_batch(rows, table, batch_id, ["event_ts", "offset"], buckets=8, on_change=index)
+        sweeps.sweep_due(spark, entries, definitions, moment, log, slice_seconds=86_400)
+        before = moment
+    for moment in ("2024-02-01 12:00:00", "2024-02-03 00:00:00"):
+        sweeps.sweep_due(spark, entries, definitions, moment, log, slice_seconds=86_400)
+    swept = spark.read.parquet(log).drop("sweep_id")
+    return swept.withColumn("swept_at", F.col("swept_at").cast("timestamp_ntz"))
+
+
 # --- training rows ------------------------------------------------------------------
 
 
@@ -841,15 +882,31 @@ def _ingested(spark: SparkSession, root: str) -> str:
     _finish(
         ingest.start_ingest(
             messages, _definitions(spark), f"{folder}/latest", f"{folder}/dead", f"{folder}/checkpoint",
-            ["event_ts", "offset"],
+            ["event_ts", "offset"], buckets=16,
         )
     )
     return folder
 
 
+@query
+def stream_progress(spark, root):
+    """What the ingest reported, read back from the table of its progress."""
+    path = f"{_scratch(spark)}/progress"
+    log = progress.ProgressLog(spark, path, ["messages"])
+    spark.streams.addListener(log)
+    try:
+        _ingested(spark, root)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    counts = progress.current_counts(spark, path)
+    metric = {m: F.sum(F.when(F.col("metric") == m, F.col("value"))) for m in ("processed", "failed")}
+    return counts.agg(metric["processed"].alias("messages_processed"), metric["failed"].alias("messages_failed"))
+
+
 @query
 def stream_latest_value(spark, root):
-    latest = ingest.read_latest(spark, f"{_ingested(spark, root)}/latest", ["event_ts", "offset"])
+    latest = latest_table.read_table(spark, f"{_ingested(spark, root)}/latest")
     return latest.select(
         "entity_id", "feature_name", "value_type", "offset", "ttl_seconds",
         F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from freshet.functions.messages import dead_letters, parse_messages, valid_events
 from freshet.operators.freshness import TTL_MULTIPLIER, latest_values, with_expiry
 from freshet.streaming.batches import triggered, write_batch
+from freshet.streaming.latest_table import merge_batch
 
 
 def start_ingest(
@@ -21,13 +22,15 @@ def start_ingest(
     received_at: str = "received_at",
     interval: str | None = None,
     multiplier: int = TTL_MULTIPLIER,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Check messages, keep the last event of each key per batch, set its expiry.
 
     ``messages`` has ``value``, ``received_at`` and whatever ``order`` names
     (event columns or, say, an offset). Valid events go to ``latest_path``,
     rejected messages to ``dead_letter_path``, each into the folder of its
-    micro-batch. A failing write fails the batch, which is then run again
+    micro-batch. With ``buckets`` the events are merged into a table of so many
+    buckets instead, which ``latest_table.read_table`` reads as it stands. A failing write fails the batch, which is then run again
     from the checkpointed offsets. Counts of processed and failed messages
     are reported with the progress of the query under ``messages``.
     """
@@ -43,7 +46,11 @@ def start_ingest(
             write_batch(dead_letters(batch), dead_letter_path, batch_id)
             events = valid_events(batch).drop("value", "metadata").withColumnRenamed(received_at, "written_at")
             last = latest_values(events, ["written_at" if c == received_at else c for c in order])
-            write_batch(with_expiry(last, definitions, multiplier=multiplier), latest_path, batch_id)
+            last = with_expiry(last, definitions, multiplier=multiplier)
+            if buckets is None:
+                write_batch(last, latest_path, batch_id)
+            else:
+                merge_batch(last, latest_path, batch_id, ["written_at" if c == received_at else c for c in order], buckets=buckets)
         finally:
             batch.unpersist()
 

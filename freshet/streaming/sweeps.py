@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from freshet.operators.due import SLICE_SECONDS, due_sweep, entries_between, last_sweep
 from freshet.operators.freshness import monitored, sla_sweep, sweep_log_rows
 
 # Fixed value: pause between two sweeps.
@@ -21,7 +22,29 @@ def sweep_once(latest: DataFrame, definitions: DataFrame, as_of: str, log_path:
     A sweep owns the folder ``sweep_id=...`` (named by its moment if no id is
     given) and replaces it when it is run again, so nothing is counted twice.
     """
-    sweep = sla_sweep(monitored(latest, definitions, as_of))
+    _log(sla_sweep(monitored(latest, definitions, as_of)), as_of, log_path, sweep_id)
+
+
+def sweep_due(
+    spark: SparkSession,
+    entries_path: str,
+    definitions: DataFrame,
+    as_of: str,
+    log_path: str,
+    slice_seconds: int = SLICE_SECONDS,
+    sweep_id: str | None = None,
+) -> None:
+    """As ``sweep_once``, from the index of due moments: only entries since the last logged sweep are read.
+
+    ``as_of`` is at or after the arrival of all batches in the index. A sweep that runs
+    again builds on the one before it, as it did the first time.
+    """
+    since, last = last_sweep(spark, log_path, as_of)
+    entries = entries_between(spark, entries_path, since, as_of, slice_seconds)
+    _log(due_sweep(entries, last, definitions), as_of, log_path, sweep_id)
+
+
+def _log(sweep: DataFrame, as_of: str, log_path: str, sweep_id: str | None) -> None:
     own = sweep_id or f"at-{re.sub('[^0-9]', '', as_of)}"
     (
         sweep_log_rows(sweep, as_of)
