@@ -237,6 +237,10 @@ def series_starts(
     return chunks.repartition("from").select(F.explode(F.sequence("from", until, F.lit(step))).alias("start"))
 
 
+def pane_seconds(sizes: dict[str, int]) -> int:
+    return reduce(gcd, sizes.values())
+
+
 def pane_partials(
     events: DataFrame, sizes: dict[str, int], window_seconds: int, step_seconds: int, scale: int | None = 2
 ) -> DataFrame:
@@ -245,12 +249,20 @@ def pane_partials(
     A pane is the common divisor of the tumbling sizes within one class of
     sliding windows.
     """
-    pane = reduce(gcd, sizes.values()) * SECOND
+    pane = pane_seconds(sizes) * SECOND
     return events.groupBy(
         floor_to(micros("ts"), pane).alias("pane"), *sliding_classes(window_seconds, step_seconds), "user_id"
     ).agg(*partials(scale), F.min(micros("ts")).alias("t_first"), F.max(micros("ts")).alias("t_last"))
 
 
+def evictable_panes(events: DataFrame, pane_seconds: int, window_seconds: int, step_seconds: int, scale: int | None = 2) -> DataFrame:
+    """The rows of ``pane_partials`` as a stream can drop them: panes are time windows, so a watermark ends them."""
+    panes = events.groupBy(F.window("ts", f"{pane_seconds} seconds").alias("w"), *sliding_classes(window_seconds, step_seconds), "user_id").agg(
+        *partials(scale), F.min(micros("ts")).alias("t_first"), F.max(micros("ts")).alias("t_last")
+    )
+    return panes.withColumn("pane", micros("w.start")).drop("w")
+
+
 def windows_from_panes(
     panes: DataFrame,
     series: DataFrame,

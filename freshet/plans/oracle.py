@@ -238,6 +238,7 @@ ORACLE_SQL["window_multi"] = (
 )
 ORACLE_SQL["stream_tumbling_1hr"] = _tumbling(3600)
 ORACLE_SQL["stream_window_multi"] = ORACLE_SQL["window_multi"]
+ORACLE_SQL["stream_window_multi_sealed"] = ORACLE_SQL["window_multi"]
 ORACLE_SQL["stream_sliding_5min_1min"] = _sliding(300, 60)
 
 # --- messages and freshness -------------------------------------------------------
@@ -325,6 +326,7 @@ select {ENTITY} as entity_id, event_type as feature_name, cast(value as varchar)
        ts as event_ts, 'web' as source, '1.0' as schema_version, ts as written_at, event_id as "offset" """
 ORACLE_SQL["latest_value"] = f"""{_LATEST_COLUMNS} from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"""
+ORACLE_SQL["stream_state_latest"] = ORACLE_SQL["latest_value"]
 ORACLE_SQL["latest_value_arrival"] = f"""{_LATEST_COLUMNS}, value as arrival from events
 qualify row_number() over (partition by user_id, event_type order by value desc, event_id desc) = 1"""
 ORACLE_SQL["value_expiry"] = f"""

@@ -34,6 +34,7 @@ from freshet.session import configure, shared_dir
 from freshet.sources import sinks
 from freshet.sources.tables import orders_by_customer, read_table, transactions, window_events
 from freshet.streaming import ingest, inputs, lake, latest_table, progress, sweeps
+from freshet.streaming import state
 from freshet.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -417,7 +418,11 @@ def _parsed(spark: SparkSession, root: str) -> DataFrame:
 
 def _feature_events(spark: SparkSession, root: str) -> DataFrame:
     """Events as already checked feature events; written when they happened."""
-    return _events(spark, root).select(
+    return _as_feature_events(_events(spark, root))
+
+
+def _as_feature_events(events: DataFrame) -> DataFrame:
+    return events.select(
         _entity().alias("entity_id"),
         F.col("event_type").alias("feature_name"),
         F.col("value").cast("string").alias("value_raw"),
@@ -868,6 +873,24 @@ def stream_window_multi(spark, root):
     return stream_windows.read_multi_resolution(spark, f"{folder}/panes", like="timestamp_ntz")
 
 
+@query
+def stream_window_multi_sealed(spark, root):
+    """The same with a watermark: sealed panes from their table, open ones from the state."""
+    folder = _scratch(spark)
+    events = window_events(inputs.stream_table(spark, root, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    _finish(stream_windows.start_multi_resolution(events, f"{folder}/sealed", f"{folder}/checkpoint", delay="6 minutes"))
+    return stream_windows.read_multi_resolution(spark, f"{folder}/sealed", like="timestamp_ntz", checkpoint=f"{folder}/checkpoint")
+
+
+@query
+def stream_state_latest(spark, root):
+    """The latest value of each key, kept in the state of the stream and read from there."""
+    checkpoint, order = f"{_scratch(spark)}/checkpoint", ["event_ts", "offset"]
+    events = _as_feature_events(inputs.stream_table(spark, root, "events"))
+    _finish(state.start_latest_state(events, order, checkpoint))
+    return state.read_latest_state(spark, checkpoint, _feature_events(spark, root), order)
+
+
 @query
 def stream_sliding_5min_1min(spark, root):
     folder = _scratch(spark)

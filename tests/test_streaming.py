@@ -64,6 +64,54 @@ def test_sliding_over_several_batches(spark, small, parts, tmp_path):
     same(sw.read_sliding(spark, str(tmp_path / "s"), 600, 60, like="timestamp_ntz"), expected)
 
 
+def by_time(spark, small, root, parts=8):
+    """The events in files of consecutive times, each in its own batch."""
+    events = read_table(spark, small, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    bounds = [r[0] for r in events.selectExpr(f"explode(percentile_approx(unix_micros(ts), array({','.join(str((i + 1) / parts) for i in range(parts))})))").collect()]
+    before = -1
+    for bound in bounds:
+        t = F.unix_micros("ts")
+        events.filter((t > before) & (t <= bound)).coalesce(1).write.mode("append").parquet(root)
+        before = bound
+        time.sleep(1.1)  # files are read in the order of their times
+    return inputs.read_parquet_stream(spark, root, max_files=1), events
+
+
+def test_state_of_sealed_panes_does_not_grow(spark, small, tmp_path):
+    stream, events = by_time(spark, small, str(tmp_path / "in"))
+    multi = sw.start_multi_resolution(window_events(stream), str(tmp_path / "p"), str(tmp_path / "c"), delay="6 minutes")
+    finish(multi)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in multi.recentProgress]
+    read = [p["numInputRows"] for p in multi.recentProgress if p["numInputRows"]]
+    assert len(read) == 8 and sum(read) == events.count()
+    # What is open after a batch is its own input at most, then what lies within the delay.
+    assert max(held) <= max(read) + 10 and held[-1] < 10
+    got = sw.read_multi_resolution(spark, str(tmp_path / "p"), checkpoint=str(tmp_path / "c"))
+    same(got, windows.multi_resolution(window_events(events)))
+    panes = spark.read.parquet(str(tmp_path / "p"))
+    assert panes.count() == panes.dropDuplicates(sw.PANE_KEY).count()
+    sliding = sw.start_sliding(window_events(stream), str(tmp_path / "s"), str(tmp_path / "d"), 600, 60, delay="11 minutes")
+    finish(sliding)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in sliding.recentProgress) <= max(read) + 10
+    batch = window_events(events)
+    expected = windows.finish_sliding(windows.sliding_class_partials(batch, 600, 60), 600, 60, "timestamp")
+    same(sw.read_sliding(spark, str(tmp_path / "s"), 600, 60, checkpoint=str(tmp_path / "d")), expected)
+
+
+def test_latest_state_is_read_as_of_a_batch(spark, small, tmp_path):
+    from freshet.streaming import state
+
+    stream, events = by_time(spark, small, str(tmp_path / "in"), parts=3)
+    order = ["ts", "event_id"]
+    key = ["user_id", "event_type"]
+    finish(state.start_latest_state(stream, order, str(tmp_path / "c"), key))
+    same(state.read_latest_state(spark, str(tmp_path / "c"), events, order, key), freshness.latest_values(events, order, key))
+    assert state.finished_batch(spark, str(tmp_path / "c")) == 2
+    first = state.read_latest_state(spark, str(tmp_path / "c"), events, order, key, batch_id=0)
+    bound = first.agg(F.max("ts")).first()[0]
+    same(first, freshness.latest_values(events.filter(F.col("ts") <= F.lit(bound)), order, key))
+
+
 def test_closed_windows_come_once_after_the_watermark(spark, small, tmp_path):
     source = str(tmp_path / "in")
     events = read_table(spark, small, "events")
