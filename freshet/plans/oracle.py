@@ -481,6 +481,7 @@ _IDS = {"event_id": "(event_id * 100)", "user_id": "(user_id * 100)", "value": C
 ORACLE_SQL["snapshot_profile"] = (
     f"select * from ({_profile('events', _IDS)})"
 )
+ORACLE_SQL["snapshot_profile_merged"] = ORACLE_SQL["snapshot_profile"]
 _DELTAS = ", ".join(
     f"round(coalesce(a.{s}, 0), 4) as {s}_a, round(coalesce(b.{s}, 0), 4) as {s}_b, "
     f"round(coalesce(b.{s}, 0) - coalesce(a.{s}, 0), 4) as {s}_delta"
@@ -518,6 +519,7 @@ states as (
          snapshot_id = (select max_by(snapshot_id, event_at) from log) as is_current
   from linked where event_type = 'commit')
 """
+ORACLE_SQL["snapshot_drift_merged"] = ORACLE_SQL["snapshot_drift"]
 ORACLE_SQL["snapshot_states"] = f"""
 with {LOG} select *, case when is_current then 'current' else 'archived' end as status from states"""
 ORACLE_SQL["snapshot_lineage"] = f"""

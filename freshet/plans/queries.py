@@ -20,6 +20,7 @@ from freshet.operators import (
     features,
     freshness,
     lookup,
+    moments,
     point_in_time,
     probes,
     registry,
@@ -658,6 +659,27 @@ def snapshot_profile(spark, root):
     return _rounded(snapshots.profile(_events(spark, root), scale=2), "std")
 
 
+def _stored_moments(spark: SparkSession, root: str) -> str:
+    """Moments of the events, a snapshot per day."""
+    path = f"{_scratch(spark)}/moments"
+    daily = _events(spark, root).withColumn("snapshot_id", F.date_format("ts", "yyyyMMdd"))
+    moments.moments(daily, ["snapshot_id"], scale=2).write.partitionBy("snapshot_id").parquet(path)
+    return path
+
+
+@query
+def snapshot_profile_merged(spark, root):
+    """The profile of all days from their stored moments."""
+    found = moments.read_moments(spark, _stored_moments(spark, root))
+    return _rounded(moments.merged_profile(found, scale=2), "std")
+
+
+@query
+def snapshot_drift_merged(spark, root):
+    found = moments.read_moments(spark, _stored_moments(spark, root))
+    return _rounded(moments.merged_drift(found, "value", scale=2), "std")
+
+
 @query
 def snapshot_diff(spark, root):
     a, b = _halves(spark, root)
