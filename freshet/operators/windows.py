@@ -14,7 +14,7 @@ from __future__ import annotations
 from functools import reduce
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.amounts import rounded_amount, rounded_mean, units
@@ -63,11 +63,6 @@ def count_users(per_user: DataFrame, keys: list[str]) -> DataFrame:
     return per_user.groupBy(*keys).agg(*merged(), F.count("user_id").alias("users"))
 
 
-def fold_users(spread: DataFrame, keys: list[str]) -> DataFrame:
-    """As ``count_users`` for input with several rows per (window, user)."""
-    return count_users(spread.groupBy(*keys, "user_id").agg(*merged()), keys)
-
-
 def tumbling_partials(events: DataFrame, size_seconds: int, scale: int | None = 2) -> DataFrame:
     """One row per (window, user); the streaming form keeps exactly these."""
     return (
@@ -139,20 +134,57 @@ def sliding_class_partials(
     )
 
 
+def new_to(start: Column, previous: Column) -> Column:
+    """1 if a user's row brings the user into a window that the row before didn't reach."""
+    return F.when(F.col("user_id").isNotNull() & F.coalesce(start > previous, F.lit(True)), 1).otherwise(0)
+
+
+def by_user(rows: DataFrame, *order: str) -> DataFrame:
+    """Adds ``previous``, the struct of ``order`` of the row of the same user before.
+
+    A user has one row per class of windows, so their number is bounded by the
+    covered time and not by the events.
+    """
+    over = Window.partitionBy("user_id").orderBy(*order)
+    return rows.withColumn("previous", F.lag(F.struct(*order)).over(over))
+
+
 def sliding_from_classes(classes: DataFrame, step_seconds: int) -> DataFrame:
-    """One row per (window start, user).
+    """One row per (window start, class, user), with ``users``: 1 in the first of a user's rows in that window.
 
     Events that fall into the same windows form a class; the class is reduced
     before it is spread over its windows, so the spread does not multiply
-    events but (class, user) rows.
+    events but (class, user) rows. Since a user's classes run forward in time, a
+    window holds the user already if the class before reaches it; so users are
+    counted by adding up, and the spread rows are combined map-side.
     """
+    starts = F.explode(F.sequence("first_start", "last_start", F.lit(step_seconds * SECOND)))
     return (
-        classes.filter(F.col("first_start") <= F.col("last_start"))
-        .withColumn("start", F.explode(F.sequence("first_start", "last_start", F.lit(step_seconds * SECOND))))
-        .select("start", "user_id", "n", "n_amount", "total", "lo", "hi")
+        by_user(classes, "first_start", "last_start")
+        .filter(F.col("first_start") <= F.col("last_start"))
+        .withColumn("start", starts)
+        .select("start", new_to(F.col("start"), F.col("previous.last_start")).alias("users"), "n", "n_amount", "total", "lo", "hi")
     )
 
 
+def add_up(spread: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    return spread.groupBy(*keys).agg(*merged(), F.sum("users").alias("users"), *more)
+
+
+def in_series(spread: DataFrame, series: DataFrame, keys: list[str]) -> DataFrame:
+    """``add_up`` over the windows of the series, those without a row too; other windows have a null ``in_series``.
+
+    ``series`` has the keys. Its windows come along as rows without events, so
+    that nothing is joined.
+    """
+    kinds = dict(spread.dtypes)
+    sums = [c for c in spread.columns if c not in keys]
+    nothing = [(F.lit(0) if c in ("n", "users") else F.lit(None)).cast(kinds[c]).alias(c) for c in sums]
+    marked = spread.withColumn("listed", F.lit(None).cast("boolean"))
+    rows = marked.unionByName(series.select(*keys, *nothing, F.lit(True).alias("listed")))
+    return add_up(rows, keys, F.max("listed").alias("in_series"))
+
+
 def _first_and_last_start(lo: Column, hi: Column, window: int, step: int) -> tuple[Column, Column]:
     return ceil_to(lo, step), floor_to(hi + step - window, step)
 
@@ -190,11 +222,11 @@ def sliding_series(
         events = events.filter(micros("ts") >= micros(newest) - tail_seconds * SECOND)
     window, step = window_seconds * SECOND, step_seconds * SECOND
     classes = sliding_class_partials(events, window_seconds, step_seconds, scale)
-    folded = fold_users(sliding_from_classes(classes, step_seconds), ["start"])
+    spread = sliding_from_classes(classes, step_seconds)
     if include_empty:
-        folded = series_starts(events, window, step).join(folded, "start", "left")
+        folded = in_series(spread, series_starts(events, window, step), ["start"]).filter("in_series")
     else:
-        folded = folded.filter(F.col("start").between(*series_bounds(events, window, step)))
+        folded = add_up(spread, ["start"]).filter(F.col("start").between(*series_bounds(events, window, step)))
     return folded.select(
         from_micros(F.col("start"), like).alias("window_start"),
         from_micros(F.col("start") + window, like).alias("window_end"),
@@ -207,7 +239,7 @@ def finish_sliding(
 ) -> DataFrame:
     """The sliding series of the events in the classes, empty windows included."""
     series = series_starts(classes, window_seconds * SECOND, step_seconds * SECOND, F.col("t_first"), F.col("t_last"))
-    folded = series.join(fold_users(sliding_from_classes(classes, step_seconds), ["start"]), "start", "left")
+    folded = in_series(sliding_from_classes(classes, step_seconds), series, ["start"]).filter("in_series")
     return folded.select(
         from_micros(F.col("start"), like).alias("window_start"),
         from_micros(F.col("start") + window_seconds * SECOND, like).alias("window_end"),
@@ -281,24 +313,27 @@ def windows_from_panes(
     lengths = [*[size * SECOND for size in sizes.values()], window]
     names = [*sizes, "sliding"]
 
-    # a slot is the number of the window kind and the start; the rest follows from these
-    def slot(kind: int, start: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), start.alias("start"))
+    # a slot is the number of the window kind, the start, and whether the user is new there; the rest follows from these
+    def slot(kind: int, start: Column, new: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), new.alias("users"))
+
+    def tumbler(kind: int, length: int) -> Column:
+        start = floor_to(F.col("pane"), length)
+        return slot(kind, start, new_to(start, floor_to(F.col("previous.pane"), length)))
 
-    tumblers = F.array(*[slot(i, floor_to(F.col("pane"), length)) for i, length in enumerate(lengths[:-1])])
+    tumblers = F.array(*[tumbler(i, length) for i, length in enumerate(lengths[:-1])])
     starts = F.when(
         F.col("first_start") <= F.col("last_start"), F.sequence("first_start", "last_start", F.lit(step))
     ).otherwise(F.array().cast("array<bigint>"))
-    sliders = F.transform(starts, lambda s: slot(len(sizes), s))
-    spread = panes.select(
-        F.explode(F.concat(tumblers, sliders)).alias("s"), "user_id", "n", "n_amount", "total", "lo", "hi"
-    ).select("s.*", "user_id", "n", "n_amount", "total", "lo", "hi")
+    sliders = F.transform(starts, lambda s: slot(len(sizes), s, new_to(s, F.col("previous.last_start"))))
+    sums = ["n", "n_amount", "total", "lo", "hi"]
+    spread = by_user(panes, "pane", "first_start", "last_start").select(F.explode(F.concat(tumblers, sliders)).alias("s"), *sums)
+    spread = spread.select("s.*", *sums)
+    slots = series.select(F.lit(len(sizes)).alias("kind"), "start")
     kind = F.col("kind") + 1
     end = F.col("start") + F.element_at(F.array(*[F.lit(length) for length in lengths]), kind)
-    slots = series.select(F.lit(len(sizes)).alias("kind"), "start", F.lit(True).alias("in_series"))
     return (
-        fold_users(spread, ["kind", "start"])
-        .join(slots, ["kind", "start"], "full_outer")
+        in_series(spread, slots, ["kind", "start"])
         .filter((F.col("kind") != len(sizes)) | F.col("in_series"))
         .select(
             F.element_at(F.array(*[F.lit(name) for name in names]), kind).alias("window_type"),
