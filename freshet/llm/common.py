@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from freshet.operators.joins import dimension
 from freshet.session import shared_dir
 
 ROWS_PER_CALL = 1000
@@ -22,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def partitions_by_text(docs: DataFrame, text_col: str, characters: int) -> int:
+    """Partitions of about so many characters, for all texts; no less than Spark is set to."""
+    total = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // characters))
+
+
 def keep(frame: DataFrame) -> DataFrame:
     """The rows, written once to the folder of ``spark.checkpoint.dir``; cuts the lineage."""
     context = frame.sparkSession.sparkContext
@@ -42,6 +49,13 @@ def least_hashed(rows: DataFrame, on: list[str], n: int, kind: str | None = None
     narrow = keyed if among is None else keyed.join(among, among.columns, "left_semi")
     counted = narrow.groupBy(*own).agg(F.count("*").alias("weight"))
     if kind:
+        # Hashes are even, so the least n of N lie below 4 n / N of their range but for a chance beyond all bounds;
+        # what a kind's task has to sort is so bounded, and kinds with few rows keep all.
+        counted = keep(counted)
+        share = F.lit(float(4 * n)) / F.count("*")
+        bounds = counted.groupBy("__kind").agg(F.when(share < 1, share * 2.0**64 - 2.0**63).otherwise(2.0**64).alias("__bound"))
+        near = dimension(bounds)
+        counted = counted.join(near, "__kind").where(F.col("__hash").cast("double") <= F.col("__bound")).drop("__bound")
         place = F.row_number().over(Window.partitionBy("__kind").orderBy("__hash"))
         chosen = counted.withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
     else:

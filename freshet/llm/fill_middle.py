@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from freshet.llm.common import partitions_by_text
+
 CHUNK = 65_536
 # Code points of a partition.
 PARTITION = 64_000_000
@@ -180,9 +182,7 @@ def fill_middle(docs: DataFrame, chunk: int = CHUNK, with_text: bool = False, id
         return (row, place), (form, None if body is None else bytes(body), (doc_id, n, form, prefix_chars, middle_chars) if body is None else None)
 
     # Adaptive execution doesn't see this shuffle, so its partitions are sized here, from all texts.
-    characters = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-characters // PARTITION))
-    sort = {"numPartitions": partitions, "partitionFunc": _by_row}
+    sort = {"numPartitions": partitions_by_text(docs, text_col, PARTITION), "partitionFunc": _by_row}
     dealt = cut_up.rdd.map(keyed).repartitionAndSortWithinPartitions(**sort)
     outputs = dealt.mapPartitions(_read_output(with_text), preservesPartitioning=True)
     restored = outputs.repartitionAndSortWithinPartitions(**sort).mapPartitions(_read_restored)
