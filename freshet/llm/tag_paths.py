@@ -13,13 +13,19 @@ or in one element with content.
 What is furniture by its tag, role or class (navigation, page headers and
 footers, asides, notices, adverts, forms, comments, scripts, styles) is cut
 out before the ratios are taken, unless it holds the page's only article, main
-element or first heading, or most of the text of a page without these. Linked text
-doesn't count for a path's ratio; blocks that are mostly links are dropped
+element or first heading, or most of the text of a page without these. A class or id
+says so only if all its words do, or are words for a box: ``cookie-banner`` does,
+``social-impact`` doesn't; headings, inline elements and code have no say. Linked
+text doesn't count for a path's ratio; blocks that are mostly links are dropped
 outside the element that holds the content.
 
+Elements and paths are trees in arrays, so a page takes time in proportion to its
+size, however deep it is nested.
+
 Defined results: null and empty pages, and pages without text, give an empty
 text. Broken markup is read leniently: unclosed paragraphs and list items end
-where a new one starts, stray end tags are ignored.
+where a new one starts, stray end tags are ignored. Repeated rows come out each
+for itself; an empty table gives no rows. Columns other than those named aren't read.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ from freshet.llm.common import map_rows
 
 # HTML's own element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas xmp".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object canvas xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -56,128 +62,201 @@ FURNITURE_WORDS = frozenset(
     "subscription toolbar widget widgets respond reply replies".split()
 )
 
-# Words by which a class speaks of the state of a page or of the head of an article.
-STATES = frozenset("has no not with without hide open closed enabled disabled".split())
-ARTICLE_WORDS = frozenset("article post entry story content".split())
+# Words that go with those in the name of a box, and elements whose names say nothing about a box.
+BOX_WORDS = frozenset(
+    "site page top bottom left right primary secondary main global inner outer list item items box block container wrapper wrap "
+    "section area bar panel slot unit group row col column links link buttons button icons posts articles form signup count "
+    "media message overlay dialog sticky fixed js id".split()
+)
+UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption table tr td th tbody thead caption hr".split())
 MARKS = ("article", "main", "h1")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PUNCTUATION = re.compile(r"[.,;:!?。、！？…]")
 _WORDS = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in _ATTRIBUTE.finditer(text)}
+    """Names and values in order; of a name that repeats the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
 
 
 def _is_hidden(attributes: dict[str, str]) -> bool:
-    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
+    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
 
+def _names_furniture(token: str) -> bool:
+    words = {*_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())}
+    return bool(words & FURNITURE_WORDS) and words <= FURNITURE_WORDS | BOX_WORDS
 
-def _is_furniture(name: str, attributes: dict[str, str], inside: list[str]) -> bool:
+
+def _is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     if name in FURNITURE:
         # A header in an article holds its title.
-        return not (name == "header" and any(x in ("article", "main") for x in inside))
-    if _is_hidden(attributes):
-        return True
-    if attributes.get("role", "").lower() in FURNITURE_ROLES:
+        return not (name == "header" and in_article)
+    if _is_hidden(attributes) or attributes.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    if name in ("body", "html", "article", "main"):
+    if name in UNNAMED or name in ("body", "html", "article", "main"):
         return False
-    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-        words = {*_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())}
-        if words & ARTICLE_WORDS:
-            words.discard("header")
-        if words & FURNITURE_WORDS and not words & STATES:
-            return True
-    return False
+    return any(map(_names_furniture, f"{attributes.get('class', '')} {attributes.get('id', '')}".split()))
+
+
+class Tree:
+    """Nodes with their parents, which come before them; node 0 is the root."""
+
+    def __init__(self):
+        self.parent = [0]
+        self.name = [""]
+
+    def add(self, parent: int, name: str) -> int:
+        self.parent.append(parent)
+        self.name.append(name)
+        return len(self.parent) - 1
+
+    def sums(self, own: list) -> list:
+        """Of each node and all below it."""
+        out = list(own)
+        for node in range(len(out) - 1, 0, -1):
+            out[self.parent[node]] += out[node]
+        return out
 
 
 class Block:
-    __slots__ = ("linked", "path", "text")
-
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
-
-
-class Cut:
-    """Furniture: where its element starts, its name, the length of its text, and which of MARKS it holds."""
-
-    __slots__ = ("at", "marks", "name", "size")
-
-    def __init__(self, at: int, name: str):
-        self.at, self.name, self.size, self.marks = at, name, 0, {name} & {*MARKS}
-
-
-def blocks(page: str) -> list[Block]:
-    """Blocks of text outside furniture, in page order."""
-    spared: set[int] = set()
-    while True:
-        found, cuts, marks = _parsed(page, spared)
-        if not cuts:
-            return found
-        size = sum(c.size for c in cuts) + sum(len(b.text) for b in found)
-        new = {
-            c.at
-            for c in cuts
-            if (c.marks & {"article", "main"} and not marks & {"article", "main"})
-            or ("h1" in c.marks and "h1" not in marks and c.name not in ("nav", "footer", "aside"))
-            or (not marks and c.size > 0.5 * size and c.name not in FURNITURE - {"form", "fieldset"})
-        }
-        if not new:
-            return found
-        spared |= new
-
-
-def _parsed(page: str, spared: set[int]) -> tuple[list[Block], list[Cut], set[str]]:
-    """Blocks, furniture that isn't hidden, and which of MARKS are outside furniture; ``spared`` has starts of elements that are none."""
-    open_tags: list[str] = []
-    labels: list[str] = []
-    cut_at: int | None = None  # depth at which furniture began
-    links = 0
-    found: list[Block] = []
-    cuts: list[Cut] = []
-    cut: Cut | None = None
+    __slots__ = ("element", "linked", "path", "text")
+
+    def __init__(self, element: int, path: int, text: str, linked: int):
+        self.element, self.path, self.text, self.linked = element, path, text, linked
+
+
+class Page:
+    """Elements, paths (those of the tags and classes, shared by elements alike), and blocks of text in page order."""
+
+    def __init__(self):
+        self.elements, self.paths = Tree(), Tree()
+        self.path_of = [0]
+        self.furniture = [False]
+        self.hidden = [False]
+        self.blocks: list[Block] = []
+        self._known: dict[tuple[int, str], int] = {}
+
+    def open(self, parent: int, name: str, label: str, furniture: bool, hidden: bool) -> int:
+        above = self.path_of[parent]
+        path = self._known.get((above, label))
+        if path is None:
+            path = self._known[above, label] = self.paths.add(above, name)
+        self.path_of.append(path)
+        self.furniture.append(furniture)
+        self.hidden.append(hidden)
+        return self.elements.add(parent, name)
+
+
+def blocks(page: Page) -> list[Block]:
+    """Blocks outside furniture, in page order.
+
+    Furniture is opened from outside in: an element that holds the article is
+    spared, and what is furniture in it is judged in its turn.
+    """
+    tree, count = page.elements, len(page.elements.parent)
+    own = [0] * count
+    for b in page.blocks:
+        own[b.element] += len(b.text)
+    size = tree.sums(own)
+    inside = [[0] * count for _ in MARKS]
+    for node, name in enumerate(tree.name):
+        if name in MARKS:
+            inside[MARKS.index(name)][node] = 1
+    inside = [tree.sums(x) for x in inside]
+    below: list[list[int]] = [[] for _ in range(count)]
+    for node in range(1, count):
+        below[tree.parent[node]].append(node)
+
+    shown = [False] * count
     marks: set[str] = set()
+    frontier: list[int] = []
+
+    def enter(root: int) -> None:
+        """Show a node and all below it but for furniture, which goes to the frontier."""
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            shown[node] = True
+            if tree.name[node] in MARKS:
+                marks.add(tree.name[node])
+            for child in below[node]:
+                if not page.furniture[child]:
+                    stack.append(child)
+                elif not page.hidden[child]:
+                    frontier.append(child)
+
+    def is_spared(node: int, seen: set[str]) -> bool:
+        article, main, heading = (x[node] > 0 for x in inside)
+        name = tree.name[node]
+        if (article or main) and not seen & {"article", "main"}:
+            return True
+        if heading and "h1" not in seen and name not in ("nav", "footer", "aside"):
+            return True
+        return not seen and size[node] > 0.5 * size[0] and name not in FURNITURE - {"form", "fieldset"}
+
+    enter(0)
+    while frontier:
+        waiting, seen = frontier[:], set(marks)
+        frontier.clear()
+        for node in waiting:
+            if is_spared(node, seen):
+                enter(node)
+    return [b for b in page.blocks if shown[b.element]]
+
+
+def parse(text: str) -> Page:
+    page = Page()
+    open_tags: list[int] = [0]
+    places: dict[str, list[int]] = {}  # depths at which elements of a name are open
+    links = 0
     pieces: list[str] = []
     linked = 0
+    unclosed: set[str] = set()  # inline elements without an end from here on
+
+    def last(name: str) -> int:
+        """Depth of the innermost open element of that name, or 0."""
+        found = places.get(name)
+        return found[-1] if found else 0
 
     def flush() -> None:
         nonlocal linked
         if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
-            if text:
-                found.append(Block(tuple(labels), text, linked))
+            shown = " ".join(html.unescape("".join(pieces)).split())
+            if shown:
+                element = open_tags[-1]
+                page.blocks.append(Block(element, page.path_of[element], shown, linked))
             pieces.clear()
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal cut_at
         flush()
-        del open_tags[depth:], labels[depth:]
-        if cut_at is not None and depth <= cut_at:
-            cut_at = None
+        while len(open_tags) > depth:
+            places[page.elements.name[open_tags.pop()]].pop()
 
-    def say(text: str) -> None:
+    def say(said: str) -> None:
         nonlocal linked
-        if cut_at is None and text:
-            pieces.append(text)
+        if said:
+            pieces.append(said)
             if links:
-                linked += len(text.strip())
-        elif cut is not None:
-            cut.size += len(text.strip())
+                linked += len(said.strip())
 
-    at, size = 0, len(page)
+    at, size = 0, len(text)
     while at < size:
-        m = _TOKEN.search(page, at)
+        m = _TOKEN.search(text, at)
         if m is None:
-            say(page[at:])
+            say(text[at:])
             break
-        say(page[at : m.start()])
+        say(text[at : m.start()])
         at = m.end()
         name = m[2]
         if name is None:
@@ -189,11 +268,11 @@ def _parsed(page: str, spared: set[int]) -> tuple[list[Block], list[Cut], set[st
             if name in INLINE:
                 if name == "a":
                     links = 0
-            elif name in open_tags:
-                close_to(len(open_tags) - 1 - open_tags[::-1].index(name))
+            elif depth := last(name):
+                close_to(depth)
             continue
         if name in RAW:
-            end = _RAW_END[name].search(page, at)
+            end = _RAW_END[name].search(text, at)
             at = end.end() if end else size
             continue
         if name in INLINE:
@@ -201,41 +280,30 @@ def _parsed(page: str, spared: set[int]) -> tuple[list[Block], list[Cut], set[st
                 say("\n")
             elif name == "a":
                 links = 1
-            elif cut_at is None and m[3] and _is_furniture(name, _attributes(m[3]), open_tags):
-                # An inline notice: its element is followed like a block.
-                flush()
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else at
+            if m[3] and name not in unclosed and name not in VOID and _is_hidden(_attributes(m[3])):
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(text, at)
+                if end:
+                    at, links = end.end(), 0
+                else:
+                    unclosed.add(name)
             continue
         links = 0
-        if name in CLOSES_P and "p" in open_tags:
-            close_to(len(open_tags) - 1 - open_tags[::-1].index("p"))
-        if name in ALONE and name in open_tags:
-            last = len(open_tags) - 1 - open_tags[::-1].index(name)
-            if not any(x in open_tags[last:] for x in ALONE[name]):
-                close_to(last)
+        if name in CLOSES_P and last("p"):
+            close_to(last("p"))
+        if name in ALONE and (depth := last(name)) and not any(last(x) > depth for x in ALONE[name]):
+            close_to(depth)
         flush()
         if name in VOID:
             continue
-        attributes = _attributes(m[3]) if m[3] else {}
-        if cut_at is None and m.start() not in spared and _is_furniture(name, attributes, open_tags):
-            cut_at = len(open_tags)
-            cut = None
-            if not _is_hidden(attributes):
-                cuts.append(cut := Cut(m.start(), name))
-        elif name in MARKS:
-            if cut_at is None:
-                marks.add(name)
-            elif cut is not None:
-                cut.marks.add(name)
         if not m[3].rstrip().endswith("/") or name in CLOSES_P:
-            open_tags.append(name)
+            attributes = _attributes(m[3]) if m[3] else {}
+            furniture = _is_furniture(name, attributes, bool(last("article") or last("main")))
             kind = attributes.get("class", "").split()
-            labels.append(f"{name}.{kind[0]}" if kind else name)
-        elif cut_at == len(open_tags):
-            cut_at = None
+            element = page.open(open_tags[-1], name, f"{name}.{kind[0]}" if kind else name, furniture, _is_hidden(attributes))
+            places.setdefault(name, []).append(len(open_tags))
+            open_tags.append(element)
     flush()
-    return found, cuts, marks
+    return page
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -244,9 +312,10 @@ def _smooth(values: list[float]) -> list[float]:
     return [(a + 2 * b + c) / 4 for a, b, c in zip(padded, padded[1:], padded[2:], strict=False)]
 
 
-def content(found: list[Block]) -> list[Block]:
+def content(page: Page) -> list[Block]:
     """The content blocks of a page."""
-    sums: dict[tuple, list[float]] = {}
+    found, tree = blocks(page), page.paths
+    sums: dict[int, list[float]] = {}
     for b in found:
         entry = sums.setdefault(b.path, [0, 0, 0])
         plain = max(0, len(b.text) - b.linked)
@@ -262,57 +331,65 @@ def content(found: list[Block]) -> list[Block]:
     fused = {p: n * (1 + m) for p, n, m in zip(paths, lengths, marks, strict=True)}
     mean = sum(fused[p] * sums[p][0] for p in paths) / weight
     spread = math.sqrt(sum((fused[p] - mean) ** 2 * sums[p][0] for p in paths) / weight)
-    chosen = {p for p in paths if sums[p][0] and fused[p] >= mean - spread}
-    around = _container(chosen, sums)
-    if not _is_inner(around):
-        around = ()
-    beside = {p[:-1] for p in chosen if _is_inner(p[:-1])}
-
-    def inside(path: tuple) -> bool:
-        return bool(around) and path[: len(around)] == around
+    chosen = [p for p in paths if sums[p][0] and fused[p] >= mean - spread]
+    around = _container(tree, chosen, sums)
+    inside = [False] * len(tree.parent)
+    if _is_inner(tree, around):
+        for node in range(around, len(inside)):
+            inside[node] = node == around or inside[tree.parent[node]]
+    else:
+        around = 0
+    of_content = set(chosen)
+    beside = {parent for p in chosen if _is_inner(tree, parent := tree.parent[p])}
 
     def stays(b: Block) -> bool:
-        if inside(b.path):
+        if inside[b.path]:
             return True
-        return b.linked <= 0.5 * len(b.text) and (b.path in chosen or b.path[:-1] in beside or not around)
+        return b.linked <= 0.5 * len(b.text) and (b.path in of_content or tree.parent[b.path] in beside or not around)
 
     return [b for b in found if stays(b)]
 
 
-def _is_inner(path: tuple) -> bool:
-    return bool(path) and path[-1].split(".")[0] not in ("html", "body")
+def _is_inner(tree: Tree, path: int) -> bool:
+    return path > 0 and tree.name[path] not in ("html", "body")
 
 
-def _container(chosen: set[tuple], sums: dict[tuple, list[float]]) -> tuple:
+def _container(tree: Tree, chosen: list[int], sums: dict[int, list[float]]) -> int:
     """The article or main element with most of the chosen text; else the innermost element with all of it, or with most and a first heading."""
-    total = sum(sums[p][0] for p in chosen)
-    around: tuple = ()
-    while True:
-        shares: dict[tuple, float] = {}
-        for p in chosen:
-            if len(p) > len(around) + 1 and p[: len(around)] == around:
-                inner = p[: len(around) + 1]
-                shares[inner] = shares.get(inner, 0) + sums[p][0]
-        inner = max(shares, key=shares.get, default=None)
-        if inner is None or shares[inner] < 0.6 * total:
-            break
+    count = len(tree.parent)
+    own, many, headings = [0.0] * count, [0] * count, [0] * count
+    for p in chosen:
+        own[p], many[p] = sums[p][0], 1
+    for p in sums:
+        headings[p] = int(tree.name[p] == "h1")
+    size, many, headings = tree.sums(own), tree.sums(many), tree.sums(headings)
+    # The child that has the most text below it; the first of equals.
+    largest = [0] * count
+    for node in range(count - 1, 0, -1):
+        strictly = size[node] - own[node]
+        best = largest[tree.parent[node]]
+        if strictly > 0 and (not best or strictly >= size[best] - own[best]):
+            largest[tree.parent[node]] = node
+    around = 0
+    while (inner := largest[around]) and size[inner] - own[inner] >= 0.6 * size[0]:
         around = inner
-        if around[-1].split(".")[0] in ("article", "main"):
+        if tree.name[around] in ("article", "main"):
             return around
     common = around
-    while not all(p[: len(common)] == common for p in chosen):
-        common = common[:-1]
-    if _is_inner(common):
+    while many[common] < len(chosen):
+        common = tree.parent[common]
+    if _is_inner(tree, common):
         around = common
-    for depth in range(len(around) - 1, 0, -1):
-        outer = around[:depth]
-        if _is_inner(outer) and any(p[:depth] == outer and p[-1].split(".")[0] == "h1" for p in sums):
+    outer = around
+    while _is_inner(tree, outer):
+        if headings[outer]:
             return outer
+        outer = tree.parent[outer]
     return around
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(b.text for b in content(blocks(page))) if page else ""
+    return "\n\n".join(b.text for b in content(parse(page))) if page else ""
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

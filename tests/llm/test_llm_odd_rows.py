@@ -191,6 +191,65 @@ def test_links_and_wrappers_of_articles_stay(wrap):
     assert tag_paths.main_text(f"<html><body>{page}</body></html>").split("\n\n") == ["The linked title", *[(LINE * 4).strip()] * 5, "Full report"]
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<h2 id=related-work>Kept</h2>",
+        "<h2 id='comments-on-the-law'>Kept</h2>",
+        "<h3 class=banner>Kept</h3>",
+        "<section id=social-impact><p>Kept</p></section>",
+        "<div class=social-security>Kept</div>",
+        "<p class=notice>Kept</p>",
+        "<p><code class=header>Kept</code></p>",
+        "<p><span class=menu>Kept</span></p>",
+        "<p><math><mi>Kept</mi></math></p>",
+        "<div title='Hidden gems of Rome'>Kept</div>",
+        "<div aria-label='The hidden cost'>Kept</div>",
+        "<div data-hidden=false>Kept</div>",
+        "<div data-class=ad>Kept</div>",
+        "<div data-role=banner>Kept</div>",
+        "<div data-grid='sidebar' aria-hidden=false>Kept</div>",
+        "<div data-x='a class=ad'>Kept</div>",
+    ],
+)
+def test_article_text_is_not_furniture_by_a_word(inner):
+    text = "".join(f"<p>{LINE * 4}</p>" for _ in range(4))
+    page = f"<html><body><nav>Home</nav><article>{text}{inner}{text}</article><footer>End</footer></body></html>"
+    line = (LINE * 4).strip()
+    assert tag_paths.main_text(page).split("\n\n") == [line] * 4 + ["Kept"] + [line] * 4
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<div class=ad>Gone</div>",
+        "<div class=cookie-banner>Gone</div>",
+        "<div id=relatedPosts>Gone</div>",
+        "<section class='comments-list'>Gone</section>",
+        "<div hidden>Gone</div>",
+        "<p><span hidden>Gone</span></p>",
+        "<div aria-hidden='true'>Gone</div>",
+        "<div role=banner>Gone</div>",
+        "<div style='display: none'>Gone</div>",
+        "<div data-x=1 class='x share-buttons'>Gone</div>",
+        "<aside>Gone</aside>",
+    ],
+)
+def test_furniture_inside_an_article_goes(inner):
+    text = "".join(f"<p>{LINE * 4}</p>" for _ in range(4))
+    assert tag_paths.main_text(f"<article>{text}{inner}</article>").split("\n\n") == [(LINE * 4).strip()] * 4
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    pages = ["<div>a", "<font><center>a", "<nav>a", "<span hidden>x", "<ul><li>a", "<p>a", "<div class=ad>a", "<table><tr><td>a", "<header>a"]
+    began = time.process_time()
+    for start in pages:
+        tag_paths.main_text(start * 50_000 + "<article><p>Here it is, at last.</p></article>")
+    assert time.process_time() - began < 5 * len(pages)
+
+
 def test_near_duplicate_rows(spark, odd):
     out = [r.asDict() for r in simhash.near_duplicates(odd).collect()]
     assert len(out) == len(ROWS)
