@@ -571,6 +571,44 @@ def test_licenses_at_any_width(spark):
     assert {r["doc_id"]: r["license_id"] for r in license_digest.scan_licenses(docs).collect()} == expected
 
 
+def test_shipped_licenses_are_found(spark):
+    """As they stand, in comments, in capitals, with other line ends and addresses, and wrapped anew where no copyright is stated."""
+    import re
+    import textwrap
+
+    files = sorted(license_digest.FOLDER.glob("*.txt"))
+    assert {f.stem for f in files} >= {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "BSD-3-Clause"}
+    rows, expected = [], {}
+
+    def add(name, text):
+        expected[len(rows)] = name
+        rows.append((len(rows), text))
+
+    for f in files:
+        text = f.read_text(encoding="utf-8")
+        add(f.stem, text)
+        add(f.stem, text.replace("\n", "\r\n"))
+        add(f.stem, "".join(f" * {line}\n" for line in text.split("\n")))
+        add(f.stem, text.replace("licence", "license").replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA\n Everyone", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA\n Everyone"))
+        add(None, text.replace("License", "Lizenz").replace("Redistribution", "x").replace("LICENSE", "x"))
+        for width in (40, 60, 77, 100, 10_000):
+            stated = re.compile(r"copyright\W*[(\[]|(?:all )?rights reserved|portions created", re.I)
+            parts = [p if stated.search(p) and "Everyone is permitted" not in p else textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n")]
+            add(f.stem, "\n\n".join(parts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert {r["doc_id"]: r["license_id"] for r in license_digest.scan_licenses(docs).collect()} == expected
+
+
+def test_licenses_of_rows_that_share_an_id(spark):
+    """One id and canonical text, other line ends: each row has its own notices."""
+    line = "Released under the MIT License."
+    rows = [(1, f"a\n{line}"), (1, f"a {line}"), (1, f"a\n{line}"), (None, line), (None, f"x {line}")]
+    found = license_digest.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str((r["doc_id"], r["notices"], r["n_notices"])) for r in found) == sorted(
+        str(x) for x in [(1, "MIT", 1), (1, "", 0), (1, "MIT", 1), (None, "MIT", 1), (None, "", 0)]
+    )
+
+
 def test_pipeline_stages_take_odd_rows(spark, odd, small):
     import corpus_pipeline
 
