@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from freshet.llm import language_id, quality_pu
 from freshet.llm.best_fit import pack
 from freshet.llm.centroid_tree import cluster, with_totals
-from freshet.llm.common import id_remainder, table
+from freshet.llm.common import id_remainder, keep, table
 from freshet.llm.decontaminate import contamination
 from freshet.llm.fill_middle import fill_middle
 from freshet.llm.license_digest import scan_licenses
 from freshet.llm.maxscore import top_k
 from freshet.llm.pii_anchors import find_pii
-from freshet.llm.secret_ledger import secrets
+from freshet.llm.secret_ledger import scan, secrets
 from freshet.llm.sentencepiece_nbest import encode
 from freshet.llm.simhash import near_duplicates
 from freshet.llm.tag_paths import extract
@@ -59,7 +59,10 @@ def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets(table(spark, sf_dir, "documents"))
+    """Two scans: the first makes the ledger from the rows with even ids, the second takes all rows and scans what is new."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = keep(scan(docs.where("doc_id % 2 = 0")))
+    return secrets(docs, ledger)
 
 
 def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:

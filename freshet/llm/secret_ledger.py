@@ -28,8 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import keep
+from freshet.operators.joins import dimension
 
 STRETCH = 500
+# Addresses sent to all tasks; more are joined by shuffle.
+MAX_SENT = 400_000
 
 
 @dataclass(frozen=True)
@@ -112,14 +115,16 @@ def scan(
     """New ledger rows: blob, rule, rule_version, findings; one for each pair that ``ledger`` doesn't have."""
     texts = F.coalesce(F.col(text_col), F.lit(""))
     blobs = versions.select(address(F.col(text_col)).alias("blob"), texts.alias("text"))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     pairs = [F.lit(f"{r.kind}:{r.version}") for r in rules]
     if ledger is None:
-        blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
+        blobs = blobs.groupBy("blob").agg(F.first("text").alias("text")).withColumn("seen", F.array().cast("array<string>"))
     else:
+        # Addresses first: a text with nothing left to scan stays where it is, unless the wanted addresses are too many to be sent.
         known = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "rule", "rule_version")).alias("seen"))
-        blobs = blobs.join(known, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
-        blobs = blobs.where(F.size(F.array_except(F.array(*pairs), "seen")) > 0)
+        left = blobs.select("blob").distinct().join(known, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+        left = keep(left.where(F.size(F.array_except(F.array(*pairs), "seen")) > 0))
+        wanted = blobs.join(dimension(left.select("blob"), max_rows=MAX_SENT), "blob", "left_semi")
+        blobs = wanted.groupBy("blob").agg(F.first("text").alias("text")).join(left, "blob")
     matched = blobs.select(
         "blob",
         "text",

@@ -571,6 +571,22 @@ def test_licenses_at_any_width(spark):
     assert {r["doc_id"]: r["license_id"] for r in license_digest.scan_licenses(docs).collect()} == expected
 
 
+def test_second_scan_takes_only_new_blobs(spark):
+    """As the query does it: a ledger of the rows with even ids, then all rows."""
+    docs = spark.createDataFrame([(i, f"token={'x' * (8 + i // 3)} {i // 3}") for i in range(24)] + [(None, "secret: 12345678"), (24, None)], "doc_id long, text string")
+    first = secret_ledger.scan(docs.where("doc_id % 2 = 0")).cache()
+    rules = len(secret_ledger.RULES)
+    assert first.count() == rules * docs.where("doc_id % 2 = 0").select("text").distinct().count()
+    second = secret_ledger.scan(docs, first)
+    seen = {r["blob"] for r in first.collect()}
+    new = {r["blob"] for r in second.collect()}
+    assert len(new) * rules == second.count() and not new & seen
+    assert len(new) + len(seen) == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    whole = sorted(str(tuple(r)) for r in secret_ledger.secrets(docs).collect())
+    assert sorted(str(tuple(r)) for r in secret_ledger.secrets(docs, first).collect()) == whole
+    assert secret_ledger.scan(docs, first.unionByName(second)).count() == 0
+
+
 def test_shipped_licenses_are_found(spark):
     """As they stand, in comments, in capitals, with other line ends and addresses, and wrapped anew where no copyright is stated."""
     import re
