@@ -12,20 +12,28 @@ occurs somewhere in an item; all other positions have a matching length below
 three and are passed over without a step of the automaton. That changes no
 result, since every triple of an occurring window lies in such a run.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words; each block
-has its own automaton, sent to the tasks, and is one pass over the documents.
-So what is sent has a bound, and a benchmark of any size gives whole results.
+Items are dealt into blocks of at most ``BLOCK_WORDS`` words; tasks build the
+automaton of each block. A longer item is first cut into pieces that overlap
+by ``window - 1`` words, so every window lies whole in one of them. Each block
+is sent to the tasks in turn and is one pass over the documents. So what is
+sent has a bound, and a benchmark of any size gives whole results.
 
 Defined results: null or wordless texts have no words and no hits. Items that
 are null or wordless match nothing; items of equal id count once; an item
-whose id is null hits words but isn't named. Repeated documents give repeated rows.
+whose id is null hits words but isn't named. Repeated documents give repeated
+rows. Empty tables of documents give no rows, of items no hits; other columns,
+whatever their names, are ignored (``remove_contaminated`` keeps them).
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,7 +45,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from freshet.llm.common import keep, map_rows, received, send
+from freshet.llm.common import keep, map_rows, received
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _WORD_BYTES = bytes(
@@ -108,7 +116,8 @@ class ItemAutomaton:
 
     def _mark(self, coded: list[tuple[str | None, list[int]]]) -> None:
         self.items: dict[int, set[str]] = {}
-        whole: dict[int, list[tuple[int, str | None]]] = {}
+        whole: dict[int, dict[int, tuple[int, set[str]]]] = {}
+        shorts = 0
         self.table = np.zeros(1 << TABLE_BITS, dtype=bool)
         for name, seq in coded:
             state = 0
@@ -119,16 +128,22 @@ class ItemAutomaton:
                     if name is not None:
                         names.add(name)
             if len(seq) < self.window:
-                whole.setdefault(self._suffix(state, len(seq)), []).append((len(seq), name))
+                same = whole.setdefault(self._suffix(state, len(seq)), {})
+                if len(seq) not in same:
+                    shorts += 1
+                    same[len(seq)] = (-shorts, set())
+                if name is not None:
+                    same[len(seq)][1].add(name)
             if len(seq) >= self.gram:
                 self.table[self.slots(np.array(seq, dtype=np.int64))] = True
         by_length = sorted(range(len(self.length)), key=self.length.__getitem__)
         self.window_state = [0] * len(by_length)
-        self.whole: dict[int, list[tuple[int, str | None]]] = {}
+        # (words, mark below zero, names) of the short items at a state: one for each length below the window
+        self.whole: dict[int, list[tuple[int, int, set[str]]]] = {}
         for s in by_length[1:]:
             up = self.link[s]
             self.window_state[s] = self.window_state[up] if self.length[up] >= self.window else s
-            if found := whole.get(s, []) + self.whole.get(up, []):
+            if found := [(size, *short) for size, short in whole.get(s, {}).items()] + self.whole.get(up, []):
                 self.whole[s] = found
 
     def slots(self, codes: np.ndarray) -> np.ndarray:
@@ -178,29 +193,77 @@ class ItemAutomaton:
                     if (at := self.window_state[state]) not in seen:
                         seen.add(at)
                         names |= self.items[at]
-                for size, name in self.whole.get(state, ()):
+                for size, mark, short in self.whole.get(state, ()):
                     if matched >= size:
                         hit(i - size, i)
-                        if name is not None:
-                            names.add(name)
+                        if mark not in seen:
+                            seen.add(mark)
+                            names |= short
         return [(a, b) for a, b in ranges], names
 
+    @classmethod
+    def of(cls, parts: dict) -> ItemAutomaton:
+        """An automaton from its parts, as a task packed them."""
+        made = cls.__new__(cls)
+        made.__dict__ = parts
+        return made
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int):
-    """One automaton after the other, over at most ``block_words`` words (or one item) each."""
-    block: list[tuple[str | None, list[bytes]]] = []
-    size = 0
+
+def item_pieces(benchmark: DataFrame, item_col: str, text_col: str, window: int, piece_words: int) -> DataFrame:
+    """``item, piece, n``: the distinct items as words with single spaces, cut where they have more than ``piece_words``."""
+    step = piece_words - window + 1
+
+    def start():
+        def work(items, texts):
+            cut = []
+            for item, text in zip(items, texts, strict=True):
+                seq = words(text)
+                for at in range(0, max(len(seq) - window, 0) + 1 if seq else 0, step):
+                    piece = seq[at : at + piece_words]
+                    cut.append((item, b" ".join(piece).decode("utf-8", "surrogatepass"), len(piece)))
+            return {name: [c[k] for c in cut] for k, name in enumerate(("item", "piece", "n"))}
+
+        return work
+
+    schema = StructType([StructField("item", StringType()), StructField("piece", StringType()), StructField("n", LongType())])
     picked = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-    for row in picked.where("t IS NOT NULL").toLocalIterator():
-        seq = words(row["t"])
-        if block and size + len(seq) > block_words:
-            yield ItemAutomaton(block, window)
-            block, size = [], 0
-        if seq:
-            block.append((row["i"], seq))
-            size += len(seq)
-    if block:
-        yield ItemAutomaton(block, window)
+    return map_rows(picked.where("t IS NOT NULL").distinct(), schema, start)
+
+
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> Iterator[bytes]:
+    """One packed automaton after the other, over at most ``block_words`` words each (or two windows, if these are more).
+
+    Tasks build them, each from its share of the pieces, and write them to the
+    shared folder; the driver passes on one share at a time.
+    """
+    piece_words = max(block_words // 4, 2 * window)
+    pieces = keep(item_pieces(benchmark, item_col, text_col, window, piece_words))
+    total = pieces.agg(F.sum("n")).first()[0]
+    if not total:
+        return
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[tuple[str | None, list[bytes]]] = []
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            parts = pickle.dumps(vars(ItemAutomaton(block, window)), protocol=pickle.HIGHEST_PROTOCOL)
+            return pa.RecordBatch.from_arrays([pa.array([parts], pa.binary())], names=["automaton"])
+
+        for batch in batches:
+            for item, piece in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                seq = words(piece)
+                if block and size + len(seq) > block_words:
+                    yield packed()
+                    block, size = [], 0
+                block.append((item, seq))
+                size += len(seq)
+        if block:
+            yield packed()
+
+    shares = pieces.select("item", "piece").repartition(-(-total // block_words))
+    for row in keep(shares.mapInArrow(build, "automaton binary")).toLocalIterator():
+        yield bytes(row["automaton"])
 
 
 _RANGES = ArrayType(ArrayType(IntegerType()))
@@ -225,13 +288,13 @@ def _through_blocks(frame: DataFrame, blocks, text_at: int, schema: StructType,
     frame = frame.select(
         "*", F.lit(None).cast(_RANGES).alias("found_ranges"), F.lit(None).cast("array<string>").alias("found_items")
     )
-    block = next(blocks, None) or ItemAutomaton([], 1)
+    block = next(blocks, None) or pickle.dumps(vars(ItemAutomaton([], 1)))
     while block is not None:
         following = next(blocks, None)
-        sent = send(frame.sparkSession, block)
+        sent = frame.sparkSession.sparkContext.broadcast(block)
 
-        def start(sent=sent, last=following is None):
-            search = received(sent).search
+        def start(sent: Broadcast = sent, last=following is None):
+            search = ItemAutomaton.of(received(sent)).search
 
             def work(*columns):
                 rows, found = [], []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import sys
 from pathlib import Path
 
@@ -123,6 +124,37 @@ def test_contamination_rows(spark, odd):
     assert 3 not in kept and 7 not in kept and kept[1] is None and kept[5] == ROWS[5][1]
 
 
+def test_items_cut_into_pieces_give_the_same(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choices("abc", k=rng.choice([0, 1, 2, 3, 7, 60])))) for i in range(40)]
+    docs = [(i, " ".join(rng.choices("abcd", k=rng.choice([0, 2, 30])))) for i in range(60)]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    # pieces of 8 words, blocks of 20
+    for r in dc.contamination(*tables, window=4, block_words=20).collect():
+        n, hit, ids = brute.contamination(docs[r["doc_id"]][1], items, 4)
+        assert (r["n_words"], r["n_hit"], r["items_sha256"]) == (n, len(hit), brute.sha(",".join(ids)))
+
+
+def test_very_many_equal_short_items(spark):
+    same = spark.range(100_000).selectExpr("id AS item_id", "'word' AS text")
+    docs = spark.createDataFrame([(1, "word " * 20_000), (2, "other"), (3, "a word")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in dc.find_benchmark(docs, same).collect()}
+    assert [out[i]["n_hit"] for i in (1, 2, 3)] == [20_000, 0, 1]
+    assert [len(out[i]["items"]) for i in (1, 2, 3)] == [100_000, 0, 100_000]
+
+
+def test_one_item_of_a_million_words(spark):
+    numbers = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(999_999)), lambda x: F.concat(F.lit("w"), x.cast("string"))))
+    item = spark.range(1).select(F.lit("long").alias("item_id"), numbers.alias("text"))
+    spots = [0, 49_985, 49_995, 199_995, 500_000, 999_990]
+    rows = [(at, " ".join(["x", *(f"w{i}" for i in range(at, at + 10)), "x"])) for at in spots]
+    rows.append((-1, " ".join(f"w{i}" for i in (*range(9), 10))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in dc.find_benchmark(docs, item).collect()}
+    assert [out[at]["n_hit"] for at in (*spots, -1)] == [10] * len(spots) + [0]
+    assert [out[at]["items"] for at in spots] == [["long"]] * len(spots)
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.lists(st.sampled_from("abc"), max_size=9), max_size=5),
