@@ -12,62 +12,59 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.clock import floor_to
-from freshet.operators.joins import MAX_DIMENSION_ROWS, attach
+from freshet.operators.joins import attach, dimension
 from freshet.session import shared_dir
 
 ROWS_PER_RUN = 100_000
 SLICES_PER_BUCKET = 65_536
-MAX_BROADCAST_STARTS = 1_000_000
+MAX_BROADCAST_SLICES = 1_000_000
 
 
 def hot_starts(keyed: DataFrame, width: int, rows_per_run: int = ROWS_PER_RUN) -> DataFrame | None:
-    """``entity, bucket, starts`` of the buckets beyond ``rows_per_run`` rows; None if there is none.
+    """``entity, bucket, slice, start`` of the slices of buckets beyond ``rows_per_run`` rows; None if there is none.
 
     ``keyed`` has ``entity`` and ``t`` in microseconds, as ``width`` is. Counts
     are combined map-side, and slices are counted in hot buckets only. The
     starts are written once to the shared folder, so all that use them cut
-    alike; ``starts`` has at most ``SLICES_PER_BUCKET`` entries.
+    alike; a bucket has at most ``SLICES_PER_BUCKET`` rows there.
     """
     placed = keyed.select("entity", "t", floor_to(F.col("t"), width).alias("bucket"))
     hot = placed.groupBy("entity", "bucket").agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > rows_per_run)
     if hot.isEmpty():
         return None
-    fine = F.col("bucket") + floor_to(F.col("t") - F.col("bucket"), max(1, -(-width // SLICES_PER_BUCKET)))
     sliced = (
         attach(placed, hot, ["entity", "bucket"], "inner")
-        .groupBy("entity", "bucket", fine.alias("slice"))
+        .groupBy("entity", "bucket", _slice(width).alias("slice"))
         .agg(F.count("*").alias("n"))
     )
     before = Window.partitionBy("entity", "bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     full = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / rows_per_run)
-    starts = (
-        sliced.withColumn("run", full)
-        .groupBy("entity", "bucket", "run")
-        .agg(F.min("slice").alias("start"))
-        .groupBy("entity", "bucket")
-        .agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    starts = sliced.withColumn("run", full).select(
+        "entity", "bucket", "slice", F.min("slice").over(Window.partitionBy("entity", "bucket", "run")).alias("start")
     )
     path = f"{shared_dir(keyed.sparkSession)}/runs-{uuid.uuid4().hex}"
     starts.write.parquet(path)
     return keyed.sparkSession.read.parquet(path)
 
 
+def _slice(width: int) -> Column:
+    """Start of the slice of its bucket that a row lies in."""
+    return F.col("bucket") + floor_to(F.col("t") - F.col("bucket"), max(1, -(-width // SLICES_PER_BUCKET)))
+
+
 def with_runs(rows: DataFrame, width: int, starts: DataFrame | None) -> DataFrame:
     """Adds ``bucket``, the start of the run that a row of ``entity`` at ``t`` belongs to.
 
-    The starts are broadcast if their number allows, else joined by shuffle,
-    with adaptive execution splitting the hot keys.
+    A row finds its run by its slice, in one equi-join whatever the number of
+    runs. The slices are broadcast if their number and size allow, else joined by
+    shuffle, with adaptive execution splitting the hot keys.
     """
     placed = rows.withColumn("bucket", floor_to(F.col("t"), width))
     if starts is None:
         return placed
-    found, total = starts.agg(F.count("*"), F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()
-    if found <= MAX_DIMENSION_ROWS and total <= MAX_BROADCAST_STARTS:
-        starts = F.broadcast(starts)
-    last = F.array_max(F.filter("starts", lambda s: s <= F.col("t")))
-    cut = attach(placed, starts, ["entity", "bucket"])
-    return cut.withColumn("bucket", F.coalesce(last, F.col("bucket"))).drop("starts")
+    cut = attach(placed.withColumn("slice", _slice(width)), dimension(starts, MAX_BROADCAST_SLICES), ["entity", "bucket", "slice"])
+    return cut.withColumn("bucket", F.coalesce("start", "bucket")).drop("slice", "start")
