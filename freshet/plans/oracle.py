@@ -164,6 +164,10 @@ ORACLE_SQL["drift_summary"] = f"with {WIDE} {_DRIFT}"
 ORACLE_SQL["feature_row_count"] = (
     f"with {WIDE} select count(*) as row_count, count(distinct event_date) as partitions from wide"
 )
+ORACLE_SQL["feature_view_sql"] = (
+    f"with {WIDE} select event_date, top_merchant_category, count(*) as row_count, count(distinct user_id) as users, "
+    "max(frequency) as most_frequent from wide where event_date >= date '2024-01-20' group by all"
+)
 ORACLE_SQL["partition_rows"] = "select cast(ts as date) as event_date, count(*) as row_count from events group by all"
 ORACLE_SQL["recent_events"] = "select * from events order by ts desc, event_id desc limit 20"
 
@@ -425,6 +429,7 @@ ORACLE_SQL["sla_violations_total"] = f"""
 with {DEFINITIONS}, sweeps as ({_SWEEPS})
 select feature_name, cast(sum(stale_count) as bigint) as total_violations, count(*) as sweeps, max(swept_at) as last_run
 from sweeps group by feature_name"""
+ORACLE_SQL["sla_violations_swept"] = ORACLE_SQL["sla_violations_total"]
 
 _DUE_SWEEPS = " union all ".join(
     f"""
@@ -603,11 +608,16 @@ select event_id, entity_id, event_type, ts from (
 ORACLE_SQL["retention_filter"] = f"select * from events where ts >= {AS_OF} - interval 7 days"
 
 ORACLE_SQL["retention_lake"] = ORACLE_SQL["retention_filter"]
+ORACLE_SQL["retention_manifest"] = ORACLE_SQL["retention_filter"]
 ORACLE_SQL["audit_compaction_written"] = ORACLE_SQL["audit_compaction"]
 
 # --- streams and lake ---------------------------------------------------------------------
 
 ORACLE_SQL["stream_deduplicated"] = "select event_id, ts, user_id, value from events"
+ORACLE_SQL["stream_published_files"] = f"""
+select {ENTITY} as key, {ENTITY} as entity_id, event_type as feature_name, 'float' as value_type, ts as event_ts,
+       'web' as source, '1.0' as schema_version, value as value_number, cast(null as varchar) as value_text,
+       event_id, upper(event_type) as kind from events"""
 ORACLE_SQL["stream_raw_lake"] = """
 select cast(year(ts) as integer) as "year", cast(month(ts) as integer) as "month", cast(day(ts) as integer) as "day",
        cast(hour(ts) as integer) as "hour", count(*) as row_count, min(event_id) as first_event,

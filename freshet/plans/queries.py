@@ -30,10 +30,10 @@ from freshet.operators import (
     trailing,
     windows,
 )
-from freshet.plans.materialize import materialize_features, materialize_vectors
+from freshet.plans.materialize import feature_view, materialize_features, materialize_vectors
 from freshet.session import configure, shared_dir
-from freshet.sources import sinks
-from freshet.sources.tables import orders_by_customer, read_table, transactions, window_events
+from freshet.sources import manifest, sinks
+from freshet.sources.tables import file_states, orders_by_customer, read_table, transactions, window_events
 from freshet.streaming import ingest, inputs, lake, latest_table, progress, sweeps
 from freshet.streaming import state
 from freshet.streaming import windows as stream_windows
@@ -91,10 +91,10 @@ _stored: dict[tuple, str] = {}
 def _store(spark: SparkSession, root: str) -> str:
     """Folder of the feature table and the per-user table made from the events under ``root``.
 
-    Both are written once per application and set of input files; the lookups
-    read what is stored.
+    Both are written once per application and state of the input files (name,
+    length, time of change); the lookups read what is stored.
     """
-    key = (spark.sparkContext.applicationId, *sorted(_events(spark, root).inputFiles()))
+    key = (spark.sparkContext.applicationId, *file_states(_events(spark, root)))
     if key not in _stored:
         folder = _scratch(spark)
         materialize_features(_txns(spark, root), f"{folder}/features", REFERENCE_DATE)
@@ -294,6 +294,18 @@ def recent_events(spark, root):
     return lookup.most_recent(_events(spark, root), "ts", "event_id")
 
 
+@query
+def feature_view_sql(spark, root):
+    """The stored table as a view, asked in SQL."""
+    name = f"features_{uuid.uuid4().hex}"
+    feature_view(spark, f"{_store(spark, root)}/features", name)
+    return spark.sql(
+        "SELECT event_date, top_merchant_category, count(*) AS row_count, count(DISTINCT user_id) AS users, "
+        f"max(frequency) AS most_frequent FROM {name} WHERE event_date >= DATE '2024-01-20' "
+        "GROUP BY event_date, top_merchant_category"
+    )
+
+
 @query
 def feature_table_roundtrip(spark, root):
     """Written by date and read back."""
@@ -597,6 +609,18 @@ def sla_violations_total(spark, root):
     return freshness.total_violations(log).withColumn("last_run", F.col("last_run").cast("timestamp_ntz"))
 
 
+@query
+def sla_violations_swept(spark, root):
+    """The same four sweeps as jobs that keep a log; one of them runs twice and counts once."""
+    definitions, log = _definitions(spark), f"{_scratch(spark)}/sweeps"
+    for moment in ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", AS_OF]:
+        known = _feature_events(spark, root).filter(F.col("event_ts") <= F.lit(moment).cast("timestamp_ntz"))
+        latest = freshness.with_expiry(freshness.latest_values(known, ["event_ts", "offset"]), definitions)
+        sweeps.sweep_once(latest, definitions, moment, log)
+    totals = freshness.total_violations(spark.read.parquet(log))
+    return totals.withColumn("last_run", F.col("last_run").cast("timestamp_ntz"))
+
+
 @query
 def sweep_incremental(spark, root):
     """Batches merged into the latest-value table, and sweeps that read what falls due since the last one.
@@ -865,6 +889,19 @@ def retention_lake(spark, root):
     return spark.read.parquet(f"{folder}/kept").drop(*sinks.RAW_EVENTS_LAYOUT)
 
 
+@query
+def retention_manifest(spark, root):
+    """Raw events in lake folders, read through the table of live folders after expiry and removal."""
+    folder = _scratch(spark)
+    raw, live = f"{folder}/raw", f"{folder}/live"
+    keep = retention.RETENTION_SECONDS["raw_events"]
+    sinks.write_raw_events(_events(spark, root), raw, "ts")
+    manifest.register(spark, raw, live)
+    manifest.expire(spark, live, AS_OF, keep)
+    manifest.remove_dead(spark, raw, live, keep=1)
+    return manifest.read_retained(spark, raw, live, "ts", AS_OF, keep).drop(*sinks.RAW_EVENTS_LAYOUT)
+
+
 @query
 def retention_filter(spark, root):
     events = _events(spark, root)
@@ -978,6 +1015,25 @@ def stream_deduplicated(spark, root):
     )
 
 
+@query
+def stream_published_files(spark, root):
+    """Keyed messages written to files, read as a stream and stored: all of them arrive, with their metadata."""
+    folder = _scratch(spark)
+    tags = F.create_map(F.lit("event"), F.col("offset").cast("string"), F.lit("kind"), F.upper("feature_name"))
+    sinks.write_messages(msg.to_messages(_feature_events(spark, root).withColumn("metadata", tags)), f"{folder}/topic")
+    events = msg.valid_events(msg.parse_messages(inputs.read_message_files(spark, f"{folder}/topic", max_files=4)))
+    writer = events.writeStream.format("parquet").option("path", f"{folder}/events")
+    _finish(writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+    back = spark.read.parquet(f"{folder}/events").withColumns(
+        {
+            "event_id": F.col("metadata.event").cast("bigint"),
+            "kind": F.col("metadata.kind"),
+            "event_ts": F.col("event_ts").cast("timestamp_ntz"),
+        }
+    )
+    return _number_and_text(back.drop("value", "file"))
+
+
 @query
 def stream_raw_lake(spark, root):
     folder = _scratch(spark)

@@ -10,6 +10,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def file_states(table: DataFrame) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of a table's files: what differs after a file was overwritten in place."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+
+    def state(name: str) -> tuple[str, int, int]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        return name, status.getLen(), status.getModificationTime()
+
+    return [state(name) for name in sorted(table.inputFiles())]
+
+
 def transactions(events: DataFrame) -> DataFrame:
     """Events as transactions: one row per event, category = event type."""
     return events.select(
