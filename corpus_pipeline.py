@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group whose five-word shingles are 0.8 alike."""
+    """Keep one document of each group whose fingerprints are close or whose five-word shingles are 0.8 alike."""
     return one_of_each(docs, similar_documents(docs))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import keep
 
+EDGES_PER_PARTITION = 200_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge; root is the smallest node reachable.
@@ -16,7 +18,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     are an aggregate and an equi-join; a node with very many edges is reduced
     to one minimum map-side, and adaptive execution splits its join. Every
     round's edges are written to the checkpoint folder. The rounds end when
-    the edges don't change, after a number logarithmic in the nodes.
+    the edges don't change, after a number logarithmic in the nodes. Few edges are
+    read in few partitions, so that a round on them does not write many small files.
     """
     current = keep(_canonical(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     before = None
@@ -24,6 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = now
         if now[0] == 0:
             break
+        current = current.coalesce(-(-now[0] // EDGES_PER_PARTITION))
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = _canonical(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))

@@ -47,7 +47,10 @@ BLOCK = 2048
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """Unsigned 64-bit SimHash of the word shingles; zero without words."""
-    low = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    return fingerprint_of_words(text.encode("utf-8", "surrogatepass").lower().split() if text else [], shingle)
+
+
+def fingerprint_of_words(low: list[bytes], shingle: int = 4) -> int:
     if not low:
         return 0
     if len(low) <= shingle:

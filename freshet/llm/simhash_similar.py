@@ -1,7 +1,12 @@
-"""Near-duplicates by similarity of word shingles, found through an exact prefix index.
+"""Near-duplicates by SimHash, and by similarity of word shingles for what 64 bits miss.
 
-Documents are linked if the sets of their five-word shingles have a Jaccard
-similarity of ``SIMILARITY`` or more. All shingles have one order, from rare to
+Documents are linked if their fingerprints differ in at most ``simhash.MAX_BITS``
+bits: postings by byte positions, count filter, verification, all as ``simhash.links``
+does them. A few changed words can turn more bits than that. So documents are also linked
+if the sets of their five-word shingles have a Jaccard similarity of ``SIMILARITY`` or
+more, found through an exact prefix index. Fingerprints come from the words of the pass that posts prefixes.
+
+All shingles have one order, from rare to
 frequent by the number of texts that hold them, then by hash. Of two sets with
 similarity s each has one of the other's shingles among its first
 ``size - ceil(s * size) + 1``, its prefix, whatever the order is; so only
@@ -14,10 +19,10 @@ prefixes are posted, and no link is lost.
 2. Prefixes are posted the same way: a row holds a task's postings of one bucket.
    A key of a single text never becomes a row. Postings of up to ``SMALL`` texts
    become pairs where the sizes allow a link, once each.
-3. Each set has a sketch, the parities of its hashes in ``64 * SKETCH`` cells:
+3. Pairs that fingerprints link need no more work. Each set has a sketch, the parities of its hashes in ``64 * SKETCH`` cells:
    two sets differ in at least as many shingles as their sketches in bits. Pairs
    that this rules out go. Those with the first text of a posting are verified by the
-   shingles of their whole texts; the others only if that has not joined them yet.
+   shingles of their whole texts; the others only if that, or the fingerprints, have not joined them yet.
 4. Keys that the count shows to be in more than ``SMALL`` texts are posted as rows.
    There each text is first paired with one of them. Postings that hold nearly the
    same texts are made one. Where a posting is still in several parts, it is cut into blocks. A task gets the sketches of
@@ -60,6 +65,8 @@ from pyspark.sql.types import (
 
 from freshet.llm.common import keep, map_rows, partitions_by_text, received, send
 from freshet.llm.components import components
+from freshet.llm.simhash import MAX_BITS, fingerprint_of_words
+from freshet.llm.simhash import links as links_of_fingerprints
 from freshet.operators.joins import dimension
 
 SIMILARITY = 0.8
@@ -247,7 +254,7 @@ def frequent(docs: DataFrame, shingle: int, text_col: str, buckets: int) -> Orde
 
 
 def posted(docs: DataFrame, order: Order, id_col: str, text_col: str, similarity: float, shingle: int, buckets: int) -> DataFrame:
-    """Rows of three kinds: documents (id, digest, size, sketch), bodies of postings by bucket, and postings of keys in many texts."""
+    """Rows of three kinds: documents (id, digest, size, sketch, fingerprint), bodies of postings by bucket, and postings of keys in many texts."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kinds = [
@@ -255,6 +262,7 @@ def posted(docs: DataFrame, order: Order, id_col: str, text_col: str, similarity
         ("digest", StringType()),
         ("size", LongType()),
         ("sketch", ArrayType(LongType())),
+        ("fp", LongType()),
         ("bucket", IntegerType()),
         ("body", BinaryType()),
         ("key", LongType()),
@@ -282,7 +290,7 @@ def posted(docs: DataFrame, order: Order, id_col: str, text_col: str, similarity
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_CALL):
                 part = batch.slice(at, ROWS_PER_CALL)
-                digests, sizes, sketches = [], [], []
+                digests, sizes, sketches, prints = [], [], [], []
                 long_keys, long_names = [], []
                 for text in part.column(1).to_pylist():
                     words = lower_words(text)
@@ -290,11 +298,13 @@ def posted(docs: DataFrame, order: Order, id_col: str, text_col: str, similarity
                     if digests[-1] in seen:
                         sizes.append(seen[digests[-1]])
                         sketches.append(None)
+                        prints.append(None)
                         continue
                     hashes = shingles(words)
                     seen[digests[-1]] = len(hashes)
                     sizes.append(len(hashes))
                     sketches.append(sketch(hashes))
+                    prints.append(np.uint64(fingerprint_of_words(words)).view(np.int64))
                     keys = keys_of(hashes)
                     place = places(keys)
                     first = prefix(hashes, place, similarity)
@@ -305,7 +315,7 @@ def posted(docs: DataFrame, order: Order, id_col: str, text_col: str, similarity
                     rare = keys[first[~often]]
                     found.append(np.stack([rare, np.full(len(rare), name), np.full(len(rare), len(hashes), dtype=np.uint64)]))
                     many += len(rare)
-                yield rows(id=part.column(0), digest=digests, size=sizes, sketch=sketches)
+                yield rows(id=part.column(0), digest=digests, size=sizes, sketch=sketches, fp=prints)
                 if any(map(len, long_keys)):
                     yield rows(key=np.concatenate(long_keys).astype(np.int64), name=np.concatenate(long_names).view(np.int64))
                 if many >= FLUSH:
@@ -413,13 +423,14 @@ def dense_forest(sets: list[np.ndarray], roots: np.ndarray, similarity: float) -
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, star) nodes of the pairs of names whose sketches and sizes leave that similarity possible."""
+    """(a, b, star) nodes of the pairs of names whose sketches and sizes leave that similarity possible, without those that fingerprints link."""
     for c in "ab":
-        pairs = pairs.join(nodes.select(F.col("name").alias(c), F.col("node").alias(f"node_{c}"), F.col("size").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")), c)
+        pairs = pairs.join(nodes.select(F.col("name").alias(c), F.col("node").alias(f"node_{c}"), F.col("size").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"), F.col("fp").alias(f"f{c}")), c)
     differing = F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     bits = F.aggregate(differing, F.lit(0), lambda n, x: n + x)
     most = most_apart(F.col("na"), F.col("nb"), similarity)
     near = pairs.where((F.col("node_a") != F.col("node_b")) & (bits <= most) & (F.abs(F.col("na") - F.col("nb")) <= most))
+    near = near.where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) > MAX_BITS)
     return near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "star")
 
 
@@ -538,6 +549,17 @@ def rooted(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).drop("root_a", "root_b")
 
 
+def fingerprint_links(nodes: DataFrame) -> DataFrame:
+    """(a, b) links of nodes whose fingerprints differ in at most MAX_BITS; those of equal ones lead to the first node."""
+    firsts = keep(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    found = keep(links_of_fingerprints(firsts.select("fp")))
+    # Few fingerprints have links; where they are too many to be sent to all tasks, both sides move.
+    for c in "ab":
+        found = firsts.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")).join(dimension(found), c).drop(c)
+    equal = nodes.join(dimension(firsts.where("n > 1").select("fp", "first")), "fp").where("node <> first")
+    return found.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")).unionByName(equal.select(F.col("first").alias("a"), F.col("node").alias("b")))
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, shingle: int = SHINGLE
 ) -> DataFrame:
@@ -548,20 +570,21 @@ def similar_documents(
     rows = keep(posted(docs, order, id_col, text_col, similarity, shingle, buckets))
     marked = rows.where("digest IS NOT NULL")
     # A node is a word sequence; its name is what postings call it, and its least id comes first where nodes are ordered.
-    nodes = marked.groupBy("digest").agg(F.min("id").alias("id"), *(F.first(c, ignorenulls=True).alias(c) for c in ("size", "sketch")))
+    nodes = marked.groupBy("digest").agg(F.min("id").alias("id"), *(F.first(c, ignorenulls=True).alias(c) for c in ("size", "sketch", "fp")))
     name = F.conv(F.substring("digest", 1, 16), 16, -10).cast("long")
     kind = docs.schema[id_col].dataType
-    nodes = keep(nodes.select(node_of(F.col("id"), kind, F.col("digest")).alias("node"), name.alias("name"), "size", "sketch"))
+    nodes = keep(nodes.select(node_of(F.col("id"), kind, F.col("digest")).alias("node"), name.alias("name"), "size", "sketch", "fp"))
     met = keep(met_in_postings(rows, similarity))
     long = rows.where("key IS NOT NULL").select("key", "name").unionByName(met.where("key IS NOT NULL").select("key", F.col("a").alias("name")))
     long = keep(long.distinct())
     pairs = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("star").alias("star"))
     pairs = keep(possible(pairs.unionByName(stars(long)), nodes, similarity))
     check = (docs, similarity, shingle, id_col, text_col)
-    links = [keep(verified(pairs.where("star").select("a", "b").distinct(), *check))]
-    linked = components(links[0])
+    by_shingles = verified(pairs.where("star").select("a", "b").distinct(), *check)
+    linked = components(fingerprint_links(nodes.select("node", "fp")).unionByName(by_shingles))
     rest = keep(rooted(pairs.where("NOT star").select("a", "b"), linked))
-    links.append(keep(verified(rest, *check)))
+    # What is joined goes on as its roots.
+    links = [linked.select(F.col("node").alias("a"), F.col("root").alias("b")), keep(verified(rest, *check))]
     if not long.isEmpty():
         links.append(dense_links(fewer_blocks(long), linked, nodes, *check))
     found = components(reduce(DataFrame.unionByName, links))

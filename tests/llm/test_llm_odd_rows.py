@@ -352,6 +352,25 @@ def test_similar_documents(spark, odd, monkeypatch):
     assert sorted(map(tuple, found.collect())) == [(-5, -5), (1, -5), (1, 1), (1, 1), (9, 1)]
 
 
+def test_similar_documents_keep_the_links_of_fingerprints(spark):
+    """Close fingerprints link whatever the sets of shingles are, in classes no finer than those of SimHash alone."""
+    rng = np.random.default_rng(11)
+    line = [f"line{i}" for i in range(12)]
+    docs = []
+    for group in range(6):
+        repeated = [f"{w}of{group}" for w in line] * 60
+        docs += [(10 * group + k, " ".join(repeated + [f"own{w}" for w in rng.integers(0, 10**9, 8)])) for k in range(4)]
+    docs += [(100 + k, " ".join(f"other{w}" for w in rng.integers(0, 10**9, 60))) for k in range(5)]
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    by_bits = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(given).collect()}
+    assert len(set(by_bits.values())) < len(docs)
+    found = {r["doc_id"]: r["component_id"] for r in simhash_similar.similar_documents(given).collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in docs)}
+    ids = sorted(sets)
+    assert not any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i in ids for j in ids if i < j)
+    assert found == by_bits
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=60), st.integers(1, 8))
 def test_postings_give_all_pairs(rows, small):
