@@ -625,15 +625,19 @@ def sla_violations_swept(spark, root):
 def sweep_incremental(spark, root):
     """Batches merged into the latest-value table, and sweeps that read what falls due since the last one.
 
-    The last two sweeps come without a batch: only time has passed.
+    The last two sweeps come without a batch: only time has passed. The events are read
+    once, and reduced to the last row of each key and batch before they are merged.
     """
     folder, definitions = _scratch(spark), _definitions(spark)
     table, entries, log = (f"{folder}/{name}" for name in ("latest", "due", "log"))
     arrivals = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", AS_OF]
-    before = "0001-01-01 00:00:00"
+    batch_of = F.coalesce(*[F.when(F.col("ts") <= F.lit(m).cast("timestamp_ntz"), F.lit(n)) for n, m in enumerate(arrivals)])
+    known = _events(spark, root).select("user_id", "event_type", "value", "ts", "event_id", batch_of.alias("arrival")).filter("arrival IS NOT NULL")
+    last = freshness.latest_values(known, ["ts", "event_id"], ["arrival", "user_id", "event_type"])
+    last.write.partitionBy("arrival").parquet(f"{folder}/arrivals")
+    landed = spark.read.schema(last.schema).parquet(f"{folder}/arrivals")
     for batch_id, moment in enumerate(arrivals):
-        stamps = [F.lit(m).cast("timestamp_ntz") for m in (before, moment)]
-        arrived = _feature_events(spark, root).filter((F.col("event_ts") > stamps[0]) & (F.col("event_ts") <= stamps[1]))
+        arrived = _as_feature_events(landed.filter(F.col("arrival") == batch_id))
 
         def index(changes: DataFrame, batch_id: int = batch_id, moment: str = moment) -> None:
             due.write_entries(due.due_entries(changes, definitions, moment), entries, batch_id, slice_seconds=86_400)
@@ -641,7 +645,6 @@ def sweep_incremental(spark, root):
         rows = freshness.with_expiry(arrived, definitions)
         latest_table.merge_batch(rows, table, batch_id, ["event_ts", "offset"], buckets=8, on_change=index)
         sweeps.sweep_due(spark, entries, definitions, moment, log, slice_seconds=86_400)
-        before = moment
     for moment in ("2024-02-01 12:00:00", "2024-02-03 00:00:00"):
         sweeps.sweep_due(spark, entries, definitions, moment, log, slice_seconds=86_400)
     swept = spark.read.parquet(log).drop("sweep_id")

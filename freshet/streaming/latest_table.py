@@ -87,6 +87,7 @@ def merge_batch(
         buckets = next(iter(current.values()))[1]
     batch = latest_values(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), order, key)
     batch = batch.withColumn("bucket", _bucket(key, buckets)).persist()
+    met = None
     try:
         touched = [r[0] for r in batch.select("bucket").distinct().collect()]
         known = [current[b][0] for b in touched if b in current]
@@ -97,8 +98,10 @@ def merge_batch(
             old = stored.select(*key, F.struct(*values).alias("old"))
         else:
             old = new.select(*key, F.col("new").alias("old")).limit(0)
-        # Buckets of a batch and what is stored in them: one join, on the key.
+        # Buckets of a batch and what is stored in them: one join, on the key, made once for the table and ``on_change``.
         met = new.join(old, key, "full_outer")
+        if on_change is not None:
+            met = met.persist()
         place = [F.struct(*[F.col(f"{side}.{c}") for c in order]) for side in ("new", "old")]
         changes = F.col("new").isNotNull() & (F.col("old").isNull() | (place[0] > place[1]))
         merged = met.select(*key, F.when(changes, F.col("new")).otherwise(F.col("old")).alias("last"))
@@ -112,6 +115,8 @@ def merge_batch(
             _publish(spark, path, batch_id, current | {b: (f"{folder}/bucket={b}", buckets) for b in touched})
     finally:
         batch.unpersist()
+        if met is not None:
+            met.unpersist()
     return True
 
 

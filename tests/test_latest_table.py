@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators import due, freshness
+from freshet.plans import queries
 from freshet.streaming import latest_table, sweeps
 
 ORDER = ["event_ts", "offset"]
@@ -109,6 +110,26 @@ def test_many_batches_equal_one_fold(spark, tmp_path):
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
+def test_the_join_of_a_batch_is_made_once(spark, tmp_path):
+    path, plans = str(tmp_path / "t"), []
+
+    def index(changes):
+        plans.append(changes._jdf.queryExecution().withCachedData().toString())
+        assert changes.count() == 1
+
+    latest_table.merge_batch(batch(spark, ("a", "f", "1", 10, 20, 1)), path, 0, ORDER, buckets=2)
+    latest_table.merge_batch(batch(spark, ("a", "f", "2", 11, 20, 2)), path, 1, ORDER, on_change=index)
+    assert "InMemoryRelation" in plans[0] and "Join FullOuter" not in plans[0].split("InMemoryRelation")[0]
+    assert stored(spark, path) == [("a", "f", "2", 1)]
+
+
+def test_the_incremental_sweep_reads_the_events_once(spark, small, monkeypatch):
+    read, calls = queries._events, []
+    monkeypatch.setattr(queries, "_events", lambda *args: calls.append(args) or read(*args))
+    assert queries.QUERIES["sweep_incremental"](spark, small).count() > 0
+    assert len(calls) == 1
+
+
 @pytest.fixture(scope="module")
 def limits(spark):
     rows = [("click", 600, True), ("view", 1200, True), ("off", 5, False)]
